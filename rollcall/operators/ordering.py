@@ -1,0 +1,107 @@
+"""Exact positions in a total order, without a one-task sort.
+
+A window without a partition, or one over a key that holds a large part of the
+table, sorts everything in one task. Here the rows are range-partitioned by the
+order instead, every partition numbers its own rows, and one small row per
+partition carries the count of rows that come before it.
+
+The partition a row lands in is used twice (for its number and for the counts),
+and range boundaries come from a sample that a second run may draw differently.
+So the partitioned rows are checkpointed once; after that a lost task reads the
+same blocks again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from rollcall.operators.skew import same_keys
+from rollcall.session import checkpoint_root
+
+_SEQ_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
+
+
+def ordered_blocks(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows with ``_block`` (range partition) and ``_seq`` (0-based row in the block).
+
+    ``order`` must be total (end in a unique column): equal rows share a block.
+    """
+    checkpoint_root(df.sparkSession)
+    ranged = (
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    return (
+        ranged.withColumn("_block", F.shiftright("_id", _SEQ_BITS))
+        .withColumn("_seq", F.col("_id").bitwiseAND(F.lit((1 << _SEQ_BITS) - 1)))
+        .drop("_id")
+        .checkpoint()
+    )
+
+
+def block_offsets(blocks: DataFrame, amount: Column | None = None) -> DataFrame:
+    """Per block: its total, and the sum over all blocks before it.
+
+    One row per block, so the single-partition window here sorts as many rows as
+    there are shuffle partitions.
+    """
+    per_block = blocks.groupBy("_block").agg(F.sum(amount if amount is not None else F.lit(1)).alias("_in_block"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return per_block.select(
+        "_block",
+        "_in_block",
+        F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_before"),
+    )
+
+
+def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """Add the 1-based position of each row in the whole table."""
+    blocks = ordered_blocks(df, order)
+    offsets = F.broadcast(block_offsets(blocks).select("_block", "_before"))
+    return (
+        blocks.join(offsets, "_block")
+        .withColumn(name, F.col("_before") + F.col("_seq") + 1)
+        .drop("_block", "_seq", "_before")
+    )
+
+
+def carried_in(blocks: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Sums over the earlier blocks of a key, where a key runs over block borders.
+
+    ``blocks`` must be ordered by the keys first. Then a block continues at most
+    one key of an earlier block, so there are fewer rows here than blocks and
+    the result may be broadcast. Columns: ``_c_<key>``, ``_c_block``, the sums.
+    """
+    spans = blocks.groupBy(*keys, "_block").agg(*[c.alias(n) for n, c in sums.items()])
+    w = Window.partitionBy(*keys).orderBy("_block")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        spans.withColumn("_nth", F.row_number().over(w))
+        .withColumns({n: F.sum(n).over(before) for n in sums})
+        .filter(F.col("_nth") > 1)
+        .select(
+            *[F.col(k).alias(f"_c_{k}") for k in keys],
+            F.col("_block").alias("_c_block"),
+            *sums,
+        )
+    )
+
+
+def join_carried(blocks: DataFrame, keys: list[str], carried: DataFrame) -> DataFrame:
+    on = same_keys(keys, "_c_") & (F.col("_block") == F.col("_c_block"))
+    return blocks.join(F.broadcast(carried), on, "left").drop("_c_block", *[f"_c_{k}" for k in keys])
+
+
+def with_position_within(
+    df: DataFrame, keys: list[str], order: list[Column], name: str = "position"
+) -> DataFrame:
+    """Add the 1-based position of each row among the rows of its key, for keys of any size."""
+    blocks = ordered_blocks(df, [*[F.col(k).asc_nulls_first() for k in keys], *order])
+    carried = carried_in(blocks, keys, {"_rows_before": F.count(F.lit(1))})
+    local = Window.partitionBy(*keys, "_block").orderBy("_seq")
+    return (
+        join_carried(blocks, keys, carried)
+        .withColumn(name, F.row_number().over(local) + F.coalesce(F.col("_rows_before"), F.lit(0)))
+        .drop("_block", "_seq", "_rows_before")
+    )

@@ -1,0 +1,43 @@
+"""Finding the few keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# A key above this many rows is split. Only the MAX_HOT_KEYS largest are, which
+# is enough: any other key holds less than 1/MAX_HOT_KEYS of the table.
+ROWS_PER_TASK = 2_000_000
+MAX_HOT_KEYS = 1_000
+
+
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The keys with more than ``max_rows`` rows, or None when there are none.
+
+    One aggregation over the key columns, combined before its shuffle. At most
+    ``MAX_HOT_KEYS`` rows reach the driver, so the result may be broadcast.
+    """
+    counts = df.groupBy(*keys).count().filter(F.col("count") > max_rows)
+    top = counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).select(*keys)
+    rows = top.collect()
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, schema=top.schema)
+
+
+def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of hot keys); null is a key like any other."""
+    marks = F.broadcast(
+        hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    )
+    marked = df.join(marks, same_keys(keys, "_hot_"), "left")
+    extra = ["_hot", *[f"_hot_{k}" for k in keys]]
+    cold = marked.filter(F.col("_hot").isNull()).drop(*extra)
+    return cold, marked.filter(F.col("_hot")).drop(*extra)
+
+
+def same_keys(keys: list[str], prefix: str) -> Column:
+    """Null-safe equality of each key with its prefixed copy."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return cond
