@@ -7,8 +7,8 @@ partition carries the count of rows that come before it.
 
 The partition a row lands in is used twice (for its number and for the counts),
 and range boundaries come from a sample that a second run may draw differently.
-So the partitioned rows are checkpointed once; after that a lost task reads the
-same blocks again.
+So the numbered rows are written to the shared folder once; after that a lost
+task reads the same blocks again.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.operators.skew import same_keys
-from rollcall.session import checkpoint_root
+from rollcall.session import written
 
 _SEQ_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
 
@@ -26,39 +26,34 @@ def ordered_blocks(df: DataFrame, order: list[Column]) -> DataFrame:
 
     ``order`` must be total (end in a unique column): equal rows share a block.
     """
-    checkpoint_root(df.sparkSession)
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    return (
+    numbered = (
         ranged.withColumn("_block", F.shiftright("_id", _SEQ_BITS))
         .withColumn("_seq", F.col("_id").bitwiseAND(F.lit((1 << _SEQ_BITS) - 1)))
         .drop("_id")
-        .checkpoint()
     )
+    return written(numbered, "blocks")
 
 
-def block_offsets(blocks: DataFrame, amount: Column | None = None) -> DataFrame:
-    """Per block: its total, and the sum over all blocks before it.
+def block_offsets(blocks: DataFrame) -> DataFrame:
+    """Per block: the number of rows in all blocks before it.
 
     One row per block, so the single-partition window here sorts as many rows as
     there are shuffle partitions.
     """
-    per_block = blocks.groupBy("_block").agg(F.sum(amount if amount is not None else F.lit(1)).alias("_in_block"))
+    per_block = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return per_block.select(
-        "_block",
-        "_in_block",
-        F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_before"),
-    )
+    return per_block.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
 
 
 def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
     """Add the 1-based position of each row in the whole table."""
     blocks = ordered_blocks(df, order)
-    offsets = F.broadcast(block_offsets(blocks).select("_block", "_before"))
+    offsets = F.broadcast(block_offsets(blocks))
     return (
         blocks.join(offsets, "_block")
         .withColumn(name, F.col("_before") + F.col("_seq") + 1)

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rollcall.functions.scalar import is_true, percent, percent_text
+from rollcall.functions.scalar import is_true, parse_date, percent, percent_text, year_month
 from rollcall.operators.relational import contains, orphans
-from rollcall.operators.statistics import as_struct, iqr_bounds
-from rollcall.operators.windows import monthly_rate_change
+from rollcall.operators.statistics import as_struct, iqr_outliers
+from rollcall.session import written
 from rollcall.schemas import CRITICAL_COLUMNS, PRIMARY_KEYS, REQUIRED_COLUMNS, SHIFTS, STATUSES
 
 RESULT_COLUMNS = [
@@ -285,10 +285,8 @@ def declared_constraints(
 
 def check_outliers(att: DataFrame, factor: float = 3.0) -> DataFrame:
     """Hours outside the quartiles by more than three IQR; fewer than 1% of all rows pass."""
-    low, high = iqr_bounds(att, "hours_worked", factor)
-    h = F.col("hours_worked")
-    counted = att.agg(
-        F.count_if((h < low) | (h > high)).alias("_out"), F.count(F.lit(1)).alias("_rows")
+    counted = iqr_outliers(att, "hours_worked", factor).select(
+        F.col("outliers").alias("_out"), F.col("rows").alias("_rows")
     )
     share = F.format_string("%.2f%%", F.coalesce(percent(F.col("_out"), F.col("_rows")), F.lit(0.0)))
     actual = F.concat(F.col("_out").cast("string"), F.lit(" outliers ("), share, F.lit(")"))
@@ -300,11 +298,24 @@ def check_outliers(att: DataFrame, factor: float = 3.0) -> DataFrame:
     )
 
 
-def check_spikes(att: DataFrame) -> DataFrame:
-    """Days with more records than the mean plus three sample deviations."""
-    daily = (
-        att.filter(F.col("date").isNotNull()).groupBy("date").agg(F.count("employee_id").alias("_n"))
+def daily_counts(att: DataFrame) -> DataFrame:
+    """Per date as it is stored: rows, rows with an employee, present rows.
+
+    All figures over time are worked out from this one row per day.
+    """
+    return (
+        att.filter(F.col("date").isNotNull())
+        .groupBy("date")
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count("employee_id").alias("_n"),
+            F.count_if(is_true(F.col("status") == "Present")).alias("_present"),
+        )
     )
+
+
+def check_spikes(daily: DataFrame) -> DataFrame:
+    """Days with more records than the mean plus three sample deviations, from ``daily_counts``."""
     stats = as_struct(daily.agg(F.avg("_n").alias("mean"), F.stddev_samp("_n").alias("std")))
     spikes = daily.agg(F.count_if(F.col("_n") > stats["mean"] + 3 * stats["std"]).alias("_spikes"))
     return _unpack(
@@ -314,9 +325,19 @@ def check_spikes(att: DataFrame) -> DataFrame:
     )
 
 
-def check_rate_drop(att: DataFrame, drop: float = 0.15) -> DataFrame:
-    """Months whose present rate fell by more than 15 points; no row with fewer than two months."""
-    changes = monthly_rate_change(att).agg(
+def check_rate_drop(daily: DataFrame, drop: float = 0.15) -> DataFrame:
+    """Months whose present rate fell by more than 15 points; no row with fewer than two months.
+
+    From ``daily_counts``; the window sees one row per calendar month.
+    """
+    monthly = (
+        daily.select(parse_date("date").alias("date"), "_rows", "_present")
+        .filter(F.col("date").isNotNull())
+        .groupBy(year_month("date").alias("month"))
+        .agg((F.sum("_present") / F.sum("_rows")).alias("rate"))
+    )
+    change = F.col("rate") - F.lag("rate").over(Window.orderBy("month"))
+    changes = monthly.withColumn("change", change).agg(
         F.count(F.lit(1)).alias("_months"), F.count_if(F.col("change") < -drop).alias("_drops")
     )
     return _unpack(
@@ -328,12 +349,13 @@ def check_rate_drop(att: DataFrame, drop: float = 0.15) -> DataFrame:
 
 def run_all(att: DataFrame, emp: DataFrame, as_of: date) -> DataFrame:
     """All checks of both tables: ten on attendance, seven on employees and the reference between."""
+    daily = written(daily_counts(att), "daily")
     return union_results([
         _attendance_scan(att, as_of).results(),
         check_uniqueness(att, "attendance"),
         check_outliers(att),
-        check_spikes(att),
-        check_rate_drop(att),
+        check_spikes(daily),
+        check_rate_drop(daily),
         _employee_scan(emp).results(),
         check_uniqueness(emp, "employees"),
         check_reference(att, "attendance", "employee_id", emp, "employees", "employee_id"),

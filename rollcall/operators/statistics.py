@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.scalar import log1p_nonneg, round_to
-from rollcall.operators.ordering import block_offsets, ordered_blocks
+from rollcall.operators.ordering import ordered_blocks
 from rollcall.operators.relational import existing
 
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
@@ -24,54 +25,64 @@ def quantile_name(prob: float) -> str:
     return f"p{prob * 100:g}".replace(".", "_")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
-    """One row with the exact, linearly interpolated quantiles as ``p25``, ``p50``, ...
+def ordered_values(df: DataFrame, column: str) -> DataFrame:
+    """The different values of a column with their counts, in order across tasks.
 
-    Equal values are counted first. The counted values are then put in order
-    across tasks; only the blocks that hold a wanted rank are looked into, so no
-    task sees more than one block of different values.
+    This is the one pass over the data; all figures below are worked out from it.
+    Columns: ``_v``, ``_n``, and ``_block`` and ``_seq`` for the place in the order.
     """
     hist = (
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    blocks = ordered_blocks(hist, [F.col("_v")])
-    offsets = block_offsets(blocks, F.col("_n"))
-    last = offsets.agg(F.sum("_in_block") - 1).scalar()
+    return ordered_blocks(hist, [F.col("_v")])
 
-    def ranks(prob: float) -> tuple[Column, Column, Column]:
-        at = last * F.lit(float(prob))
-        return at, F.floor(at), F.ceil(at)
 
-    wanted = F.lit(False)
-    for p in probs:
-        for rank in ranks(p)[1:]:
-            wanted = wanted | rank.between(F.col("_before"), F.col("_before") + F.col("_in_block") - 1)
+def quantiles_of(blocks: DataFrame, probs: list[float]) -> dict[str, float | None]:
+    """Linearly interpolated quantiles from ordered value counts, by name.
+
+    One row per block comes to the driver (there are as many as shuffle
+    partitions) and tells which blocks hold the wanted ranks; only those are put
+    in running order, each in its own task, and only the values at the ranks come back.
+    """
+    sizes = {r["_block"]: r["n"] for r in blocks.groupBy("_block").agg(F.sum("_n").alias("n")).collect()}
+    total = sum(sizes.values())
+    if not total:
+        return {quantile_name(p): None for p in probs}
+    ranks = sorted({f(p * (total - 1)) for p in probs for f in (floor, ceil)})
+    start, before = {}, 0
+    for block in sorted(sizes):
+        start[block], before = before, before + sizes[block]
+    holding = [b for b in start if any(start[b] <= r < start[b] + sizes[b] for r in ranks)]
+    first = F.lit(0)
+    for b in holding:
+        first = F.when(F.col("_block") == b, F.lit(start[b])).otherwise(first)
     inside = Window.partitionBy("_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        blocks.join(F.broadcast(offsets.filter(wanted)), "_block")
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(inside) - 1)
-        .withColumn("_from", F.col("_upto") - F.col("_n") + 1)
+        blocks.filter(F.col("_block").isin(holding))
+        .withColumn("_next", first + F.sum("_n").over(inside))
+        .withColumn("_rank", F.explode(F.array(*[F.lit(r).cast("bigint") for r in ranks])))
+        .filter((F.col("_rank") < F.col("_next")) & (F.col("_rank") >= F.col("_next") - F.col("_n")))
     )
+    value = {r["_rank"]: r["_v"] for r in ranked.select("_rank", "_v").collect()}
+    out = {}
+    for p in probs:
+        at = p * (total - 1)
+        low, high = value[floor(at)], value[ceil(at)]
+        out[quantile_name(p)] = low + (high - low) * (at - floor(at))
+    return out
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when(rank.between(F.col("_from"), F.col("_upto")), F.col("_v")))
 
-    found = []
-    for i, p in enumerate(probs):
-        at, low, high = ranks(p)
-        found += [value_at(low).alias(f"_lo{i}"), value_at(high).alias(f"_hi{i}")]
-        found += [F.max(at - low).alias(f"_w{i}")]
-    edges = ranked.agg(*found)
-    return edges.select(
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(
-                quantile_name(p)
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
+def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
+    """One row with the exact quantiles as ``p25``, ``p50``, ..."""
+    found = quantiles_of(ordered_values(df, column), probs)
+    spec = ", ".join(f"{name} double" for name in found)
+    return df.sparkSession.createDataFrame([tuple(found.values())], spec)
+
+
+def _lit(value: float | None) -> Column:
+    return F.lit(value).cast("double")
 
 
 def as_struct(one_row: DataFrame) -> Column:
@@ -109,11 +120,13 @@ def _z_score(df: DataFrame, columns: list[str]) -> dict[str, Column]:
 def _robust(df: DataFrame, columns: list[str]) -> dict[str, Column]:
     out = {}
     for c in columns:
-        q = as_struct(exact_quantiles(df, c, [0.25, 0.5, 0.75]))
-        iqr = q["p75"] - q["p25"]
-        out[c] = F.when(iqr == 0, F.lit(0.0)).otherwise(
-            (F.col(c) - q["p50"]) / F.nullif(iqr, F.lit(0.0))
-        )
+        q = quantiles_of(ordered_values(df, c), [0.25, 0.5, 0.75])
+        if q["p50"] is None:
+            out[c] = _lit(None)
+        elif q["p75"] == q["p25"]:
+            out[c] = F.lit(0.0)
+        else:
+            out[c] = (F.col(c) - F.lit(q["p50"])) / F.lit(q["p75"] - q["p25"])
     return out
 
 
@@ -139,32 +152,48 @@ def normalize_columns(df: DataFrame, columns: list[str], method: str = "min_max"
 
 # --- descriptions ------------------------------------------------------------------
 
+def _moments(values: DataFrame) -> DataFrame:
+    """Count, mean, extremes and the sum of squared deviations from ordered value counts."""
+    weighted = F.sum(F.col("_v") * F.col("_n"))
+    mean = values.agg(F.try_divide(weighted, F.sum("_n"))).scalar()
+    deviation = F.col("_v") - mean
+    return values.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
+        F.try_divide(weighted, F.sum("_n")).alias("mean"),
+        F.sum(deviation * deviation * F.col("_n")).alias("_squares"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+    )
+
+
 def column_statistics(df: DataFrame, column: str) -> DataFrame:
     """Count, moments (population), extremes and five percentiles of a column."""
-    q = as_struct(exact_quantiles(df, column, [0.25, 0.5, 0.75, 0.9, 0.99]))
-    names = ["p25", "p50", "p75", "p90", "p99"]
-    base = df.agg(
-        F.count(column).alias("n"),
-        F.avg(column).alias("mean"),
-        F.stddev_pop(column).alias("std"),
-        F.var_pop(column).alias("variance"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
+    values = ordered_values(df, column)
+    q = quantiles_of(values, [0.25, 0.5, 0.75, 0.9, 0.99])
+    return _moments(values).select(
+        "n",
+        "mean",
+        F.sqrt(F.try_divide("_squares", "n")).alias("std"),
+        F.try_divide("_squares", "n").alias("variance"),
+        "min",
+        "max",
+        _lit(q["p50"]).alias("median"),
+        *[_lit(figure).alias(name) for name, figure in q.items()],
     )
-    return base.withColumn("median", q["p50"]).withColumns({n: q[n] for n in names})
 
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of a column."""
-    q = as_struct(exact_quantiles(df, column, [0.25, 0.5, 0.75]))
-    base = df.agg(
-        F.count(column).alias("count"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
-        F.min(column).cast("double").alias("min"),
-        F.max(column).cast("double").alias("max"),
+    values = ordered_values(df, column)
+    q = quantiles_of(values, [0.25, 0.5, 0.75])
+    return _moments(values).select(
+        F.col("n").alias("count"),
+        "mean",
+        F.sqrt(F.try_divide("_squares", F.col("n") - 1)).alias("std"),
+        "min",
+        "max",
+        *[_lit(figure).alias(name) for name, figure in q.items()],
     )
-    return base.withColumns({"p25": q["p25"], "p50": q["p50"], "p75": q["p75"]})
 
 
 def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -207,18 +236,24 @@ def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return out
 
 
-def iqr_bounds(df: DataFrame, column: str, factor: float) -> tuple[Column, Column]:
-    q = as_struct(exact_quantiles(df, column, [0.25, 0.75]))
-    iqr = q["p75"] - q["p25"]
-    return q["p25"] - F.lit(factor) * iqr, q["p75"] + F.lit(factor) * iqr
 
 
 def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
-    """Number of values outside the quartiles by more than ``factor`` IQR, and the valid range."""
-    low, high = iqr_bounds(df, column, factor)
-    outside = F.count_if((F.col(column) < low) | (F.col(column) > high))
-    counted = df.agg(outside.alias("outliers"), F.count(F.lit(1)).alias("rows"))
-    return counted.withColumn("lower", low).withColumn("upper", high)
+    """Number of values outside the quartiles by more than ``factor`` IQR, and the valid range.
+
+    ``rows`` counts all rows, those without a value included.
+    """
+    values = ordered_values(df, column)
+    q = quantiles_of(values, [0.25, 0.75])
+    if q["p25"] is None:
+        low, high = _lit(None), _lit(None)
+    else:
+        reach = factor * (q["p75"] - q["p25"])
+        low, high = F.lit(q["p25"] - reach), F.lit(q["p75"] + reach)
+    outside = F.sum(F.when((F.col("_v") < low) | (F.col("_v") > high), F.col("_n")))
+    counted = values.agg(F.coalesce(outside, F.lit(0)).alias("outliers"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counted.select("outliers", total.alias("rows"), low.alias("lower"), high.alias("upper"))
 
 
 def correlations(df: DataFrame, columns: list[str] | None = None, digits: int | None = 3) -> DataFrame:

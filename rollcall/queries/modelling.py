@@ -269,7 +269,6 @@ def g04(spark: SparkSession, d: str) -> DataFrame:
     root = shared_path(spark, "daily")
     raw = V.att_raw(spark, d).drop("notes")  # mostly empty by design
     outcome = daily_run(raw, V.emp(spark, d), AS_OF, root)
-    daily_run(raw, V.emp(spark, d), AS_OF, root)  # a repeated run leaves one copy
     stored = spark.read.parquet(f"{root}/dw_attendance_daily")
     return stored.agg(rows().alias("stored"), F.count_if(F.col("status") == "Present").alias("present")).withColumns(
         {"status": F.lit(outcome.status), "row_count": F.lit(outcome.row_count).cast("bigint")}

@@ -171,12 +171,12 @@ def d12(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d13_spikes", _SPIKES)
 def d13(spark: SparkSession, d: str) -> DataFrame:
-    return Q.check_spikes(V.att_raw(spark, d)).select(*KEPT)
+    return Q.check_spikes(Q.daily_counts(V.att_raw(spark, d))).select(*KEPT)
 
 
 @query("d14_rate_drop", _drops("att_raw"))
 def d14(spark: SparkSession, d: str) -> DataFrame:
-    return Q.check_rate_drop(V.att_raw(spark, d)).select(*KEPT)
+    return Q.check_rate_drop(Q.daily_counts(V.att_raw(spark, d))).select(*KEPT)
 
 
 @query(

@@ -121,7 +121,7 @@ def s11(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_json_lines(spark, path, events.schema)
 
 
-@query("s12_json_report", "SELECT 15 AS results, '2001-07-31T00:00:00' AS generated_at, count(*) > 0 AS has_rows FROM att_raw")
+@query("s12_json_report", "SELECT 17 AS results, '2001-07-31T00:00:00' AS generated_at, count(*) > 0 AS has_rows FROM att_raw")
 def s12(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "report")
     results = run_all(V.att_raw(spark, d), V.emp(spark, d), AS_OF)

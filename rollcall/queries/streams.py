@@ -167,7 +167,7 @@ _SESSIONS = """
 
 @query("t09_sessions", _SESSIONS)
 def t09(spark: SparkSession, d: str) -> DataFrame:
-    return wall_time(T.sessions(V.ev(spark, d), delay=None), "window_start", "window_end")
+    return wall_time(T.session_table(V.ev(spark, d)), "window_start", "window_end")
 
 
 @query(

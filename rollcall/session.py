@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "rollcall", master: str | None = None, **conf: str) -> SparkSession:
@@ -20,6 +20,8 @@ def build_session(app: str = "rollcall", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # sessions are merged inside each task before they are shuffled by key
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
@@ -29,9 +31,7 @@ def build_session(app: str = "rollcall", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    checkpoint_root(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -48,11 +48,20 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="rollcall-")
         spark.conf.set("rollcall.local.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{checkpoint_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder once and read from there.
+
+    Later steps see the same rows however often a task is run, do not repeat the
+    work before this point, and read only the columns they need.
+    """
+    path = shared_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

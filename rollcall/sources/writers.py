@@ -71,14 +71,14 @@ def _date_parts(column: str, depth: int) -> dict[str, Column]:
 def write_by_day(df: DataFrame, path: str, column: str = "date", mode: str = "overwrite", depth: int = 3) -> None:
     """Folders ``year=/month=/day=`` (fewer with a smaller ``depth``) on any file system.
 
-    Rows are brought together by day and split further by a hash of the whole
-    row, so that a day with very many rows is written by several tasks.
+    Rebalancing brings the rows of a day together, merges small days into one
+    task and splits a day with very many rows over several, so files come out at
+    about the advisory partition size.
     """
     parts = _date_parts(column, depth)
-    keyed = df.withColumns(parts)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
     (
-        keyed.repartition(*[F.col(p) for p in parts], spread)
+        df.withColumns(parts)
+        .hint("rebalance", *parts)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)

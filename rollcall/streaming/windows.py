@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -71,6 +71,34 @@ def sliding_counts(
     return _flat(counted.agg(F.count(F.lit(1)).alias("events")))
 
 
+def session_table(
+    events: DataFrame, gap_minutes: int = 30, time: str = "event_ts", key: str = "employee_id"
+) -> DataFrame:
+    """The sessions of a stored table, like ``sessions`` but for keys with any number of events.
+
+    Events of a key in the same minute always belong together, so they are reduced
+    to one row per minute before the shuffle; the window sorts at most 1,440 rows
+    per key and day.
+    """
+    minutes = events.groupBy(F.col(key), F.date_trunc("minute", time).alias("_minute")).agg(
+        F.min(time).alias("_first"), F.max(time).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    w = Window.partitionBy(key).orderBy("_minute")
+    pause = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(w))
+    fresh = F.when(pause < gap_minutes * 60_000_000, F.lit(0)).otherwise(F.lit(1))
+    numbered = minutes.withColumn("_fresh", fresh).withColumn("_session", F.sum("_fresh").over(w))
+    gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(gap_minutes))
+    return (
+        numbered.groupBy(key, "_session")
+        .agg(
+            F.min("_first").alias("window_start"),
+            (F.max("_last") + gap).alias("window_end"),
+            F.sum("_n").alias("events"),
+        )
+        .select("window_start", "window_end", key, "events")
+    )
+
+
 def sessions(
     events: DataFrame,
     gap: str = "30 minutes",
@@ -78,7 +106,7 @@ def sessions(
     time: str = "event_ts",
     key: str = "employee_id",
 ) -> DataFrame:
-    """Runs of events of one key with no pause of ``gap`` or longer."""
+    """Runs of events of one key with no pause of ``gap`` or longer, on a stream."""
     counted = _watermarked(events, time, delay).groupBy(F.session_window(time, gap).alias("window"), key)
     return _flat(counted.agg(F.count(F.lit(1)).alias("events")))
 
