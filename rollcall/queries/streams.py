@@ -158,7 +158,7 @@ def t08(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SESSIONS = """
-    WITH m AS (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
+    WITH m AS (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
                FROM ev WINDOW w AS (PARTITION BY employee_id ORDER BY event_ts, event_id)),
          s AS (SELECT *, sum(fresh) OVER (PARTITION BY employee_id ORDER BY event_ts, event_id) AS n FROM m)
     SELECT min(event_ts) AS window_start, max(event_ts) + INTERVAL 30 MINUTE AS window_end, employee_id,

@@ -85,7 +85,7 @@ def session_table(
     )
     w = Window.partitionBy(key).orderBy("_minute")
     pause = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(w))
-    fresh = F.when(pause < gap_minutes * 60_000_000, F.lit(0)).otherwise(F.lit(1))
+    fresh = F.when(pause <= gap_minutes * 60_000_000, F.lit(0)).otherwise(F.lit(1))
     numbered = minutes.withColumn("_fresh", fresh).withColumn("_session", F.sum("_fresh").over(w))
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(gap_minutes))
     return (
@@ -106,7 +106,7 @@ def sessions(
     time: str = "event_ts",
     key: str = "employee_id",
 ) -> DataFrame:
-    """Runs of events of one key with no pause of ``gap`` or longer, on a stream."""
+    """Runs of events of one key with no pause longer than ``gap``, on a stream."""
     counted = _watermarked(events, time, delay).groupBy(F.session_window(time, gap).alias("window"), key)
     return _flat(counted.agg(F.count(F.lit(1)).alias("events")))
 

@@ -102,9 +102,10 @@ def test_sessions_agree_with_the_built_in_window(spark):
     rng = random.Random(6)
     start = datetime(2024, 1, 1)
     times = [start + timedelta(seconds=rng.randint(0, 200_000), microseconds=rng.randint(0, 999_999)) for _ in range(500)]
-    # pauses of exactly the gap, which start a new session
-    times += [start + timedelta(days=9), start + timedelta(days=9, minutes=30), start + timedelta(days=9, minutes=59, seconds=59)]
     rows = [("hot" if i % 2 else str(i % 5), t) for i, t in enumerate(times)]
+    # a pause of exactly the gap, and one a second longer
+    later = start + timedelta(days=9)
+    rows += [("hot", later + timedelta(seconds=s)) for s in (0, 1800, 3601)]
     df = spark.createDataFrame(rows, "employee_id string, event_ts timestamp")
     assert rows_of(T.session_table(df)) == rows_of(T.sessions(df, delay=None).select("window_start", "window_end", "employee_id", "events"))
 
