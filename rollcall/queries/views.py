@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from rollcall.functions.scalar import day_name
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 # Names the derived columns draw from.
 DEPARTMENT_NAMES = [
@@ -20,35 +19,131 @@ LOCATION_NAMES = ["Lucknow", "Mumbai", "Delhi", "Bangalore", "Hyderabad", "Chenn
 DESIGNATION_NAMES = ["Analyst", "Senior Analyst", "Manager", "Senior Manager", "Director"]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One benchmark table; its schema is looked up once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def _pick(names: list[str], index: str) -> str:
+    values = ", ".join(f"'{n}'" for n in names)
+    return f"element_at(array({values}), CAST({index} AS INT) + 1)"
+
+
+def _department(key: str) -> str:
+    slot = f"({key} * 7 + 3) % 11"
+    return _pick(DEPARTMENT_NAMES, f"if({slot} >= 8, 0, {slot})")
+
+
+def _choose(cases: dict[str, str], otherwise: str | None = None) -> str:
+    """CASE from conditions and text values."""
+    whens = " ".join(f"WHEN {condition} THEN '{value}'" for condition, value in cases.items())
+    return f"CASE {whens}{f' ELSE {chr(39)}{otherwise}{chr(39)}' if otherwise else ''} END"
+
+
+EMP = f"""
+    c_custkey AS employee_id
+    c_name AS name
+    CASE WHEN c_custkey % 50 = 3 THEN NULL WHEN c_custkey % 50 = 7 THEN c_name ELSE concat(c_name, '@Corp.example ') END AS email
+    {_department("c_custkey")} AS department
+    {_pick(DESIGNATION_NAMES, "c_custkey % 5")} AS designation
+    {_pick(LOCATION_NAMES, "c_custkey % 6")} AS location
+    if(c_custkey >= 5, c_custkey % 5, NULL) AS manager_id
+    date_add(DATE '2015-01-01', CAST(c_custkey % 2000 AS INT)) AS join_date
+    c_acctbal * 16 AS salary
+    c_custkey % 20 <> 0 AS is_active
+"""
+
+_SHARE = "(o_orderkey * 7) % 100"
+_ATT_STATUS = _choose({
+    f"{_SHARE} < 65": "Present", f"{_SHARE} < 73": "Absent", f"{_SHARE} < 83": "Late",
+    f"{_SHARE} < 88": "Half-Day", f"{_SHARE} < 96": "Work-From-Home", f"{_SHARE} < 98": "On-Leave",
+})
+_PRIORITY = "substring(o_orderpriority, 1, 1)"
+_ATT_SHIFT = _choose(
+    {f"{_PRIORITY} IN ('1', '2')": "Morning", f"{_PRIORITY} = '3'": "Afternoon", f"{_PRIORITY} = '4'": "Night"}, "Evening"
+)
+
+ATT = f"""
+    o_orderkey AS attendance_id
+    o_custkey AS employee_id
+    CAST(o_orderdate AS DATE) AS date
+    date_format(o_orderdate, 'EEEE') AS day_of_week
+    {_ATT_SHIFT} AS shift
+    {_ATT_STATUS} AS status
+    if(o_orderkey % 20 <> 7, '09:00:00', NULL) AS check_in
+    if(o_orderkey % 20 <> 7, '17:00:00', NULL) AS check_out
+    if(o_orderkey % 20 <> 7, (o_orderkey * 13) % 40 / 2 - 2, NULL) AS hours_worked
+    (o_orderkey * 13) % 12 / 2 AS overtime_hours
+    if(o_orderkey % 50 <> 11, {_department("o_custkey")}, NULL) AS department
+    {_pick(LOCATION_NAMES, "o_custkey % 6")} AS location
+    if(o_orderkey % 10 = 0, 'note', NULL) AS notes
+"""
+
+ATT_RAW = """
+    if(attendance_id % 97 = 5, 'not-a-date', CAST(date AS STRING)) AS date
+    if(attendance_id % 211 <> 3, employee_id, NULL) AS employee_id
+    if(attendance_id % 31 <> 4, overtime_hours, NULL) AS overtime_hours
+"""
 
+_EV_STATUS = _choose({
+    "event_type IN ('view', 'click')": "Present", "event_type = 'error'": "Absent",
+    "event_type = 'signup'": "Late", "event_type = 'purchase'": "Work-From-Home",
+})
+
+ATT_EV = f"""
+    event_id AS attendance_id
+    user_id AS employee_id
+    CAST(ts AS DATE) AS date
+    date_format(ts, 'EEEE') AS day_of_week
+    {_EV_STATUS} AS status
+    floor(value * 2) / 2 AS hours_worked
+    CAST(floor(value) % 5 AS DOUBLE) AS overtime_hours
+    {_department("user_id")} AS department
+"""
+
+LEAVES = f"""
+    l_orderkey * 10 + l_linenumber AS leave_id
+    l_suppkey AS employee_id
+    {_choose({"l_returnflag = 'A'": "Sick", "l_returnflag = 'N'": "Casual"}, "Earned")} AS leave_type
+    CAST(l_shipdate AS DATE) AS start_date
+    date_add(CAST(l_shipdate AS DATE), l_linenumber % 5 + 1) AS end_date
+    l_linestatus = 'F' AS approved
+    l_suppkey % 5 AS approved_by
+"""
 
-def _pick(names: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+_EV_TYPE = _choose(
+    {"event_type = 'view'": "CHECK_IN", "event_type = 'click'": "CHECK_OUT", "event_type = 'error'": "BREAK_START",
+     "event_type = 'signup'": "BREAK_END"}, "OVERTIME_START"
+)
+
+EV = f"""
+    CAST(event_id AS STRING) AS event_id
+    CAST(user_id AS STRING) AS employee_id
+    {_EV_TYPE} AS event_type
+    date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") AS timestamp
+    {_department("user_id")} AS department
+    {_pick(LOCATION_NAMES, "user_id % 6")} AS location
+    concat('DEV', user_id % 10) AS device_id
+    if(user_id % 2 = 0, 'mobile', 'biometric') AS source
+    CAST(ts AS TIMESTAMP) AS event_ts
+    CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, CAST(get_json_object(props, '$.k') AS DECIMAL(18, 6))) AS processing_time
+    props
+"""
 
 
-def _department(key: Column) -> Column:
-    slot = (key * 7 + 3) % 11
-    return _pick(DEPARTMENT_NAMES, F.when(slot >= 8, F.lit(0)).otherwise(slot))
+def _columns(text: str) -> list[str]:
+    return [line.strip() for line in text.strip().splitlines()]
 
 
 def emp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees from customer."""
-    k = F.col("c_custkey")
-    mail = F.concat(F.col("c_name"), F.lit("@Corp.example "))
-    return table(spark, sf_dir, "customer").select(
-        k.alias("employee_id"),
-        F.col("c_name").alias("name"),
-        F.when(k % 50 == 3, F.lit(None)).when(k % 50 == 7, F.col("c_name")).otherwise(mail).alias("email"),
-        _department(k).alias("department"),
-        _pick(DESIGNATION_NAMES, k % 5).alias("designation"),
-        _pick(LOCATION_NAMES, k % 6).alias("location"),
-        F.when(k >= 5, k % 5).alias("manager_id"),
-        F.date_add(F.lit("2015-01-01").cast("date"), (k % 2000).cast("int")).alias("join_date"),
-        (F.col("c_acctbal") * 16).alias("salary"),
-        (k % 20 != 0).alias("is_active"),
-    )
+    return table(spark, sf_dir, "customer").selectExpr(*_columns(EMP))
 
 
 def dept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,117 +155,31 @@ def dept(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _att_columns(k: Column) -> dict[str, Column]:
-    share = (k * 7) % 100
-    status = (
-        F.when(share < 65, "Present").when(share < 73, "Absent").when(share < 83, "Late")
-        .when(share < 88, "Half-Day").when(share < 96, "Work-From-Home").when(share < 98, "On-Leave")
-    )
-    half_hours = (k * 13) % 40
-    return {
-        "status": status,
-        "hours_worked": F.when(k % 20 != 7, half_hours / F.lit(2.0) - 2),
-        "overtime_hours": ((k * 13) % 12) / F.lit(2.0),
-    }
-
-
 def att(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attendance from orders: typed dates, some statuses, hours and departments missing."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    day = F.col("o_orderdate").cast("date")
-    priority = F.substring("o_orderpriority", 1, 1)
-    cols = _att_columns(k)
-    return table(spark, sf_dir, "orders").select(
-        k.alias("attendance_id"),
-        c.alias("employee_id"),
-        day.alias("date"),
-        day_name(day).alias("day_of_week"),
-        F.when(priority.isin("1", "2"), "Morning").when(priority == "3", "Afternoon")
-        .when(priority == "4", "Night").otherwise("Evening").alias("shift"),
-        cols["status"].alias("status"),
-        F.when(k % 20 != 7, F.lit("09:00:00")).alias("check_in"),
-        F.when(k % 20 != 7, F.lit("17:00:00")).alias("check_out"),
-        cols["hours_worked"].alias("hours_worked"),
-        cols["overtime_hours"].alias("overtime_hours"),
-        F.when(k % 50 != 11, _department(c)).alias("department"),
-        _pick(LOCATION_NAMES, c % 6).alias("location"),
-        F.when(k % 10 == 0, F.lit("note")).alias("notes"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(*_columns(ATT))
 
 
 def att_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attendance as it would come from a file: date text, some unreadable, some ids missing."""
-    k = F.col("attendance_id")
-    return att(spark, sf_dir).withColumns(
-        {
-            "date": F.when(k % 97 == 5, "not-a-date").otherwise(F.col("date").cast("string")),
-            "employee_id": F.when(k % 211 != 3, F.col("employee_id")),
-            "overtime_hours": F.when(k % 31 != 4, F.col("overtime_hours")),
-        }
-    )
+    typed = att(spark, sf_dir)
+    changed = {line.rsplit(" AS ", 1)[1]: line for line in _columns(ATT_RAW)}
+    return typed.selectExpr(*[changed.get(c, c) for c in typed.columns])
 
 
 def att_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A denser attendance table from events: several rows per employee and day."""
-    u, day = F.col("user_id"), F.col("ts").cast("date")
-    status = (
-        F.when(F.col("event_type").isin("view", "click"), "Present")
-        .when(F.col("event_type") == "error", "Absent")
-        .when(F.col("event_type") == "signup", "Late")
-        .when(F.col("event_type") == "purchase", "Work-From-Home")
-    )
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("attendance_id"),
-        u.alias("employee_id"),
-        day.alias("date"),
-        day_name(day).alias("day_of_week"),
-        status.alias("status"),
-        (F.floor(F.col("value") * 2) / F.lit(2.0)).alias("hours_worked"),
-        (F.floor(F.col("value")) % 5).cast("double").alias("overtime_hours"),
-        _department(u).alias("department"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*_columns(ATT_EV))
 
 
 def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leave requests from lineitem."""
-    start = F.col("l_shipdate").cast("date")
-    kind = (
-        F.when(F.col("l_returnflag") == "A", "Sick").when(F.col("l_returnflag") == "N", "Casual")
-        .otherwise("Earned")
-    )
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("leave_id"),
-        F.col("l_suppkey").alias("employee_id"),
-        kind.alias("leave_type"),
-        start.alias("start_date"),
-        F.date_add(start, F.col("l_linenumber") % 5 + 1).alias("end_date"),
-        (F.col("l_linestatus") == "F").alias("approved"),
-        (F.col("l_suppkey") % 5).alias("approved_by"),
-    )
+    return table(spark, sf_dir, "lineitem").selectExpr(*_columns(LEAVES))
 
 
 def events_to_ev(events: DataFrame) -> DataFrame:
     """Check-in events from events; works on the table and on a stream of it."""
-    kind = (
-        F.when(F.col("event_type") == "view", "CHECK_IN").when(F.col("event_type") == "click", "CHECK_OUT")
-        .when(F.col("event_type") == "error", "BREAK_START").when(F.col("event_type") == "signup", "BREAK_END")
-        .otherwise("OVERTIME_START")
-    )
-    u, ts = F.col("user_id"), F.col("ts").cast("timestamp")
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        u.cast("string").alias("employee_id"),
-        kind.alias("event_type"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        _department(u).alias("department"),
-        _pick(LOCATION_NAMES, u % 6).alias("location"),
-        F.concat(F.lit("DEV"), (u % 10).cast("string")).alias("device_id"),
-        F.when(u % 2 == 0, "mobile").otherwise("biometric").alias("source"),
-        ts.alias("event_ts"),
-        (ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), k.cast("decimal(18,6)"))).alias("processing_time"),
-        "props",
-    )
+    return events.selectExpr(*_columns(EV))
 
 
 def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
