@@ -21,6 +21,7 @@ from rollcall.functions.scalar import (
     year_month,
 )
 from rollcall.operators.relational import complete_categories, in_month_of, since_days
+from rollcall.operators.skew import lookup_join
 from rollcall.operators.windows import share_of_total
 from rollcall.schemas import WORKDAYS
 
@@ -324,10 +325,9 @@ def hours_per_row_by_department(att: DataFrame) -> DataFrame:
 
 def overtime_by_department(emp: DataFrame, att: DataFrame) -> DataFrame:
     """Mean, maximum and sketched median of positive overtime per department of the employee."""
+    worked = att.filter(F.col("overtime_hours") > 0).select("employee_id", "overtime_hours")
     return (
-        att.filter(F.col("overtime_hours") > 0)
-        .select("employee_id", "overtime_hours")
-        .join(emp.select("employee_id", "department"), "employee_id")
+        lookup_join(worked, emp.select("employee_id", "department"), ["employee_id"], "inner")
         .groupBy("department")
         .agg(
             F.avg("overtime_hours").alias("avg_overtime"),

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions.scalar import ColumnLike, as_col, hash_fraction_below, is_true, is_weekend
+from rollcall.operators.skew import lookup_join
 from rollcall.schemas import WORKDAYS
 
 
@@ -88,15 +89,15 @@ def make_dirty(att: DataFrame, key: str = "attendance_id") -> DataFrame:
 # --- joins ---------------------------------------------------------------------
 
 def with_employee(att: DataFrame, emp: DataFrame, how: str = "inner") -> DataFrame:
-    """Attendance rows with the name of the employee. Join strategy is left to Spark."""
-    return att.join(emp.select("employee_id", "name"), "employee_id", how)
+    """Attendance rows with the name of the employee."""
+    return lookup_join(att, emp.select("employee_id", "name"), ["employee_id"], how)
 
 
 def enrich(att: DataFrame, emp: DataFrame, dept: DataFrame) -> DataFrame:
     """Attendance with employee attributes and the head of the department (left joins)."""
     people = emp.select("employee_id", "name", "designation", "salary", "join_date", "is_active")
     heads = dept.select(F.col("department_name").alias("department"), "head")
-    return att.join(people, "employee_id", "left").join(heads, "department", "left")
+    return lookup_join(lookup_join(att, people, ["employee_id"]), heads, ["department"])
 
 
 def above_average_overtime(emp: DataFrame, att: DataFrame) -> DataFrame:
@@ -113,34 +114,44 @@ def above_average_overtime(emp: DataFrame, att: DataFrame) -> DataFrame:
 def absent_while_manager_present(emp: DataFrame, att: DataFrame) -> DataFrame:
     """(employee, date, manager) where the employee is absent and the manager present.
 
-    Both sides are filtered and cut to the columns needed before they meet.
+    There is one record per employee and date in sound data. Where there are more,
+    ``matches`` tells how many pairs of records stand behind the row, instead of
+    listing every pair: both sides are counted per employee and date first.
     """
-    absent = att.filter(F.col("status") == "Absent").select(
-        F.col("attendance_id"), F.col("employee_id").alias("emp_id"), "date"
+    absent = (
+        att.filter(F.col("status") == "Absent")
+        .groupBy(F.col("employee_id").alias("emp_id"), "date")
+        .agg(F.count(F.lit(1)).alias("_absent"))
     )
     managers = emp.filter(F.col("manager_id").isNotNull()).select(
         F.col("employee_id").alias("emp_id"), "manager_id"
     )
-    present = att.filter(F.col("status") == "Present").select(
-        F.col("attendance_id").alias("manager_attendance_id"),
-        F.col("employee_id").alias("manager_id"),
-        "date",
-        F.col("status").alias("manager_status"),
+    present = (
+        att.filter(F.col("status") == "Present")
+        .groupBy(F.col("employee_id").alias("manager_id"), "date")
+        .agg(F.count(F.lit(1)).alias("_present"))
     )
-    return absent.join(managers, "emp_id").join(present, ["manager_id", "date"]).select(
-        "emp_id", "date", "manager_id", "manager_status", "attendance_id", "manager_attendance_id"
+    return (
+        absent.join(managers, "emp_id")
+        .join(present, ["manager_id", "date"])
+        .select(
+            "emp_id",
+            "date",
+            "manager_id",
+            F.lit("Present").alias("manager_status"),
+            (F.col("_absent") * F.col("_present")).alias("matches"),
+        )
     )
 
 
 def latest_absences_while_manager_present(emp: DataFrame, att: DataFrame, k: int = 100) -> DataFrame:
-    order = [F.desc("date"), F.col("attendance_id"), F.col("manager_attendance_id")]
-    return absent_while_manager_present(emp, att).orderBy(*order).limit(k)
+    return absent_while_manager_present(emp, att).orderBy(F.desc("date"), "emp_id").limit(k)
 
 
 def orphans(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
     """Rows whose key is not in the reference column; a null key is an orphan too."""
-    keys = ref.select(F.col(ref_column).alias("_ref")).distinct()
-    return df.join(keys, F.col(column) == F.col("_ref"), "left_anti")
+    known = ref.select(F.col(ref_column).alias(column)).distinct()
+    return lookup_join(df, known, [column], "left_anti")
 
 
 def complete_categories(df: DataFrame, column: str, categories: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Finding the few keys that hold too many rows for one task."""
+"""Keys that hold too many rows for one task, and joins that cope with them."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 1_000
 
+# A table of at most this many rows may be broadcast.
+BROADCAST_ROWS = 200_000
+
 
 def hot_keys(df: DataFrame, keys: list[str], max_rows: int = ROWS_PER_TASK) -> DataFrame | None:
     """The keys with more than ``max_rows`` rows, or None when there are none.
@@ -41,3 +44,27 @@ def same_keys(keys: list[str], prefix: str) -> Column:
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
     return cond
+
+
+def lookup_join(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    small: int = BROADCAST_ROWS,
+    max_rows: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Join many rows to a table that has one row per key (left, inner, semi or anti).
+
+    A table that is counted to be small is broadcast. Otherwise both sides are
+    shuffled by key, apart from the rows of hot keys: those stay where they are
+    and meet the few table rows of their keys by broadcast.
+    """
+    if table.count() <= small:
+        return rows.join(F.broadcast(table), keys, how)
+    hot = hot_keys(rows, keys, max_rows)
+    if hot is None:
+        return rows.join(table, keys, how)
+    cold_rows, hot_rows = split_hot(rows, keys, hot)
+    few = table.join(F.broadcast(hot), keys, "left_semi")
+    return cold_rows.join(table, keys, how).unionByName(hot_rows.join(F.broadcast(few), keys, how))

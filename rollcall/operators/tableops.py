@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rollcall.operators.skew import lookup_join
 from rollcall.operators.windows import keep_first
 from rollcall.sources.files import delete_path, path_exists
 
@@ -20,8 +21,8 @@ def upsert(
     Columns the source does not have keep the target's values (null in new rows).
     Several source rows with one key are reduced to the first in ``latest_first``.
 
-    The target is only ever the left side of a left join, so a small source is
-    broadcast by its size, and a large one is joined with skew handling.
+    The target is only ever the many-rows side of a lookup, so a small source is
+    broadcast and a large one is joined with hot keys apart.
     """
     if latest_first:
         source = keep_first(source, keys, latest_first)
@@ -29,7 +30,7 @@ def upsert(
     changes = source.select(
         *keys, *[F.col(c).alias(f"_s_{c}") for c in shared], F.lit(True).alias("_hit")
     )
-    updated = target.join(changes, keys, "left").select(
+    updated = lookup_join(target, changes, keys).select(
         *[
             F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in shared else F.col(c)
             for c in target.columns

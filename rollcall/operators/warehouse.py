@@ -18,6 +18,7 @@ from rollcall.functions.scalar import (
     status_is,
 )
 from rollcall.operators.ordering import with_position
+from rollcall.operators.skew import lookup_join
 
 # The shifts with their keys and times.
 SHIFT_ROWS = [
@@ -83,8 +84,7 @@ def fact_attendance(att: DataFrame, employees: DataFrame, departments: DataFrame
     emp_keys = employees.select("employee_id", "emp_key")
     dept_keys = departments.select("department", "dept_key")
     return (
-        att.join(emp_keys, "employee_id", "left")
-        .join(dept_keys, "department", "left")
+        lookup_join(lookup_join(att, emp_keys, ["employee_id"]), dept_keys, ["department"])
         .select(
             F.col("attendance_id").alias("fact_id"),
             date_key(parse_date("date")).alias("date_key"),

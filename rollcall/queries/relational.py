@@ -230,10 +230,10 @@ def j04(spark: SparkSession, d: str) -> DataFrame:
 
 _MANAGER_SQL = """
     SELECT a1.employee_id AS emp_id, CAST(a1.date AS VARCHAR) AS date, e.manager_id, a2.status AS manager_status,
-           a1.attendance_id, a2.attendance_id AS manager_attendance_id
+           count(*) AS matches
     FROM att_ev a1 JOIN emp e ON a1.employee_id = e.employee_id
     JOIN att_ev a2 ON e.manager_id = a2.employee_id AND a1.date = a2.date
-    WHERE a1.status = 'Absent' AND a2.status = 'Present'"""
+    WHERE a1.status = 'Absent' AND a2.status = 'Present' GROUP BY ALL"""
 
 
 @query("j05_absent_while_manager_present", _MANAGER_SQL)
@@ -301,7 +301,7 @@ def o01(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "o02_latest_100",
-    _MANAGER_SQL + " ORDER BY a1.date DESC, a1.attendance_id, a2.attendance_id LIMIT 100",
+    _MANAGER_SQL + " ORDER BY date DESC, emp_id LIMIT 100",
 )
 def o02(spark: SparkSession, d: str) -> DataFrame:
     return R.latest_absences_while_manager_present(V.emp(spark, d), V.att_ev(spark, d), 100)

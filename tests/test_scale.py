@@ -9,10 +9,11 @@ from pyspark.sql import Window, functions as F
 
 from conftest import rows_of
 from rollcall.functions.scalar import partition_number
+from rollcall.operators import relational as R
 from rollcall.operators import statistics as N
 from rollcall.operators import windows as W
 from rollcall.operators.ordering import with_position, with_position_within
-from rollcall.operators.skew import hot_keys
+from rollcall.operators.skew import hot_keys, lookup_join
 from rollcall.streaming import events as E
 from rollcall.streaming import windows as T
 
@@ -120,3 +121,21 @@ def test_moving_average_over_days(spark):
     df = spark.createDataFrame(rows, "employee_id int, date date, hours_worked double")
     got = W.moving_average_days(df, "hours_worked", ["employee_id"], "date", "avg7").orderBy("date").collect()
     assert [r.avg7 for r in got] == [1.0, 1.5, 5.0, 20.0]
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_lookup_join_paths_agree(spark, skewed, how):
+    names = spark.createDataFrame([(i, f"n{i}") for i in (1, 2, 3, 4, 50)], "employee_id bigint, name string")
+    want = rows_of(skewed.join(names, "employee_id", how))
+    for small, hot in ((10, 10), (2, 100), (2, 10_000)):
+        assert rows_of(lookup_join(skewed, names, ["employee_id"], how, small, hot)) == want
+
+
+def test_absent_while_manager_present_counts_pairs(spark):
+    emp = spark.createDataFrame([(1, None), (2, 1), (3, 1)], "employee_id int, manager_id int")
+    day = date(2024, 1, 1)
+    att = spark.createDataFrame(
+        [(1, day, "Present"), (1, day, "Present"), (2, day, "Absent"), (3, day, "Late"), (2, date(2024, 1, 2), "Absent")],
+        "employee_id int, date date, status string",
+    )
+    assert rows_of(R.absent_while_manager_present(emp, att)) == [(2, day, 1, "Present", 2)]
