@@ -34,10 +34,6 @@ def parse_number(c: ColumnLike, default: float | None = 0.0) -> Column:
     return number if default is None else F.coalesce(number, F.lit(default))
 
 
-def nan_to_null(c: ColumnLike) -> Column:
-    return F.nanvl(as_col(c), F.lit(None).cast("double"))
-
-
 # --- dates -------------------------------------------------------------------
 
 def year_month(c: ColumnLike) -> Column:

@@ -200,14 +200,6 @@ def differences(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFr
     return net.withColumn("side", side).withColumn("copies", F.abs("_net")).drop("_net")
 
 
-def weekday_order() -> Column:
-    """Sort key that puts Monday to Friday in calendar order."""
-    out = F.when(F.lit(False), F.lit(0))
-    for i, name in enumerate(WORKDAYS):
-        out = out.when(F.col("day_of_week") == name, F.lit(i))
-    return out.otherwise(F.lit(len(WORKDAYS)))
-
-
 def contains(c: ColumnLike, part: str) -> Column:
     """Substring test in which null does not contain anything."""
     return is_true(as_col(c).contains(part))

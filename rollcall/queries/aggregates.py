@@ -258,7 +258,12 @@ def a21(spark: SparkSession, d: str) -> DataFrame:
     return A.overtime_by_department_exact(V.emp(spark, d), V.att(spark, d))
 
 
-@query("a21_overtime_by_department")
+@query(
+    "a21_overtime_by_department",
+    """SELECT e.department, avg(a.overtime_hours) AS avg_overtime, max(a.overtime_hours) AS max_overtime,
+              quantile_disc(a.overtime_hours, 0.5) AS median_overtime
+       FROM att a JOIN emp e ON a.employee_id = e.employee_id WHERE a.overtime_hours > 0 GROUP BY e.department""",
+)
 def a21b(spark: SparkSession, d: str) -> DataFrame:
     return A.overtime_by_department(V.emp(spark, d), V.att(spark, d))
 

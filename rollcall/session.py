@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.sources.files import delete_path
+
+_WRITTEN: list[str] = []
+
 
 def build_session(app: str = "rollcall", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is designed for.
@@ -64,4 +68,13 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what ``written`` has left in the shared folder, once no result needs it any more."""
+    count = len(_WRITTEN)
+    while _WRITTEN:
+        delete_path(spark, _WRITTEN.pop())
+    return count

@@ -198,3 +198,14 @@ class TestJobs:
         assert outcome.status == "failed" and outcome.null_rate > 0.3
         assert daily_run(attendance.limit(0), employees, date(2024, 1, 1), root).status == "failed"
         assert list_names(spark, root) == []
+
+
+def test_release_deletes_only_what_was_staged(spark):
+    from rollcall.session import release, written
+    from rollcall.sources.files import path_exists
+
+    staged = written(spark.range(3), "staged")
+    path = staged.inputFiles()[0].rsplit("/", 1)[0]
+    assert staged.count() == 3 and path_exists(spark, path)
+    assert release(spark) >= 1 and not path_exists(spark, path)
+    assert release(spark) == 0
