@@ -222,8 +222,8 @@ def m14(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "g01_batch_ingest",
-    """SELECT 4 AS files_processed, (SELECT count(*) FROM dept) + (SELECT count(*) FROM emp)
-              + (SELECT count(*) FROM att_raw) + (SELECT count(*) FROM leaves) AS rows_ingested, 0 AS files_failed""",
+    """SELECT CAST(4 AS BIGINT) AS files_processed, (SELECT count(*) FROM dept) + (SELECT count(*) FROM emp)
+              + (SELECT count(*) FROM att_raw) + (SELECT count(*) FROM leaves) AS rows_ingested, CAST(0 AS BIGINT) AS files_failed""",
 )
 def g01(spark: SparkSession, d: str) -> DataFrame:
     root = shared_path(spark, "ingest")

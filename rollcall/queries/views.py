@@ -272,6 +272,9 @@ SQL_VIEWS: dict[str, str] = {
         FROM events""",
 }
 
+# date parts are 32-bit integers in Spark and 64-bit ones in the reference engine
+_DATE_PART = re.compile(r"\b(?:year|month|day|week|hour|quarter|isodow)\((?:[^()]|\([^()]*\))*\)")
+
 _NEEDS = {"dept": ["emp"], "att_raw": ["att"]}
 
 
@@ -284,7 +287,7 @@ def reference_sql(body: str) -> str:
         for need in [*_NEEDS.get(v, []), v]:
             if need not in ordered:
                 ordered.append(need)
-    body = body.strip()
+    body = _DATE_PART.sub(lambda m: f"CAST({m.group()} AS INTEGER)", body.strip())
     if not ordered:
         return body
     views = ", ".join(f"{v} AS ({SQL_VIEWS[v]})" for v in ordered)
