@@ -50,8 +50,16 @@ def block_offsets(blocks: DataFrame) -> DataFrame:
     return per_block.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
 
 
-def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """Add the 1-based position of each row in the whole table."""
+def with_position(
+    df: DataFrame, order: list[Column], name: str = "position", small: int = 0
+) -> DataFrame:
+    """Add the 1-based position of each row in the whole table.
+
+    With ``small``, a table that is counted to have at most so many rows is numbered
+    in one task. That pays for tables that are cheap to count.
+    """
+    if small and df.count() <= small:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
     blocks = ordered_blocks(df, order)
     offsets = F.broadcast(block_offsets(blocks))
     return (

@@ -67,4 +67,6 @@ def lookup_join(
         return rows.join(table, keys, how)
     cold_rows, hot_rows = split_hot(rows, keys, hot)
     few = table.join(F.broadcast(hot), keys, "left_semi")
+    if few.count() > small:  # the table has many rows for a hot key after all
+        return rows.join(table, keys, how)
     return cold_rows.join(table, keys, how).unionByName(hot_rows.join(F.broadcast(few), keys, how))

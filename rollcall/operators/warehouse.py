@@ -18,7 +18,7 @@ from rollcall.functions.scalar import (
     status_is,
 )
 from rollcall.operators.ordering import with_position
-from rollcall.operators.skew import lookup_join
+from rollcall.operators.skew import BROADCAST_ROWS, lookup_join
 
 # The shifts with their keys and times.
 SHIFT_ROWS = [
@@ -47,7 +47,7 @@ def dim_date(att: DataFrame, column: str = "date") -> DataFrame:
     )
 
 
-def dim_employee(emp: DataFrame) -> DataFrame:
+def dim_employee(emp: DataFrame, small: int = BROADCAST_ROWS) -> DataFrame:
     """Employees with a surrogate key in employee order, salary band and open validity."""
     chosen = emp.select(
         "employee_id", "name", "department", "designation", "location", "salary",
@@ -56,15 +56,15 @@ def dim_employee(emp: DataFrame) -> DataFrame:
         F.lit(None).cast("date").alias("effective_to"),
         F.lit(True).alias("is_current"),
     )
-    return with_position(chosen, [F.col("employee_id")], "emp_key")
+    return with_position(chosen, [F.col("employee_id")], "emp_key", small)
 
 
-def dim_department(dept: DataFrame) -> DataFrame:
+def dim_department(dept: DataFrame, small: int = BROADCAST_ROWS) -> DataFrame:
     chosen = dept.select(
         F.col("department_name").alias("department"), "head", "budget",
         budget_tier("budget").alias("budget_tier"),
     )
-    return with_position(chosen, [F.col("department")], "dept_key")
+    return with_position(chosen, [F.col("department")], "dept_key", small)
 
 
 def dim_shift(spark: SparkSession) -> DataFrame:

@@ -272,7 +272,7 @@ def a21b(spark: SparkSession, d: str) -> DataFrame:
     "a24_kpis",
     """SELECT (SELECT count(DISTINCT employee_id) FROM att) AS total_employees,
               CAST(100 AS DOUBLE) * avg(CASE WHEN status = 'Present' THEN 1 ELSE 0 END) AS attendance_rate,
-              avg(coalesce(hours_worked, 0)) AS avg_hours, CAST(sum(overtime_hours) AS BIGINT) AS total_overtime,
+              avg(coalesce(hours_worked, 0)) AS avg_hours, CAST(trunc(sum(overtime_hours)) AS BIGINT) AS total_overtime,
               count(*) FILTER (status = 'Absent') AS absent_records,
               CAST(100 AS DOUBLE) * avg(CASE WHEN status = 'Present' THEN 1 ELSE 0 END) - 85 AS vs_target
        FROM att WHERE department = 'Finance'""",

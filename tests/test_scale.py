@@ -127,8 +127,11 @@ def test_moving_average_over_days(spark):
 def test_lookup_join_paths_agree(spark, skewed, how):
     names = spark.createDataFrame([(i, f"n{i}") for i in (1, 2, 3, 4, 50)], "employee_id bigint, name string")
     want = rows_of(skewed.join(names, "employee_id", how))
-    for small, hot in ((10, 10), (2, 100), (2, 10_000)):
+    for small, hot in ((10, 10), (4, 100), (2, 10_000)):
         assert rows_of(lookup_join(skewed, names, ["employee_id"], how, small, hot)) == want
+    # a table that turns out to repeat a hot key
+    names = names.unionByName(names).unionByName(names)
+    assert rows_of(lookup_join(skewed, names, ["employee_id"], how, 2, 100)) == rows_of(skewed.join(names, "employee_id", how))
 
 
 def test_absent_while_manager_present_counts_pairs(spark):
