@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.functions.scalar import (
+    clamp_filled,
     clean_text,
     clip,
     flag,
@@ -14,6 +15,7 @@ from rollcall.functions.scalar import (
     parse_date,
     parse_number,
     productivity,
+    round_to,
     status_is,
     weekday_number,
     year_month,
@@ -106,24 +108,24 @@ def etl_clean(raw: DataFrame, digits: int | None = 3) -> DataFrame:
     )
 
 
-def elt_clean(raw: DataFrame, digits: int = 3) -> DataFrame:
-    """Cleaning of a staged table in SQL; the date is kept as it is and only has to be there."""
-    return raw.sparkSession.sql(
-        """
-        SELECT attendance_id, employee_id, date, day_of_week, shift,
-               coalesce(status, 'Unknown') AS status,
-               check_in, check_out,
-               least(greatest(coalesce(hours_worked, 0D), 0D), 14D) AS hours_worked,
-               least(greatest(coalesce(overtime_hours, 0D), 0D), 4D) AS overtime_hours,
-               department, location,
-               CASE WHEN status = 'Present' THEN 1 ELSE 0 END AS is_present,
-               round(least(greatest(coalesce(hours_worked, 0D) / 8D, 0D), 1.5D), :digits)
-                   AS productivity_score
-        FROM {staged}
-        WHERE employee_id IS NOT NULL AND date IS NOT NULL
-        """,
-        args={"digits": digits},
-        staged=raw,
+def elt_clean(staged: DataFrame, digits: int | None = 3) -> DataFrame:
+    """Cleaning of rows that were stored as they came: missing overtime becomes 0.
+
+    The date is kept as it is and only has to be there; notes are not carried over.
+    """
+    hours = F.col("hours_worked")
+    return (
+        staged.dropna(subset=["employee_id", "date"])
+        .withColumns(
+            {
+                "is_present": flag(status_is("Present")),
+                "productivity_score": round_to(clamp_filled(hours / 8, 0.0, 1.5), digits),
+                "hours_worked": clamp_filled(hours, 0.0, MAX_HOURS),
+                "overtime_hours": clamp_filled("overtime_hours", 0.0, MAX_OVERTIME),
+                "status": F.coalesce(F.col("status"), F.lit("Unknown")),
+            }
+        )
+        .drop("notes")
     )
 
 

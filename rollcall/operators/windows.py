@@ -201,14 +201,11 @@ def month_over_month(att: DataFrame) -> DataFrame:
 
     The window sees one row per employee and calendar month.
     """
-    monthly = att.groupBy("employee_id", year_month("date").alias("ym")).agg(
-        F.sum(flag(status_is("Present"))).alias("present_days")
-    )
-    w = Window.partitionBy("employee_id").orderBy("ym")
-    with_lag = monthly.withColumn("prev_month", F.lag("present_days").over(w))
-    return with_lag.withColumn(
-        "mom_change", F.col("present_days") - F.coalesce("prev_month", "present_days")
-    )
+    present = F.count_if(status_is("Present")).alias("present_days")
+    months = att.groupBy("employee_id", year_month("date").alias("ym")).agg(present)
+    earlier = F.lag("present_days").over(Window.partitionBy("employee_id").orderBy("ym"))
+    change = F.when(F.col("prev_month").isNull(), 0).otherwise(F.col("present_days") - F.col("prev_month"))
+    return months.withColumn("prev_month", earlier).withColumn("mom_change", change)
 
 
 def share_of_total(df: DataFrame, count: str, name: str) -> DataFrame:

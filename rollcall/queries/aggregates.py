@@ -29,12 +29,10 @@ def a01b(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "a02_top_employees_by_hours",
-    """SELECT e.employee_id, e.name, e.department, sum(a.hours_worked) AS total_hours,
-              count(a.attendance_id) AS working_days
-       FROM emp e JOIN att a ON e.employee_id = a.employee_id
-       WHERE strftime(a.date, '%Y-%m') = '2001-07'
-       GROUP BY e.employee_id, e.name, e.department
-       ORDER BY total_hours DESC NULLS LAST, e.employee_id LIMIT 10""",
+    """WITH july AS (SELECT employee_id, sum(hours_worked) AS total_hours, count(*) AS working_days FROM att
+                     WHERE date BETWEEN DATE '2001-07-01' AND DATE '2001-07-31' GROUP BY employee_id)
+       SELECT employee_id, name, department, total_hours, working_days FROM july JOIN emp USING (employee_id)
+       ORDER BY total_hours DESC NULLS LAST, employee_id LIMIT 10""",
 )
 def a02(spark: SparkSession, d: str) -> DataFrame:
     return A.top_employees_by_hours(V.emp(spark, d), V.att(spark, d), AS_OF)
@@ -195,9 +193,9 @@ def a15(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "a15_top_overtime_names",
-    """SELECT e.name, e.department, sum(a.overtime_hours) AS total_ot
-       FROM emp e JOIN att a ON e.employee_id = a.employee_id
-       GROUP BY e.employee_id, e.name, e.department ORDER BY total_ot DESC, e.employee_id LIMIT 5""",
+    """WITH t AS (SELECT employee_id, sum(overtime_hours) AS total_ot FROM att GROUP BY employee_id)
+       SELECT name, department, total_ot FROM t JOIN emp USING (employee_id)
+       ORDER BY total_ot DESC, employee_id LIMIT 5""",
 )
 def a15b(spark: SparkSession, d: str) -> DataFrame:
     return A.top_overtime_names(V.emp(spark, d), V.att(spark, d))

@@ -107,16 +107,16 @@ def m06(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "m07_elt_clean",
-    """SELECT attendance_id, employee_id, date, day_of_week, shift, coalesce(status, 'Unknown') AS status, check_in,
-              check_out, least(greatest(coalesce(hours_worked, 0), 0), 14) AS hours_worked,
-              least(greatest(coalesce(overtime_hours, 0), 0), 4) AS overtime_hours, department, location,
-              CASE WHEN status = 'Present' THEN 1 ELSE 0 END AS is_present,
-              least(greatest(coalesce(hours_worked, 0) / 8, 0), 1.5) AS productivity_score
+    """SELECT * EXCLUDE (notes) REPLACE (
+                  coalesce(status, 'Unknown') AS status,
+                  CASE WHEN hours_worked > 14 THEN 14 WHEN hours_worked > 0 THEN hours_worked ELSE 0 END AS hours_worked,
+                  CASE WHEN overtime_hours > 4 THEN 4 WHEN overtime_hours > 0 THEN overtime_hours ELSE 0 END AS overtime_hours),
+              CAST(coalesce(status = 'Present', false) AS INTEGER) AS is_present,
+              CASE WHEN hours_worked > 12 THEN 1.5 WHEN hours_worked > 0 THEN hours_worked / 8 ELSE 0 END AS productivity_score
        FROM att_raw WHERE employee_id IS NOT NULL AND date IS NOT NULL""",
 )
 def m07(spark: SparkSession, d: str) -> DataFrame:
-    # half hours make scores with at most four decimals, so rounding to six changes nothing
-    return C.elt_clean(V.att_raw(spark, d), digits=6)
+    return C.elt_clean(V.att_raw(spark, d), digits=None)
 
 
 @query(

@@ -220,20 +220,20 @@ def j03(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "j04_above_average_overtime",
     """SELECT e.employee_id, e.name, e.department, s.avg_overtime FROM emp e
-       JOIN (SELECT employee_id, avg(overtime_hours) AS avg_overtime FROM att GROUP BY employee_id) s
-         ON e.employee_id = s.employee_id
-       WHERE s.avg_overtime > (SELECT avg(overtime_hours) FROM att)""",
+       JOIN (SELECT employee_id, avg(overtime_hours) AS avg_overtime FROM att GROUP BY employee_id
+             HAVING avg(overtime_hours) > (SELECT avg(overtime_hours) FROM att)) s USING (employee_id)""",
 )
 def j04(spark: SparkSession, d: str) -> DataFrame:
     return R.above_average_overtime(V.emp(spark, d), V.att(spark, d))
 
 
 _MANAGER_SQL = """
-    SELECT a1.employee_id AS emp_id, CAST(a1.date AS VARCHAR) AS date, e.manager_id, a2.status AS manager_status,
-           count(*) AS matches
-    FROM att_ev a1 JOIN emp e ON a1.employee_id = e.employee_id
-    JOIN att_ev a2 ON e.manager_id = a2.employee_id AND a1.date = a2.date
-    WHERE a1.status = 'Absent' AND a2.status = 'Present' GROUP BY ALL"""
+    SELECT staff.employee_id AS emp_id, CAST(away.date AS VARCHAR) AS date, staff.manager_id,
+           boss.status AS manager_status, count(*) AS matches
+    FROM emp staff, att_ev away, att_ev boss
+    WHERE away.employee_id = staff.employee_id AND away.status = 'Absent'
+      AND boss.employee_id = staff.manager_id AND boss.status = 'Present' AND boss.date = away.date
+    GROUP BY ALL"""
 
 
 @query("j05_absent_while_manager_present", _MANAGER_SQL)

@@ -16,9 +16,9 @@ _WORKED = "status IN ('Present', 'Late', 'Work-From-Home')"
 @query(
     "w01_running_hours",
     f"""SELECT attendance_id, employee_id, CAST(date AS VARCHAR) AS date, hours_worked,
-               sum(hours_worked) OVER (PARTITION BY employee_id ORDER BY date, attendance_id
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_hours
-        FROM att WHERE {_WORKED}""",
+               sum(hours_worked) OVER so_far AS cumulative_hours
+        FROM att WHERE {_WORKED}
+        WINDOW so_far AS (PARTITION BY employee_id ORDER BY date, attendance_id ROWS UNBOUNDED PRECEDING)""",
 )
 def w01(spark: SparkSession, d: str) -> DataFrame:
     return W.running_hours(V.att(spark, d))
@@ -27,18 +27,18 @@ def w01(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "w02_weekly_average",
     f"""SELECT attendance_id, employee_id, CAST(date AS VARCHAR) AS date, hours_worked,
-               avg(hours_worked) OVER (PARTITION BY employee_id ORDER BY date, attendance_id
-                                       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7day_avg
-        FROM att WHERE {_WORKED}""",
+               avg(hours_worked) OVER last_seven AS rolling_7day_avg
+        FROM att WHERE {_WORKED}
+        WINDOW last_seven AS (PARTITION BY employee_id ORDER BY date, attendance_id ROWS 6 PRECEDING)""",
 )
 def w02(spark: SparkSession, d: str) -> DataFrame:
     return W.weekly_average_hours(V.att(spark, d))
 
 
 _PRESENT_DAYS = """
-    WITH p AS (SELECT e.employee_id, e.name, e.department,
-                      count(CASE WHEN a.status = 'Present' THEN 1 END) AS present_days
-               FROM emp e LEFT JOIN att a ON e.employee_id = a.employee_id GROUP BY ALL)"""
+    WITH n AS (SELECT employee_id, count(*) AS days FROM att WHERE status = 'Present' GROUP BY employee_id),
+         p AS (SELECT employee_id, name, department, coalesce(days, 0) AS present_days
+               FROM emp LEFT JOIN n USING (employee_id))"""
 
 
 @query(
@@ -60,10 +60,11 @@ def w04(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "w05_month_over_month",
-    """WITH m AS (SELECT employee_id, strftime(date, '%Y-%m') AS ym,
-                         count(*) FILTER (status = 'Present') AS present_days FROM att GROUP BY ALL),
-            l AS (SELECT *, lag(present_days) OVER (PARTITION BY employee_id ORDER BY ym) AS prev_month FROM m)
-       SELECT *, present_days - coalesce(prev_month, present_days) AS mom_change FROM l""",
+    """SELECT employee_id, ym, present_days, lag(present_days) OVER months AS prev_month,
+              coalesce(present_days - lag(present_days) OVER months, 0) AS mom_change
+       FROM (SELECT employee_id, strftime(date, '%Y-%m') AS ym, count(*) FILTER (status = 'Present') AS present_days
+             FROM att GROUP BY ALL)
+       WINDOW months AS (PARTITION BY employee_id ORDER BY ym)""",
 )
 def w05(spark: SparkSession, d: str) -> DataFrame:
     return W.month_over_month(V.att(spark, d))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.scalar import row_json
+from rollcall.functions.scalar import parse_timestamp, row_json
 from rollcall.schemas import EVENT
 
 TOPIC = "attendance-events"  # Fixed value: topic name.
@@ -21,16 +21,15 @@ def read_topic(
     fail_on_loss: bool = False,
 ) -> DataFrame:
     """Unparsed records of a topic as a stream."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-        .option("failOnDataLoss", str(fail_on_loss).lower())
-    )
+    settings = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": starting,
+        "failOnDataLoss": str(fail_on_loss).lower(),
+    }
     if per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-    return reader.load()
+        settings["maxOffsetsPerTrigger"] = str(per_trigger)
+    return spark.readStream.format("kafka").options(**settings).load()
 
 
 def parse_records(records: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
@@ -39,16 +38,15 @@ def parse_records(records: DataFrame, schema: T.StructType = EVENT) -> DataFrame
     The payload has an employee id of its own, so the record key is called
     ``key_employee_id``.
     """
-    return (
-        records.select(
-            F.col("key").cast("string").alias("key_employee_id"),
-            F.from_json(F.col("value").cast("string"), schema).alias("data"),
-            F.col("timestamp").alias("kafka_ts"),
-            "partition",
-            "offset",
-        )
-        .select("key_employee_id", "data.*", "kafka_ts", "partition", "offset")
-        .withColumn("event_ts", F.try_to_timestamp("timestamp"))
+    event = records.withColumn("_event", F.from_json(F.col("value").cast("string"), schema))
+    fields = [F.col(f"_event.{name}") for name in schema.fieldNames()]
+    return event.select(
+        F.col("key").cast("string").alias("key_employee_id"),
+        *fields,
+        parse_timestamp("_event.timestamp").alias("event_ts"),
+        "partition",
+        "offset",
+        F.col("timestamp").alias("kafka_ts"),
     )
 
 
