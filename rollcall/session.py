@@ -41,12 +41,15 @@ def build_session(app: str = "rollcall", master: str | None = None, **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    It has to be reachable from every executor. Only a local-mode session that
-    names none gets a temporary one; on a cluster a missing setting is an error.
+    It has to be reachable from every executor. Without the setting the folder
+    set on the context is taken. Only a local-mode session that names none gets a
+    temporary one; on a cluster that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("rollcall.local.checkpoint.dir", None)
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("rollcall.local.checkpoint.dir", None)
+    )
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
