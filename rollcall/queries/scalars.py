@@ -262,7 +262,7 @@ def f28(spark: SparkSession, d: str) -> DataFrame:
     return events.select("event_id", S.row_json(events, ["event_id", "employee_id", "event_type"]).alias("payload"))
 
 
-_KEY = "demo_key_12345"
+_KEY = "signing-key"
 _PADDED = _KEY.encode().ljust(64, b"\0")
 _INNER = bytes(b ^ 0x36 for b in _PADDED).hex()
 _OUTER = bytes(b ^ 0x5C for b in _PADDED).hex()
