@@ -80,17 +80,18 @@ def _null(a: np.ndarray) -> np.ndarray:
     return np.linalg.svd(a.T)[2][-1]
 
 
-def landing(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Settle what no direction can move: of all ways to round the open units, by least loss of balance.
-
-    They are drawn with odds that fall with the loss, so that ties do not favour a unit.
-    """
-    p = flight(p, x, rng)
+def landing(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, most: int = 12) -> np.ndarray:
+    """Flight of all but ten units, then the small problem that is left: of all ways to round it the best balanced."""
+    p = p.copy()
+    open_ = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
+    kept = open_[rng.permutation(len(open_))[: most - x.shape[1]]]
+    flying = np.setdiff1d(open_, kept)
+    p[flying] = flight(p[flying], x[flying], rng)
     at = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
     if len(at):
         ways = (np.arange(1 << len(at))[:, None] >> np.arange(len(at))) & 1
-        loss = np.abs((ways - p[at]) @ x[at]) / np.maximum(x[at].sum(0), 1)
-        p[at] = ways[int(np.argmin(loss.sum(1) + 1e-12 * rng.random(len(ways))))]
+        words, units = np.abs((ways - p[at]) @ x[at]).T
+        p[at] = ways[int(np.argmin(words / max(1.0, x[at, 0].mean()) + 0.1 * units))]
     return np.rint(p)
 
 

@@ -9,8 +9,11 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import license_scan, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup
+from rollcall.llm import (
+    embedding_dedup, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
+)
 from rollcall.llm.reference_sql import LICENSE_SCAN, QUALITY_RULES
+from rollcall.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REFERENCE_SQL: dict[str, str] = {}
@@ -77,3 +80,20 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_mixing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op7_embedding_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.cross_entropy_difference(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op1_warc")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), path)
+    return warc.page_records(spark, path)
