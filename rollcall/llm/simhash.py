@@ -86,8 +86,9 @@ def _compare(distance: int):
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for left, right in zip(batch["fps_x"], batch["fps_y"]):
-                near = np.bitwise_count(left[:, None] ^ right[None, :]) <= distance
-                i, j = np.nonzero(near & (left[:, None] != right[None, :]))
+                # as unsigned numbers: of a negative one numpy counts the bits of its amount
+                differ = np.bitwise_count(left.view(np.uint64)[:, None] ^ right.view(np.uint64)[None, :])
+                i, j = np.nonzero((differ > 0) & (differ <= distance))
                 if len(i):
                     ids = np.concatenate([left, right])
                     label = smallest_labels(len(ids), i, j + len(left))
