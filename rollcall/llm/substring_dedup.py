@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 WINDOW = 20
 ROWS = 2  # rows of the sketch; a window's estimate is the smallest of its counters
 ROOM = 4  # counters of a sketch row for each window of the corpus
-BUCKETS_PER_TASK = 3
+BUCKETS_PER_TASK = 2  # so that hashing deals them out evenly enough
 DIGEST = 12  # bytes that name a window in the exact pass, beside its shard
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -26,13 +26,14 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 def packed(x: np.ndarray) -> bytes:
     """Ascending numbers as the bytes of their differences, plane by plane, compressed."""
     gaps = np.diff(x.astype(np.uint64), prepend=np.uint64(0))
-    planes = gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    width = 4 if not len(gaps) or gaps.max() < 1 << 32 else 8
+    planes = gaps.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel())
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.uint64))
 
 
 # --- words and windows of a bucket of documents -----------------------------------------------------------------
@@ -306,9 +307,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, rows: int = ROWS) ->
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64(F.col("doc_id").cast("long")))
     rest = docs.drop(*own).withColumn("doc_id", F.col("doc_id").cast("long"))
     dealt = rest.withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int")).repartition(tasks, "bucket")
-    sketches = dealt.groupBy("bucket").applyInArrow(_sketch(window, rows, bits, buckets), _SKETCH)
+    sketches = dealt.groupBy("bucket").applyInArrow(_sketch(window, rows, bits, tasks), _SKETCH)
     common = sketches.groupBy("shard").applyInArrow(_merged, _SKETCH)
-    named = dealt.groupBy("bucket").cogroup(common.groupBy("bucket")).applyInArrow(_exact(window, rows, bits, buckets), _MARKS)
+    named = dealt.groupBy("bucket").cogroup(common.groupBy("bucket")).applyInArrow(_exact(window, rows, bits, tasks), _MARKS)
     marks = named.groupBy("shard").applyInArrow(_decided, _MARKS)
     added = StructType.fromDDL("n_words long, n_removed long, kept_sha256 string").fields
     schema = StructType([StructField(f.name, StringType()) if f.name == "text" else f for f in rest.schema.fields] + added)
