@@ -22,7 +22,7 @@ from rollcall.llm.text import need
 CAPACITY = 2048
 END = 0  # id after every document
 ROUNDS = 400  # configurations priced at most; what is left then goes by best fit
-_WORDS, _PARTS = 300_000, 200_000  # words kept with their ids by a worker: a cache, no part of the result
+_WORDS, _PARTS = 500_000, 300_000  # words kept with their ids by a worker: a cache, no part of the result
 _CHUNK = 1 << 20
 
 
@@ -33,7 +33,9 @@ class Ids:
     text are those of its words in turn.
     """
 
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")  # the vocabulary's own split, for ASCII
+    # visible ASCII and the composed letters of Latin-1: normal form is the word itself, and lower case has the same length
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")  # the vocabulary's own split, for these
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -47,19 +49,18 @@ class Ids:
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            ids = self._pack([t.id for t in self.whole.model.tokenize(part)])
+            bytes_ = part if part.isascii() else self.whole.pre_tokenizer.pre_tokenize_str(part)[0][0]
+            ids = self._pack([t.id for t in self.whole.model.tokenize(bytes_)])
             if len(self.parts) < _PARTS:
                 self.parts[part] = ids
         return ids
 
     def _word(self, word: bytes) -> bytes:
-        if any(s in word for s in self.special):
-            ids = self._pack(self.whole.encode(word.decode(), add_special_tokens=False).ids)
-        elif word.isascii() and word.isalnum() | all(32 < c < 127 for c in word):
-            ids = b"".join(map(self._part, self.PIECES.findall(word.decode().lower())))
+        text = word.decode()
+        if self.PLAIN.fullmatch(text) and not any(s in word for s in self.special):
+            ids = b"".join(map(self._part, self.PIECES.findall(text.lower())))
         else:
-            plain = self.whole.normalizer.normalize_str(word.decode())
-            ids = b"".join(self._part(p) for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(plain))
+            ids = self._pack(self.whole.encode(text, add_special_tokens=False).ids)
         if len(self.words) < _WORDS:
             self.words[word] = ids
         return ids
