@@ -62,7 +62,7 @@ def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for s, blob in zip(batch["slice"], batch["counts"]):
             x = np.frombuffer(zstandard.decompress(blob), "<i8")
             sums[s] = sums[s] + x if s in sums else x
-    yield pd.DataFrame({"slice": list(sums), "counts": [x.tobytes() for x in sums.values()]},
+    yield pd.DataFrame({"slice": list(sums), "counts": [zstandard.compress(x.tobytes(), 1) for x in sums.values()]},
                        columns=["slice", "counts"]).astype({"slice": "int32"})
 
 
@@ -78,8 +78,6 @@ class Models:
             self.word.append(((words + ADD) / (words.sum() + ADD * used)).astype(np.float32))
             self.pair.append(c[split:].astype(np.float32))
             self.context.append(np.maximum(words, 1).astype(np.float32))
-        # every text starts once
-        self.starts = [max(1.0, float(c[:split].sum())) for c in (target, background)]
 
     def losses(self, text: str | None) -> tuple[int, float | None, float | None]:
         """Words of a text, and its loss per word under target and background; none without words."""
@@ -104,7 +102,8 @@ def fit(docs: DataFrame, target: Column) -> Models:
     merged = counted.repartition(tasks, "slice").mapInPandas(_added, "slice int, counts binary")
     counts = np.zeros((2, _CELLS), np.int64)
     for r in merged.toLocalIterator():
-        counts[:, r["slice"] * SLICE:(r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], "<i8").reshape(-1, 2).T
+        counts[:, r["slice"] * SLICE:(r["slice"] + 1) * SLICE] = np.frombuffer(
+            zstandard.decompress(r["counts"]), "<i8").reshape(-1, 2).T
     return Models(counts[0], counts[1])
 
 
