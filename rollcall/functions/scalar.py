@@ -121,8 +121,8 @@ def log1p_nonneg(c: ColumnLike) -> Column:
 
 
 def overtime(c: ColumnLike, standard: float = 8.0, digits: int | None = 2) -> Column:
-    """Hours above the standard day, never negative."""
-    return F.greatest(F.lit(0.0), round_to(as_col(c) - F.lit(standard), digits))
+    """Hours above the standard day, never negative; unknown for unknown hours."""
+    return F.when(as_col(c).isNotNull(), F.greatest(F.lit(0.0), round_to(as_col(c) - F.lit(standard), digits)))
 
 
 def productivity(

@@ -19,13 +19,17 @@ def upsert(
     """Target with the source's values on matching keys, plus the source's new keys.
 
     Columns the source does not have keep the target's values (null in new rows).
-    Several source rows with one key are reduced to the first in ``latest_first``.
+    Several source rows with one key are reduced to the first in ``latest_first``,
+    without it to that of the largest values, so that no target row is multiplied.
 
     The target is only ever the many-rows side of a lookup, so a small source is
     broadcast and a large one is joined with hot keys apart.
     """
-    if latest_first:
-        source = keep_first(source, keys, latest_first)
+    rest = [F.desc_nulls_last(c) for c in source.columns if c not in keys]
+    if latest_first or rest:
+        source = keep_first(source, keys, [*(latest_first or []), *rest])
+    else:
+        source = source.dropDuplicates(keys)
     shared = [c for c in source.columns if c in target.columns and c not in keys]
     changes = source.select(
         *keys, *[F.col(c).alias(f"_s_{c}") for c in shared], F.lit(True).alias("_hit")

@@ -24,18 +24,22 @@ class RunStatus:
 def daily_run(raw: DataFrame, emp: DataFrame, run_date: date, root: str, keep_days: int = 7) -> RunStatus:
     """Run one day. A repeated run replaces that day's partition instead of adding to it.
 
-    Only the gate's one row comes to the driver. A bad table stops the run before
-    anything is written; a doubtful one is reported and only old output is retired.
+    The transformed rows are staged by run date and loaded from there; the
+    warehouse keeps every run date, and only staged rows older than ``keep_days``
+    are retired. Only the gate's one row comes to the driver. A bad table stops the
+    run before anything is written; a doubtful one is reported and not loaded.
     """
     spark = raw.sparkSession
     gate = quality.null_rate_gate(raw).first()
     if gate["decision"] == "fail":
         return RunStatus(run_date, "failed", gate["row_count"], gate["null_rate"])
-    table = f"{root}/dw_attendance_daily"
+    table, staging = f"{root}/dw_attendance_daily", f"{root}/staging/attendance_daily"
     if gate["decision"] == "alert":
-        removed = expire_partitions(spark, table, run_date, keep_days)
+        removed = expire_partitions(spark, staging, run_date, keep_days)
         return RunStatus(run_date, "alert", gate["row_count"], gate["null_rate"], removed)
-    write_run_date(cleaning.daily_transform(raw), table, run_date)
+    write_run_date(cleaning.daily_transform(raw), staging, run_date)
+    staged = spark.read.parquet(f"{staging}/ds={run_date.isoformat()}")
+    write_run_date(staged, table, run_date)
     stored = spark.read.parquet(table)
     write_report(A.daily_kpi(stored, run_date), f"{root}/reports/kpi_{run_date:%Y%m%d}")
     results = quality.run_all(raw, emp, run_date)
@@ -43,5 +47,5 @@ def daily_run(raw: DataFrame, emp: DataFrame, run_date: date, root: str, keep_da
         quality.report_document(results, datetime.combine(run_date, datetime.min.time())),
         f"{root}/reports/dq_{run_date:%Y%m%d}",
     )
-    removed = expire_partitions(spark, table, run_date, keep_days)
+    removed = expire_partitions(spark, staging, run_date, keep_days)
     return RunStatus(run_date, "loaded", gate["row_count"], gate["null_rate"], removed)

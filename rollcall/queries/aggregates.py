@@ -273,11 +273,11 @@ def a21b(spark: SparkSession, d: str) -> DataFrame:
               avg(coalesce(hours_worked, 0)) AS avg_hours, CAST(trunc(sum(overtime_hours)) AS BIGINT) AS total_overtime,
               count(*) FILTER (status = 'Absent') AS absent_records,
               CAST(100 AS DOUBLE) * avg(CASE WHEN status = 'Present' THEN 1 ELSE 0 END) - 85 AS vs_target
-       FROM att WHERE department = 'Finance'""",
+       FROM att WHERE department = 'Accounts'""",
 )
 def a24(spark: SparkSession, d: str) -> DataFrame:
     base = dashboard_columns(V.att(spark, d))
-    return A.kpis(base, filter_by(base, department="Finance", month="All", status=None), digits=None)
+    return A.kpis(base, filter_by(base, department="Accounts", month="All", status=None), digits=None)
 
 
 @query(

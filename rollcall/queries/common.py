@@ -13,7 +13,7 @@ EV_AS_OF = date(2024, 1, 31)  # end of the period the events cover
 def six_digits(c: Column | str) -> Column:
     """A figure cut to six decimals, for results whose last bits depend on the order of addition."""
     x = F.col(c) if isinstance(c, str) else c
-    return x.cast("decimal(18,6)").cast("double")
+    return x.cast("decimal(38,6)").cast("double")
 
 
 def six_digit_columns(df: DataFrame, *names: str) -> DataFrame:

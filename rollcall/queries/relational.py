@@ -25,10 +25,10 @@ def p01(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "p02_department_staff",
-    "SELECT employee_id, name, designation, salary FROM emp WHERE department = 'Engineering'",
+    "SELECT employee_id, name, designation, salary FROM emp WHERE department = 'Research'",
 )
 def p02(spark: SparkSession, d: str) -> DataFrame:
-    return R.department_staff(V.emp(spark, d), "Engineering")
+    return R.department_staff(V.emp(spark, d), "Research")
 
 
 @query(
@@ -112,10 +112,10 @@ def p11(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "p12_optional_filters",
-    "SELECT attendance_id, department, status FROM att WHERE department = 'Finance' AND status = 'Late'",
+    "SELECT attendance_id, department, status FROM att WHERE department = 'Accounts' AND status = 'Late'",
 )
 def p12(spark: SparkSession, d: str) -> DataFrame:
-    chosen = R.filter_by(V.att(spark, d), department="Finance", shift="All", location=None, status="Late")
+    chosen = R.filter_by(V.att(spark, d), department="Accounts", shift="All", location=None, status="Late")
     return chosen.select("attendance_id", "department", "status")
 
 
@@ -256,11 +256,11 @@ def j06(spark: SparkSession, d: str) -> DataFrame:
     """SELECT w.day_of_week, r.records FROM (VALUES ('Monday'), ('Tuesday'), ('Wednesday'), ('Thursday'),
               ('Friday')) w(day_of_week)
        LEFT JOIN (SELECT day_of_week, count(*) AS records FROM att WHERE status = 'On-Leave'
-                  AND department = 'Legal' AND strftime(date, '%Y-%m') = '2001-07' GROUP BY day_of_week) r
+                  AND department = 'Counsel' AND strftime(date, '%Y-%m') = '2001-07' GROUP BY day_of_week) r
          ON w.day_of_week = r.day_of_week""",
 )
 def j08(spark: SparkSession, d: str) -> DataFrame:
-    july = R.in_month_of(R.filter_by(V.att(spark, d), status="On-Leave", department="Legal"), AS_OF)
+    july = R.in_month_of(R.filter_by(V.att(spark, d), status="On-Leave", department="Counsel"), AS_OF)
     counts = july.groupBy("day_of_week").agg(rows().alias("records"))
     return R.complete_categories(counts, "day_of_week", R.WORKDAYS)
 

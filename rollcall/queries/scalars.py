@@ -235,12 +235,11 @@ def f25(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "f26_overtime",
-    """SELECT attendance_id, CASE WHEN hours_worked > 8 THEN hours_worked - 8 ELSE 0 END AS overtime
-       FROM att WHERE hours_worked IS NOT NULL""",
+    """SELECT attendance_id, CASE WHEN hours_worked > 8 THEN hours_worked - 8 WHEN hours_worked <= 8 THEN 0 END AS overtime
+       FROM att""",
 )
 def f26(spark: SparkSession, d: str) -> DataFrame:
-    known = V.att(spark, d).filter(F.col("hours_worked").isNotNull())
-    return known.select("attendance_id", S.overtime("hours_worked").alias("overtime"))
+    return V.att(spark, d).select("attendance_id", S.overtime("hours_worked").alias("overtime"))
 
 
 @query(

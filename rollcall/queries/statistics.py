@@ -98,15 +98,14 @@ def n06b(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "n07_iqr_outliers",
-    """WITH q AS (SELECT quantile_cont(salary, 0.25) AS q1, quantile_cont(salary, 0.75) AS q3 FROM emp WHERE salary > 0),
+    """WITH q AS (SELECT quantile_cont(salary, 0.25) AS q1, quantile_cont(salary, 0.75) AS q3 FROM emp),
             b AS (SELECT q1 - 0.25 * (q3 - q1) AS lower, q3 + 0.25 * (q3 - q1) AS upper FROM q)
        SELECT count(*) FILTER (salary < lower OR salary > upper) AS outliers, count(*) AS "rows",
               CAST(CAST(lower AS DECIMAL(18, 6)) AS DOUBLE) AS lower, CAST(CAST(upper AS DECIMAL(18, 6)) AS DOUBLE) AS upper
-       FROM emp, b WHERE salary > 0 GROUP BY lower, upper""",
+       FROM emp, b GROUP BY lower, upper""",
 )
 def n07(spark: SparkSession, d: str) -> DataFrame:
-    paid = V.emp(spark, d).filter(F.col("salary") > 0)
-    return six_digit_columns(N.iqr_outliers(paid, "salary", 0.25), "lower", "upper")
+    return six_digit_columns(N.iqr_outliers(V.emp(spark, d), "salary", 0.25), "lower", "upper")
 
 
 @query(

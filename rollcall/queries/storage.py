@@ -157,7 +157,10 @@ def s20b(spark: SparkSession, d: str) -> DataFrame:
 )
 def s21(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "archive")
-    rest = writers.archive_closed(_att(spark, d), path, AS_OF)
+    rows_of_days, late = _att(spark, d), F.coalesce(F.col("status") == "Absent", F.lit(False))
+    rest = writers.archive_closed(rows_of_days.filter(~late), path, AS_OF)
+    # delivered later, for months already archived
+    rest = rest.unionByName(writers.archive_closed(rows_of_days.filter(late), path, AS_OF))
     parts = {"archived": spark.read.parquet(path), "open": rest}
     return union_all([df.agg(rows().alias("rows")).withColumn("part", F.lit(n)) for n, df in parts.items()])
 

@@ -195,14 +195,21 @@ def t11(spark: SparkSession, d: str) -> DataFrame:
     return _appended(spark, T.drop_repeats(twice).select("event_id", "employee_id", "event_type"))
 
 
-@query("s19_upsert_events_stream", "SELECT event_id, employee_id, event_type, timestamp, department, true AS stamped FROM ev")
+@query(
+    "s19_upsert_events_stream",
+    """SELECT event_id, employee_id, event_type, timestamp,
+              CASE WHEN department = 'Research' THEN department ELSE upper(department) END AS department, true AS stamped
+       FROM ev""",
+)
 def s19(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "upsert")
     log = sinks.BatchLog(spark, f"{path}/data", ["event_id"], ["timestamp"])
     stream = _event_stream(spark, d).select(*_PLAIN)
-    sinks.finish(sinks.upsert_events(stream, log, f"{path}/first", interval=None))
-    # delivered again: same ids, nothing is added
-    sinks.finish(sinks.upsert_events(stream, log, f"{path}/second", interval=None))
+    upper = stream.withColumn("department", F.upper("department"))
+    sinks.finish(sinks.upsert_events(upper, log, f"{path}/first", interval=None))
+    # another stream with a checkpoint of its own, also from batch 0: its rows win, the others stay
+    again = stream.filter("department = 'Research'")
+    sinks.finish(sinks.upsert_events(again, log, f"{path}/second", interval=None))
     return log.read().withColumn("stamped", F.col("processed_at").isNotNull()).drop("processed_at")
 
 

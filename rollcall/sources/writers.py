@@ -93,15 +93,19 @@ def write_daily_monthly(df: DataFrame, root: str, column: str = "date") -> None:
 
 
 def archive_closed(df: DataFrame, path: str, as_of: date, column: str = "date") -> DataFrame:
-    """Write rows of closed months under ``year=/month=`` and return the open rest."""
+    """Add rows of closed months under ``year=/month=`` and return the open rest.
+
+    A late row joins those archived for its month before. Hand each row over once:
+    go on with the rest that is returned.
+    """
     first = F.lit(as_of.replace(day=1))
-    write_by_day(df.filter(F.col(column) < first), path, column, depth=2)
+    write_by_day(df.filter(F.col(column) < first), path, column, mode="append", depth=2)
     return df.filter((F.col(column) >= first) | F.col(column).isNull())
 
 
 def retained(df: DataFrame, as_of: date, days: int = 7, column: str = "date") -> DataFrame:
-    """Rows no older than ``days`` before ``as_of``."""
-    return df.filter(F.col(column) >= F.lit(as_of - timedelta(days=days)))
+    """Rows no older than ``days`` before ``as_of``; rows without a date stay."""
+    return df.filter((F.col(column) >= F.lit(as_of - timedelta(days=days))) | F.col(column).isNull())
 
 
 def expire_partitions(

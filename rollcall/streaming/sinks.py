@@ -7,7 +7,9 @@ replaces what its first attempt wrote. The last, partly filled batch is written
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -58,27 +60,31 @@ def for_each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], c
 
 
 class BatchLog:
-    """Rows of micro-batches in one folder per batch; the newest row per key is the state.
+    """Rows of micro-batches in one folder per stream and batch; the row written last per key is the state.
 
-    Writing costs the size of the batch, not of the table, and writing a batch
-    again replaces its folder. ``compact`` folds all batches into one.
+    Writing costs the size of the batch, not of the table, and writing a batch of
+    a stream again replaces its folder. Batches of other streams, or of a stream
+    begun anew with another checkpoint, have folders of their own and come later
+    by the time of their writing.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], newest: list[str] | None = None):
         """``newest`` names columns whose larger value wins inside one batch."""
         self.spark, self.root, self.keys, self.newest = spark, root.rstrip("/"), keys, newest or []
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
+    def write(self, batch: DataFrame, batch_id: int, stream: str = "s0") -> None:
+        arrived = F.lit(datetime.now(timezone.utc).isoformat(timespec="microseconds"))
+        batch.withColumn("_arrived", arrived).write.mode("overwrite").parquet(f"{self.root}/stream={stream}/batch={batch_id}")
 
     def read(self) -> DataFrame:
         """The newest row of each key."""
         if not path_exists(self.spark, self.root):
             raise ValueError(f"nothing written to {self.root}")
         rows = self.spark.read.option("basePath", self.root).parquet(self.root)
-        rest = [c for c in rows.columns if c not in (*self.keys, *self.newest, "batch")]
-        order: list[Column] = [F.desc(c) for c in ("batch", *self.newest, *rest)]
-        return keep_first(rows, self.keys, order).drop("batch")
+        own = ("_arrived", "stream", "batch")
+        rest = [c for c in rows.columns if c not in (*self.keys, *self.newest, *own)]
+        order: list[Column] = [F.desc(c) for c in ("_arrived", "batch", *self.newest, *rest)]
+        return keep_first(rows, self.keys, order).drop(*own)
 
     def compact(self, into: str) -> "BatchLog":
         """A new log at ``into`` whose batch -1 holds the state so far."""
@@ -87,18 +93,23 @@ class BatchLog:
         return folded
 
 
+def stream_id(checkpoint: str) -> str:
+    """A name for the stream that records its progress in ``checkpoint``."""
+    return "s" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def upsert_events(stream: DataFrame, log: BatchLog, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
     """Events into a log keyed by event id, last write wins, with the time of writing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log.write(batch.withColumn("processed_at", F.current_timestamp()), batch_id)
+        log.write(batch.withColumn("processed_at", F.current_timestamp()), batch_id, stream_id(checkpoint))
 
     return for_each_batch(stream, write, checkpoint, "append", interval)
 
 
 def update_table(stream: DataFrame, log: BatchLog, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
     """A running aggregate in update mode, kept as the newest row per group."""
-    return for_each_batch(stream, log.write, checkpoint, "update", interval)
+    return for_each_batch(stream, lambda b, i: log.write(b, i, stream_id(checkpoint)), checkpoint, "update", interval)
 
 
 def finish(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:

@@ -67,7 +67,7 @@ class TestSummaries:
         row = A.department_summary(attendance).collect()
         assert len(row) == 1
         assert row[0].asDict() == {
-            "department": "Engineering", "headcount": 10, "avg_attendance_pct": 40.0,
+            "department": "Research", "headcount": 10, "avg_attendance_pct": 40.0,
             "total_hours": 53.0, "avg_overtime": pytest.approx(0.15),
         }
 
@@ -83,13 +83,13 @@ class TestSummaries:
 
     def test_null_groups(self, spark):
         df = spark.createDataFrame(
-            [("HR", "Present", None, None), (None, "Present", 8.0, 1.0)],
+            [("People", "Present", None, None), (None, "Present", 8.0, 1.0)],
             "department string, status string, hours_worked double, overtime_hours double",
         ).withColumn("employee_id", F.lit("E1"))
         assert A.department_summary(df).count() == 1
         assert A.department_attendance(df).count() == 2
         assert A.department_summary(df).first().total_hours == 0.0
-        assert A.department_attendance(df).filter("department = 'HR'").first().total_overtime is None
+        assert A.department_attendance(df).filter("department = 'People'").first().total_overtime is None
 
     def test_hours_per_row_counts_empty_hours(self, attendance):
         row = A.hours_per_row_by_department(attendance).first()
@@ -203,7 +203,7 @@ class TestCleaning:
         twice = employees.unionByName(employees.limit(2)).withColumn("email", F.concat(F.lit(" "), F.upper("email")))
         out = C.clean_employees(twice)
         assert out.count() == 5
-        assert {r.email for r in out.collect()} == {f"{c}@test.com" for c in "abcde"}
+        assert {r.email for r in out.collect()} == {f"{n}@firm.example" for n in ("maren", "ivo", "tessa", "okko", "runa")}
 
     def test_etl_keeps_missing_overtime_and_elt_fills_it(self, spark):
         df = spark.createDataFrame(
@@ -217,12 +217,12 @@ class TestCleaning:
         assert (etl.status, etl.year_month, etl.is_weekend, etl.productivity_score) == ("Unknown", "2024-01", True, 0.0)
 
     def test_merge_prefers_the_dirty_table(self, attendance, employees, spark):
-        dept = spark.createDataFrame([("Engineering", "Zed")], "department_name string, head string")
+        dept = spark.createDataFrame([("Research", "Zed")], "department_name string, head string")
         frames = {"attendance": attendance.limit(1), "attendance_dirty": attendance, "employees": employees, "departments": dept}
         out = C.merge_datasets(frames)
         assert out.count() == 10
         first = out.filter("attendance_id = 1").first()
-        assert (first.name, first.head, first.month, first.week, first.is_weekend) == ("Alice", "Zed", 1, 1, False)
+        assert (first.name, first.head, first.month, first.week, first.is_weekend) == ("Maren", "Zed", 1, 1, False)
         with pytest.raises(ValueError):
             C.merge_datasets({"attendance": attendance})
 
@@ -316,7 +316,7 @@ class TestStatistics:
 
 class TestWarehouse:
     def test_star_schema(self, spark, attendance, employees):
-        dept = spark.createDataFrame([("Engineering", "Zed", 2e6)], "department_name string, head string, budget double")
+        dept = spark.createDataFrame([("Research", "Zed", 2e6)], "department_name string, head string, budget double")
         star = M.star_schema(attendance, employees, dept)
         assert star["dim_date"].count() == 10 and star["dim_shift"].count() == 3
         assert [r.emp_key for r in star["dim_employee"].orderBy("employee_id").collect()] == [1, 2, 3, 4, 5]

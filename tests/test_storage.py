@@ -30,7 +30,7 @@ def folder(spark, attendance, employees, tmp_path):
     clean = attendance.withColumns({"check_in": F.lit(None).cast("string"), "check_out": F.lit(None).cast("string")})
     put(clean.select([f.name for f in ATTENDANCE.fields]), "attendance")
     put(employees.withColumn("manager_id", F.lit(None).cast("string")), "employees")
-    put(spark.createDataFrame([(1, "Engineering", "Zed", 2e6)], "department_id int, department_name string, head string, budget double"), "departments")
+    put(spark.createDataFrame([(1, "Research", "Zed", 2e6)], "department_id int, department_name string, head string, budget double"), "departments")
     return str(tmp_path)
 
 
@@ -164,7 +164,7 @@ class TestJobs:
     def test_merge_and_summarize(self, spark, folder, tmp_path):
         out = batch.merge_and_summarize(spark, folder, str(tmp_path / "out"))
         assert out["enriched"].count() == 10 and out["summary"].count() == 10
-        assert out["enriched"].filter("employee_id = 'EMP0002'").first().name == "Bob"
+        assert out["enriched"].filter("employee_id = 'EMP0002'").first().name == "Ivo"
 
     def test_analysis_and_suite(self, spark, attendance, tmp_path):
         out = batch.analysis(attendance, str(tmp_path / "a"))
@@ -174,7 +174,7 @@ class TestJobs:
         assert suite["top_rows"].count() == 3 and suite["wfh_by_month"].first()["count"] == 1
 
     def test_star_schema(self, spark, attendance, employees, tmp_path):
-        dept = spark.createDataFrame([("Engineering", "Zed", 2e6)], "department_name string, head string, budget double")
+        dept = spark.createDataFrame([("Research", "Zed", 2e6)], "department_name string, head string, budget double")
         stored = batch.load_star_schema(attendance, employees, dept, str(tmp_path / "star"))
         assert stored["fact_attendance"].filter("emp_key IS NOT NULL").count() == 5
 
@@ -186,6 +186,9 @@ class TestJobs:
         assert spark.read.parquet(f"{root}/dw_attendance_daily").count() == 10
         later = daily_run(raw, employees, date(2024, 1, 20), root)
         assert later.removed == ["2024-01-01"]
+        assert list_names(spark, f"{root}/staging/attendance_daily") == ["ds=2024-01-20"]
+        kept = spark.read.parquet(f"{root}/dw_attendance_daily")  # the warehouse keeps the run of the 1st
+        assert kept.count() == 20 and kept.select("ds").distinct().count() == 2
         assert spark.read.json(f"{root}/reports/kpi_20240120").first().total_records == 20
         assert spark.read.json(f"{root}/reports/dq_20240120").first().summary.total == 16
 

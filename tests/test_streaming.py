@@ -14,9 +14,9 @@ from rollcall.streaming import events as E
 from rollcall.streaming import sinks, windows as T
 
 
-def event(i, when, who="E1", kind="CHECK_IN", dept="HR"):
+def event(i, when, who="E1", kind="CHECK_IN", dept="People"):
     return {"event_id": f"ev{i}", "employee_id": who, "event_type": kind, "timestamp": when, "department": dept,
-            "location": "Delhi", "device_id": "D1", "source": "mobile", "latitude": 1.5, "longitude": 2.5}
+            "location": "Cork", "device_id": "D1", "source": "mobile", "latitude": 1.5, "longitude": 2.5}
 
 
 @pytest.fixture
@@ -80,7 +80,7 @@ def test_update_mode_keeps_the_newest_count(spark, folder):
     counts = T.department_counts(E.enrich_events(E.read_event_stream(spark, path)))
     sinks.finish(sinks.update_table(counts, log, f"{root}/checkpoint", None), 120)
     got = sorted((r.window_start.strftime("%H:%M"), r.department, r.events) for r in log.read().collect())
-    assert got == [("09:00", "HR", 2), ("09:01", "IT", 1)]
+    assert got == [("09:00", "People", 2), ("09:01", "IT", 1)]
     newest = T.newest_windows(log.read(), 1).first()
     assert newest.department == "IT"
     assert rows_of(log.compact(f"{root}/folded").read()) == rows_of(log.read())
@@ -89,7 +89,7 @@ def test_update_mode_keeps_the_newest_count(spark, folder):
 def test_stream_counts_equal_batch_counts(spark, folder):
     start = datetime(2024, 1, 1, 9)
     batches = [[event(10 * b + i, (start + timedelta(minutes=3 * b, seconds=7 * i)).isoformat(), who=f"E{i % 3}",
-                      dept="HR" if i % 2 else "IT") for i in range(8)] for b in range(4)]
+                      dept="People" if i % 2 else "IT") for i in range(8)] for b in range(4)]
     path = folder(*batches)
     root = shared_path(spark, "test")
     table = E.enrich_events(spark.read.schema(EVENT).json(path))
