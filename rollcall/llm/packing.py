@@ -22,7 +22,7 @@ from rollcall.llm.text import need
 CAPACITY = 2048
 END = 0  # id after every document
 ROUNDS = 400  # configurations priced at most; what is left then goes by best fit
-_WORDS, _PARTS = 350_000, 200_000  # words kept with their ids by a worker: a cache, no part of the result
+_WORDS, _PARTS = 150_000, 100_000  # words kept with their ids by a worker: a cache, no part of the result
 _CHUNK = 1 << 20
 
 

@@ -17,7 +17,7 @@ from rollcall.llm.text import need
 SEED = 42
 SHINGLE = 3
 DISTANCE = 2
-LEAF = 512  # fingerprints in a leaf of the index
+LEAF = 128  # fingerprints in a leaf of the index; a task receives pairs of leaves
 FANOUT = 16  # children of a node
 _HASHES = 1 << 16  # shingle hashes held at once
 
