@@ -1,143 +1,184 @@
-"""Cross-entropy difference: target and background bigram models over one hashed vocabulary."""
+"""Cross-entropy difference: target and background bigram models over one vocabulary that grows with the corpus."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from rollcall.llm.substring_dedup import packed, unpacked
 from rollcall.llm.text import need
 
-WORD_BITS = 18  # cells of the vocabulary both models share
-PAIR_BITS = 22  # cells of pairs of consecutive words
-SLICE = 1_024  # cells in one row of merged counts
 MIX = 0.7  # weight of the pair's share, the rest is the word's
-ADD = 0.5  # added to the count of every used word cell
-_CELLS = (1 << WORD_BITS) + (1 << PAIR_BITS)
-_START = np.uint64(0x5851F42D4C957F2D)
-_CHUNK = 1 << 22
-
-
-def cells_of(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Cells of a text's words, of the words before them, and of the pairs; in chunks of words, for long texts."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    before = _START
-    for i in range(0, len(words), _CHUNK):
-        h = np.array(list(map(xxhash.xxh3_64_intdigest, words[i:i + _CHUNK])), np.uint64)
-        previous = np.concatenate([[before], h[:-1]])
-        pair = (previous * np.uint64(0x9E3779B97F4A7C15)) ^ h
-        pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        before = h[-1]
-        shift = np.uint64(64 - WORD_BITS)
-        yield ((h >> shift).astype(np.int64), (previous >> shift).astype(np.int64),
-               (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64))
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task, target and background side by side, in packed slices."""
-    counts = np.zeros((2, _CELLS), np.int64)
-    for batch in batches:
-        for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for word, _, pair in cells_of(text):
-                for kind in (0, 1) if target else (1,):
-                    np.add.at(counts[kind], word, 1)
-                    np.add.at(counts[kind], pair + (1 << WORD_BITS), 1)
-    used = np.flatnonzero(counts[1].reshape(-1, SLICE).any(axis=1) | counts[0].reshape(-1, SLICE).any(axis=1))
-    for i in range(0, len(used), 500):
-        part = used[i:i + 500]
-        blobs = [zstandard.compress(counts[:, s * SLICE:(s + 1) * SLICE].astype("<i8").T.tobytes(), 1) for s in part.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(blobs, pa.binary())], names=["slice", "counts"])
-
-
-def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of the slices of a task, one slice's counts at a time from each row."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for s, blob in zip(batch["slice"], batch["counts"]):
-            x = np.frombuffer(zstandard.decompress(blob), "<i8")
-            sums[s] = sums[s] + x if s in sums else x
-    yield pd.DataFrame({"slice": list(sums), "counts": [zstandard.compress(x.tobytes(), 1) for x in sums.values()]},
-                       columns=["slice", "counts"]).astype({"slice": "int32"})
-
-
-class Models:
-    """Both models as arrays of a fixed size, whatever the corpus."""
-
-    def __init__(self, target: np.ndarray, background: np.ndarray):
-        split = 1 << WORD_BITS
-        used = max(1, int(((target[:split] > 0) | (background[:split] > 0)).sum()))
-        self.word, self.pair, self.context = [], [], []
-        for c in (target, background):
-            words = c[:split]
-            self.word.append(((words + ADD) / (words.sum() + ADD * used)).astype(np.float32))
-            self.pair.append(c[split:].astype(np.float32))
-            self.context.append(np.maximum(words, 1).astype(np.float32))
-
-    def losses(self, text: str | None) -> tuple[int, float | None, float | None]:
-        """Words of a text, and its loss per word under target and background; none without words."""
-        n, total = 0, [0.0, 0.0]
-        for word, previous, pair in cells_of(text):
-            n += len(word)
-            for k in (0, 1):
-                share = np.minimum(self.pair[k][pair] / self.context[k][previous], 1.0)
-                p = MIX * share.astype(float) + (1 - MIX) * self.word[k][word]
-                total[k] -= float(np.log(p).sum())
-        return (n, total[0] / n, total[1] / n) if n else (0, None, None)
-
-
-def fit(docs: DataFrame, target: Column) -> Models:
-    """Count words and pairs of all documents, and of those for which ``target`` holds.
-
-    Every task counts into cells and sends packed slices; slices are added where
-    they meet, and the driver reads sums of a fixed number of cells.
+ADD = 0.5  # added to the count of every word of the vocabulary
+BUCKETS_PER_TASK = 2  # so that hashing deals documents out evenly enough
+START = np.uint64(0x5851F42D4C957F2D)  # stands before the first word of every document
+
+
+def names_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit names of a text's words, of what stands before each, and of the pairs; A-Z count as a-z."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    word = np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64)
+    before = np.concatenate([np.array([START], np.uint64), word[:-1]]) if words else word
+    pair = (before * np.uint64(0x9E3779B97F4A7C15)) ^ word
+    pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return word, before, pair ^ (pair >> np.uint64(29))
+
+
+class Bucket:
+    """The documents of one bucket and the names in them; rows marked ``good`` name target documents."""
+
+    def __init__(self, table: pa.Table):
+        good = table["good"].to_numpy()
+        marked = {d for d, g in zip(table["doc_id"].to_pylist(), good.tolist()) if g}
+        self.table = table.filter(pa.array(~good))
+        self.target = np.array([d in marked for d in self.table["doc_id"].to_pylist()], bool)
+        parts = [names_of(t) for t in self.table["text"].to_pylist()]
+        self.lengths = np.array([len(p[0]) for p in parts], np.int64)
+        self.word, self.before, self.pair = (
+            np.concatenate([np.empty(0, np.uint64), *(p[k] for p in parts)]) for k in range(3))
+
+    def counted(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Different names in ascending order and their counts (target, background): of words with START, of pairs."""
+        of_target, full = np.repeat(self.target, self.lengths), self.lengths > 0
+        words = np.concatenate([self.word, np.full(int(full.sum()), START, np.uint64)])
+        out = []
+        for names, flags in ((words, np.concatenate([of_target, self.target[full]])), (self.pair, of_target)):
+            different, at = np.unique(names, return_inverse=True)
+            n = len(different)
+            out.append((different, np.stack([np.bincount(at[flags], minlength=n), np.bincount(at, minlength=n)]).astype("<i8")))
+        return out
+
+
+def _shrunk(x: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(x, "<i8").tobytes(), 1)
+
+
+def _grown(data: bytes) -> np.ndarray:
+    """Counts as rows (target, background)."""
+    return np.frombuffer(zstandard.decompress(data), "<i8").reshape(2, -1)
+
+
+_COUNTED = "shard int, bucket int, words binary, word_counts binary, pairs binary, pair_counts binary"
+_MERGED = "shard int, bucket int, word_counts binary, pair_counts binary, used long, target long, background long"
+
+
+def _table(rows: list[tuple], ddl: str) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in ddl.split(", ")]
+    columns = list(zip(*rows)) or [[] for _ in fields]
+    return pa.table({name: pa.array(c, types[t]) for (name, t), c in zip(fields, columns)})
+
+
+def _counts(shards: int):
+    """The counts of one bucket, cut into ranges of names."""
+    edges = np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
+
+    def one(table: pa.Table) -> pa.Table:
+        number, kinds = table["bucket"][0].as_py(), Bucket(table).counted()
+        cuts = [[0, *np.searchsorted(names, edges).tolist(), len(names)] for names, _ in kinds]
+        out = []
+        for s in range(shards):
+            ranges = [slice(c[s], c[s + 1]) for c in cuts]
+            if any(r.start < r.stop for r in ranges):
+                out.append((s, number, *(x for (names, counts), r in zip(kinds, ranges) for x in (packed(names[r]), _shrunk(counts[:, r])))))
+        return _table(out, _COUNTED)
+
+    return one
+
+
+def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Different names of all parts, the sums of their counts, and for each part the sums of its names."""
+    names = [unpacked(n) for n, _ in parts]
+    different, at = np.unique(np.concatenate(names), return_inverse=True)
+    sums, places = np.zeros((2, len(different)), np.int64), np.split(at, np.cumsum([len(n) for n in names])[:-1])
+    for place, (_, counts) in zip(places, parts):
+        sums[:, place] += _grown(counts)  # the names of one part differ
+    return different, sums, [_shrunk(sums[:, place]) for place in places]
+
+
+def _merged(buckets: int):
+    """One range of names, of all buckets: to each the whole corpus' counts of its names, and the range's totals."""
+    def one(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        names, sums, words = _summed([(r["words"], r["word_counts"]) for r in rows])
+        pairs = _summed([(r["pairs"], r["pair_counts"]) for r in rows])[2]
+        known = {r["bucket"]: counts for r, *counts in zip(rows, words, pairs)}
+        word = names != START
+        totals = (int(word.sum()), int(sums[0, word].sum()), int(sums[1, word].sum()))
+        return _table([(rows[0]["shard"], b, *known.get(b, (None, None)), *totals) for b in range(buckets)], _MERGED)
+
+    return one
+
+
+def _losses(bucket: Bucket, rows: list[dict]) -> Iterator[np.ndarray]:
+    """Loss per word of each document, under target and background."""
+    rows = sorted(rows, key=lambda r: r["shard"])
+    words, pairs = (np.concatenate([_grown(r[c]) for r in rows if r[c] is not None], axis=1) for c in ("word_counts", "pair_counts"))
+    (names, _), (pair_names, _) = bucket.counted()
+    word, before = np.searchsorted(names, bucket.word), np.searchsorted(names, bucket.before)
+    pair, used = np.searchsorted(pair_names, bucket.pair), sum(r["used"] for r in rows)
+    doc = np.repeat(np.arange(len(bucket.lengths)), bucket.lengths)
+    for k, total in enumerate(("target", "background")):
+        share = pairs[k][pair] / np.maximum(words[k][before], 1)
+        p = MIX * share + (1 - MIX) * (words[k][word] + ADD) / (sum(r[total] for r in rows) + ADD * used)
+        yield np.bincount(doc, -np.log(p), len(bucket.lengths)) / np.maximum(bucket.lengths, 1)
+
+
+def _scored(schema: pa.Schema):
+    """The documents of one bucket, scored from the corpus' counts of its names."""
+    def one(key: tuple, table: pa.Table, merged: pa.Table) -> pa.Table:
+        bucket = Bucket(table) if table.num_rows else None
+        if bucket is None or not bucket.table.num_rows:
+            return schema.empty_table()
+        n = bucket.lengths
+        target, background = _losses(bucket, merged.to_pylist()) if len(bucket.word) else (np.zeros(len(n)), np.zeros(len(n)))
+        scores = [pa.array(x, mask=n == 0) for x in (target, background, target - background)]
+        return pa.table([c.cast(f.type) for c, f in zip([bucket.table["doc_id"], pa.array(n), *scores], schema)], schema=schema)
+
+    return one
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, n_words, target_loss, background_loss, difference) of every row of ``docs``.
+
+    The target model counts the documents that ``labels`` call good (quality 1),
+    the background model all of ``docs``. Both share one vocabulary, every word of
+    the corpus: a word's probability is ``MIX`` times the share of the pair among
+    what follows the word before, and the rest the word's own share with ``ADD``
+    added to each word. Losses are in nats per word; a negative difference speaks
+    for the target. A null or wordless text has n_words 0 and null losses; null
+    ids match no label; repeated rows are counted and scored each; labels may
+    repeat. Other columns are not read; no rows give no rows.
+
+    1. Documents and the ids of target documents are dealt to buckets by id, once.
+       Each bucket counts its words and pairs; different names go to the merge as
+       packed ascending numbers, so that a frequent word is one number per bucket.
+    2. Counts are added by range of names. Each bucket gets back the corpus' counts
+       of just its names, in its order, and the totals of the range.
+    3. Each bucket scores its documents.
+
+    Nothing is kept in a table of fixed size or sent to the driver: what is counted
+    grows with the corpus and stays dealt out. Words and pairs are named by 64
+    bits; two names clash for about n * n / 2**65 of n different pairs.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = docs.select("text", F.coalesce(target, F.lit(False)).alias("target")).mapInArrow(_counted, "slice int, counts binary")
-    merged = counted.repartition(tasks, "slice").mapInPandas(_added, "slice int, counts binary")
-    counts = np.zeros((2, _CELLS), np.int64)
-    for r in merged.toLocalIterator():
-        counts[:, r["slice"] * SLICE:(r["slice"] + 1) * SLICE] = np.frombuffer(
-            zstandard.decompress(r["counts"]), "<i8").reshape(-1, 2).T
-    return Models(counts[0], counts[1])
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, difference) of every document.
-
-    Losses are in nats per word; a negative difference speaks for the target. A
-    null or wordless text has n_words 0 and null losses; null ids and repeated
-    rows are scored each. Other columns are not read; no rows give no rows. The
-    models sent to the tasks have a fixed number of cells.
-    """
-    docs = need(docs, "doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    buckets = BUCKETS_PER_TASK * tasks
+    kind = docs.schema["doc_id"].dataType
+    good = labels.where("quality = 1 and doc_id is not null").select(
+        F.col("doc_id").cast(kind), F.lit(None).cast("string").alias("text"), F.lit(True).alias("good")).distinct()
+    rows = need(docs, "doc_id", "text").withColumn("good", F.lit(False)).unionByName(good)
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    dealt = rows.withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int")).repartition(tasks, "bucket")
+    counted = dealt.groupBy("bucket").applyInArrow(_counts(tasks), _COUNTED)
+    merged = counted.groupBy("shard").applyInArrow(_merged(buckets), _MERGED)
     out = StructType([docs.schema["doc_id"], *StructType.fromDDL(
         "n_words long, target_loss double, background_loss double, difference double").fields])
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [shared.value.losses(t) for t in batch.column(1).to_pylist()]
-            n, a, b = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.float64()), pa.array(b, pa.float64()),
-                pa.array([None if x is None else x - y for x, y in zip(a, b)], pa.float64())],
-                names=["doc_id", "n_words", "target_loss", "background_loss", "difference"])
-
-    return docs.mapInArrow(run, out)
-
-
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Scores of ``docs``; the target is what ``labels`` call good, the background all of ``docs``.
-
-    Without a label a document counts for the background only. Labels are reduced
-    to one row per id first; null ids match none.
-    """
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("_good", F.lit(True))
-    marked = need(docs, "doc_id", "text").join(good, "doc_id", "left")
-    return score(docs, fit(marked, F.col("_good")))
+    return dealt.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(_scored(to_arrow_schema(out)), out)

@@ -232,28 +232,28 @@ def test_flight_keeps_totals_and_probabilities():
 
 def test_lm_scoring(spark, docs, rows, none):
     labels = spark.createDataFrame([(0, 1, 0), (3, 1, 0), (3, 1, 0), (6, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    counts = np.zeros((2, 1 << 18)), [Counter(), Counter()]
+    words, pairs, before = ([Counter(), Counter()] for _ in range(3))
     for d, t, _ in rows:
-        for word, _, pair in lm_scoring.cells_of(t):
-            for k in (0, 1) if d in (0, 3) else (1,):
-                np.add.at(counts[0][k], word, 1)
-                counts[1][k].update(pair.tolist())
-    used = int((counts[0] > 0).any(axis=0).sum())
+        w = [x.encode().lower() for x in words_of(t)]
+        for k in (0, 1) if d in (0, 3) else (1,):
+            words[k].update(w)
+            before[k].update(w + [None] * bool(w))
+            pairs[k].update(zip([None, *w], w))
 
     def loss(t, k):
-        total = 0.0
-        for word, before, pair in lm_scoring.cells_of(t):
-            for w, b, p in zip(word, before, pair.tolist()):
-                c = counts[0][k]
-                total -= np.log(0.7 * min(1.0, counts[1][k][p] / max(1, c[b])) + 0.3 * (c[w] + 0.5) / (c.sum() + 0.5 * used))
-        return total / len(words_of(t))
+        w, total, n = [x.encode().lower() for x in words_of(t)], 0.0, sum(words[k].values())
+        for a, b in zip([None, *w], w):
+            total -= np.log(0.7 * pairs[k][a, b] / max(1, before[k][a]) + 0.3 * (words[k][b] + 0.5) / (n + 0.5 * len(words[1])))
+        return total / len(w)
 
     out = lm_scoring.cross_entropy_difference(docs, labels).collect()
     assert len(out) == len(rows)
-    texts = {d: t for d, t, _ in rows}
-    for r in out[::5]:
-        if r.doc_id is not None and r.n_words:
-            assert r.difference == pytest.approx(loss(texts[r.doc_id], 0) - loss(texts[r.doc_id], 1), rel=1e-4, abs=1e-4)
+    scores = {(r.doc_id, r.n_words): r for r in out}
+    assert Counter((r.doc_id, r.n_words) for r in out) == Counter((d, len(words_of(t))) for d, t, _ in rows)
+    for d, t, _ in rows:
+        if words_of(t):
+            r, x, y = scores[d, len(words_of(t))], loss(t, 0), loss(t, 1)
+            assert (r.target_loss, r.background_loss, r.difference) == pytest.approx((x, y, x - y), rel=1e-9, abs=1e-9)
     assert all(r.difference is None for r in out if not r.n_words) and any(not r.n_words for r in out)
     assert lm_scoring.cross_entropy_difference(none, labels).count() == 0
 
