@@ -41,26 +41,26 @@ class Ids:
         self.whole = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.code = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
+        # the vocabulary's own letters for the bytes of ß to ÿ
+        self.letters = {c: self.whole.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            bytes_ = part if part.isascii() else self.whole.pre_tokenizer.pre_tokenize_str(part)[0][0]
-            ids = self._pack([t.id for t in self.whole.model.tokenize(bytes_)])
-            if len(self.parts) < _PARTS:
-                self.parts[part] = ids
+        letters = part if part.isascii() else part.translate(self.letters)
+        ids = b"".join([self.code[t.id] for t in self.whole.model.tokenize(letters)])
+        if len(self.parts) < _PARTS:
+            self.parts[part] = ids
         return ids
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.PLAIN.fullmatch(text) and not any(s in word for s in self.special):
-            ids = b"".join(map(self._part, self.PIECES.findall(text.lower())))
+        if self.PLAIN.fullmatch(text) and not self.special.search(text):
+            known = self.parts.get
+            ids = b"".join([known(p) or self._part(p) for p in self.PIECES.findall(text.lower())])
         else:
-            ids = self._pack(self.whole.encode(text, add_special_tokens=False).ids)
+            ids = b"".join([self.code[i] for i in self.whole.encode(text, add_special_tokens=False).ids])
         if len(self.words) < _WORDS:
             self.words[word] = ids
         return ids
