@@ -65,15 +65,17 @@ def _beside_smallest(links: DataFrame) -> tuple[DataFrame, Kept]:
     return links.join(smallest.rows, "u"), smallest
 
 
-def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame, most_rounds: int = 60, reduced: bool = False) -> DataFrame:
     """(node, root): every node of a link beside the smallest node of its component.
 
-    Links are reduced inside each task first; then large-star and small-star
-    rounds alternate until nothing changes, each a grouped minimum and a join.
-    Self-links, repeated links and links with null are ignored.
+    Links are reduced inside each task first, unless ``reduced`` says that the
+    tasks that made them did so: a second Python step in one task would hold a
+    second worker. Then large-star and small-star rounds alternate until nothing
+    changes, each a grouped minimum and a join. Self-links, repeated links and
+    links with null are ignored.
     """
     clean = edges.where("a is not null and b is not null and a <> b").select("a", "b")
-    now = Kept(clean.mapInPandas(contracted, EDGES).distinct(), "components")
+    now = Kept((clean if reduced else clean.mapInPandas(contracted, EDGES)).distinct(), "components")
     mark = None
     for _ in range(most_rounds):
         both = now.rows.selectExpr("a u", "b v").union(now.rows.selectExpr("b u", "a v"))

@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     prints = Kept(with_fingerprint(need(docs, "doc_id", "text")).select("doc_id", "fp"), "fingerprints").rows
     different = Kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints").rows
-    roots = connected(near_fingerprints(different, distance))
+    roots = connected(near_fingerprints(different, distance), reduced=True)
     placed = different.join(roots, different["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = Kept(placed.groupBy("root").agg(F.min("first").alias("component_id")), "fingerprints").rows
