@@ -451,3 +451,8 @@ def request_report(log: DataFrame, digits: int | None = 2) -> DataFrame:
         F.max("latency_ms").alias("max_latency_ms"),
         F.min("latency_ms").alias("min_latency_ms"),
     ).filter(F.col("total_requests") > 0)
+
+
+def approx_distinct(df: DataFrame, key: str, value: str, rsd: float = 0.05) -> DataFrame:
+    """Distinct values per key by a sketch of relative deviation ``rsd``; rows (key, approx), null values not counted."""
+    return df.groupBy(key).agg(F.approx_count_distinct(value, rsd).alias("approx"))

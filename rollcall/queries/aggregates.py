@@ -358,6 +358,13 @@ def a30(spark: SparkSession, d: str) -> DataFrame:
     return A.request_report(log, digits=None)
 
 
-@query("a31_approx_distinct_employees")
+@query(
+    "a31_approx_distinct_employees",
+    """SELECT CAST(date AS VARCHAR) AS date, count(DISTINCT employee_id) AS employees, true AS within_five_percent FROM att_ev GROUP BY 1""",
+)
 def a31(spark: SparkSession, d: str) -> DataFrame:
-    return V.att_ev(spark, d).groupBy("date").agg(F.approx_count_distinct("employee_id").alias("approx_employees"))
+    rows = V.att_ev(spark, d)
+    exact = rows.select("date", "employee_id").distinct().groupBy("date").agg(F.count("employee_id").alias("employees"))
+    near = A.approx_distinct(rows, "date", "employee_id", rsd=0.01).withColumnRenamed("date", "_date")
+    return exact.join(near, exact["date"].eqNullSafe(near["_date"])).select(
+        "date", "employees", (F.abs(F.col("approx") - F.col("employees")) <= 0.05 * F.col("employees")).alias("within_five_percent"))
