@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from rollcall.llm import (
-    embedding_dedup, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
+    embedding_dedup, license_scan, lm_scoring, mixing, near_copies, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
 )
 from rollcall.llm.components import connected
 from rollcall.llm.queries import importable
@@ -382,6 +382,50 @@ def test_pipeline_stages(spark, rows):
     assert packed.where("piece = 0").count() == mixed.count()
 
 
+def copies_of(texts):
+    """Components of the texts by brute force: Jaccard of five-word shingles of at least 0.8."""
+    sets = []
+    for t in texts:
+        w = [x.encode().lower() for x in words_of(t)]
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    near = [(i, j) for j, y in enumerate(sets) for i, x in enumerate(sets[:j]) if x == y or 10 * len(x & y) >= 8 * len(x | y)]
+    return components(range(len(texts)), near)
+
+
+@pytest.fixture(scope="module")
+def edited():
+    """Texts in all degrees of likeness: edited words, cut ends, chains of edits, one passage in many."""
+    r = random.Random(11)
+    word = lambda: f"v{r.randint(0, 5000)}"
+    out = []
+    for _ in range(25):
+        base = [word() for _ in range(r.randint(3, 200))]
+        out.append(base)
+        for edits in (1, 1, 2, 4, 7):
+            new = list(r.choice(out[-3:]))
+            for i in r.sample(range(len(new)), min(edits, len(new))):
+                new[i] = word()
+            out.append(new)
+        out.append(base[: round(len(base) * r.choice((0.78, 0.8, 0.82, 0.9)))])
+    passage = [word() for _ in range(90)]
+    out += [passage + [word() for _ in range(r.randint(5, 40))] for _ in range(40)]
+    return [" ".join(w) for w in out] + [" ".join(out[0]).upper()] + ["", None, " \n"]
+
+
+@pytest.mark.parametrize("sample", [1, 16])
+def test_near_copies(spark, edited, sample):
+    root = copies_of(edited)
+    got = near_copies.first_of_copies(made(spark, [(i, t, "a") for i, t in enumerate(edited)]).repartition(5), "doc_id", sample=sample)
+    assert len(set(root.values())) < len(edited) - 60 and sorted(r.doc_id for r in got.collect()) == sorted(set(root.values()))
+
+
+def test_pipeline_near_dedup_by_jaccard(spark, edited):
+    docs = made(spark, [(i, t, "a") for i, t in enumerate(edited)]).select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(copies_of(edited).values()))
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+
+
 def test_pipeline_run(spark):
     folder = "/root/testdata/sf0.001"
     importable(spark)
