@@ -426,6 +426,28 @@ def test_pipeline_near_dedup_by_jaccard(spark, edited):
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
 
 
+def test_pipeline_near_dedup_without_or_with_shared_ids(spark, rows):
+    alone, other, third = ("".join(f"{c}{i} " for i in range(40)) for c in "xyz")
+    cells = [*rows, (None, alone, "a"), (None, alone + "more", None), (7000, other, None), (7000, third, "b"), (7000, other, "c"),
+             (7001, third, "a"), (None, other, "a"), (None, None, None)]
+    docs = made(spark, cells).select(*corpus_pipeline.COLUMNS)
+    extra = [(9000, alone + "more and", None, None, None), (9001, "no language " * 9, None, "a", None), (9001, "no length", "en", None, None)]
+    docs = docs.union(spark.createDataFrame(extra, docs.schema))
+    texts = [t for _, t, _ in cells] + [e[1] for e in extra]
+    root = copies_of(texts)
+    ids = [d for d, _, _ in cells] + [e[0] for e in extra]
+    least = {}
+    for i, d in enumerate(ids):
+        least[root[i]] = min(least.get(root[i], (True, 0)), (d is None, d or 0))
+    kept = corpus_pipeline.near_dedup(spark, docs.repartition(3), "").collect()
+    groups = [root[texts.index(r.text)] for r in kept]
+    assert len(groups) == len(set(groups)) == len(set(root.values()))
+    assert all((r.doc_id is None, r.doc_id or 0) == least[g] for r, g in zip(kept, groups))
+    assert any(r.doc_id is None for r in kept) and sum(r.doc_id == 7000 for r in kept) == 2
+    again = corpus_pipeline.near_dedup(spark, docs.repartition(7, "text"), "").collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, kept))
+
+
 def test_pipeline_run(spark):
     folder = "/root/testdata/sf0.001"
     importable(spark)
