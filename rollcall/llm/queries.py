@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.llm import (
-    embedding_dedup, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
+    centroid_clusters, embedding_dedup, filter_audit, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
 )
-from rollcall.llm.reference_sql import LICENSE_SCAN, QUALITY_RULES
+from rollcall.llm.reference_sql import CENTROID_CLUSTERS, FILTER_AUDIT, LICENSE_SCAN, QUALITY_RULES
 from rollcall.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,13 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write_warc(table(spark, folder, "pages"), path)
     return warc.page_records(spark, path)
+
+
+@query("op11_centroid_clusters", CENTROID_CLUSTERS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.cluster(table(spark, folder, "embeddings"))
+
+
+@query("op13_filter_audit", FILTER_AUDIT)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))

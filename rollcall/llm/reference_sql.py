@@ -1,5 +1,7 @@
 """The SQL beside the queries that SQL can express."""
 
+from rollcall.llm.centroid_clusters import CLUSTERS, DIM, ROUNDS, SALT, SCALE
+from rollcall.llm.filter_audit import FILTERS
 from rollcall.llm.license_scan import TEMPLATES, THRESHOLD, template_bigrams
 from rollcall.llm.quality_rules import STOP_WORDS
 
@@ -64,3 +66,73 @@ m AS (SELECT r, count(*) AS n, max(d) AS d FROM s WHERE d >= {THRESHOLD}::DOUBLE
 b AS (SELECT m.r, m.n, m.d, min(k) AS k FROM m JOIN s ON s.r = m.r AND s.d = m.d GROUP BY ALL)
 SELECT doc_id, coalesce(n, 0) AS n_matches, k AS license, d AS dice FROM d LEFT JOIN b USING (r)
 """
+
+
+def _assigned(k: int) -> str:
+    """Vectors beside their nearest centroid of round ``k``."""
+    return f"""
+a{k} AS MATERIALIZED (
+  SELECT r, vec_id, v, d[1] AS distance, d[2] AS cluster FROM (
+    SELECT r, vec_id, v, min([list_sum(list_transform(range(1, {DIM + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT, k]) AS d
+    FROM kept, c{k} GROUP BY ALL))"""
+
+
+def _moved(k: int) -> str:
+    """The centroids of round ``k + 1``."""
+    mean = "(s - ((s % n) + n) % n) // n"
+    return f"""
+c{k + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m, c) AS c FROM c{k} LEFT JOIN (
+    SELECT cluster, list({mean} ORDER BY i) AS m FROM (
+      SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{k}) GROUP BY ALL) GROUP BY cluster) ON cluster = k)"""
+
+
+CENTROID_CLUSTERS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * {SCALE})::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {DIM} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c FROM (
+    SELECT sha256('{SALT}' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {CLUSTERS})),
+{", ".join(_assigned(k) + "," + _moved(k) for k in range(ROUNDS))}, {_assigned(ROUNDS)}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN c{ROUNDS} ON cluster = k
+"""
+
+_FAILS = {f: f"fails_{f.lower()}" for f in FILTERS}
+_ORDERS = f"""
+  SELECT concat({", ".join(f"f{i}" for i in range(1, 6))}) AS filter_order, [{", ".join(f"f{i}" for i in range(1, 6))}] AS l
+  FROM {", ".join(f"(SELECT unnest(string_split('{FILTERS}', '')) AS f{i})" for i in range(1, 6))}
+  WHERE len(list_distinct(l)) = 5"""
+
+FILTER_AUDIT = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w
+  FROM documents),
+f AS (
+  SELECT doc_id, part, concat(
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS failed FROM d),
+g AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN g USING (doc_id) GROUP BY ALL),
+o AS ({_ORDERS}),
+s AS (
+  SELECT part, filter_order, step, l[step] AS filter, n, good, toxic, contains(failed, l[step]) AS fails, failed = l[step] AS alone,
+         len(list_filter(l[:step - 1], lambda x: contains(failed, x))) > 0 AS gone
+  FROM m, o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM r
+"""
