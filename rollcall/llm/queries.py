@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.llm import (
-    centroid_clusters, embedding_dedup, filter_audit, license_scan, lm_scoring, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
+    centroid_clusters, embedding_dedup, filter_audit, license_scan, lm_scoring, mixing, nnls_packing, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
 )
 from rollcall.llm.reference_sql import CENTROID_CLUSTERS, FILTER_AUDIT, LICENSE_SCAN, QUALITY_RULES
 from rollcall.session import shared_path
@@ -107,3 +107,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_filter_audit", FILTER_AUDIT)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op12_nnls_packing")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return nnls_packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
