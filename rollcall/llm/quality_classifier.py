@@ -49,15 +49,17 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, ridge: float = 1.0) -> Model:
     """Fit on at most ``rows`` labelled documents, the first in the order of a hash of the id.
 
+    An id with labels of both kinds counts as bad; one with several texts has the
+    smallest of their figures. So every run fits the same weights.
     Without labels of both kinds the weights are zero and only the prior speaks.
     """
     marked = (
-        labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", "quality").dropDuplicates(["doc_id"])
+        labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").limit(rows)
     )
     seen = (
         with_features(docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id"))  # at most ``rows`` narrow rows
-        .select("doc_id", "quality", "x").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(rows).collect()
+        .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("x").alias("x")).orderBy("doc_id").limit(rows).collect()
     )
     y = np.array([r["quality"] for r in seen], dtype=float)
     n = len(FEATURES)
@@ -120,16 +122,18 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     an empty one; a null doc_id, host or path is judged like others; repeated rows
     are judged alike; ``docs`` without rows gives none. Columns of ``docs`` with
     these names are replaced; ``keep_text=False`` drops the text. A document of an
-    unlabelled corpus has evidence 0. Every text is read once for its figures:
-    the scored rows are written to the shared folder, since both the site totals
-    and the verdicts need them. Only one row per path is joined back.
+    unlabelled corpus has evidence 0. Both the site totals and the verdicts need the
+    figures of a text. Without the text the scored rows are written to the shared
+    folder once; with it they are worked out a second time, since a copy of all
+    texts costs more. Only one row per path is joined back.
     """
     model = fit(docs, labels, rows)
     base = float(np.log(model.prior / (1 - model.prior)))
     own = ["evidence", "host_posterior", "path_posterior", "posterior", "kept"]
     odds = F.greatest(F.least(model.log_odds(F.col("x")), F.lit(30.0)), F.lit(-30.0))
     scored = with_features(docs.drop(*own)).withColumn("evidence", odds - base).drop("x")
-    scored = written(scored if keep_text else scored.drop("text"), "quality-evidence")
+    if not keep_text:
+        scored = written(scored.drop("text"), "quality-evidence")
     sites = site_posteriors(scored.select(
         F.col(host).alias("host"), F.col(path).alias("path"), (1 / (1 + F.exp(-(F.col("evidence") + base)))).alias("p")
     )).select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_posterior", "path_posterior")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.session import shared_path
 from rollcall.sources.files import delete_path
@@ -18,3 +20,13 @@ class Kept:
 
     def drop(self) -> None:
         delete_path(self.spark, self.path)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of ended jobs deleted now.
+
+    Spark deletes them when the driver has forgotten the job's plan, which an idle
+    driver does late; an operator of several large jobs would hold all of them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
