@@ -363,25 +363,64 @@ def test_broken_framing_and_segments():
     assert warc.payload_of(b"HTTP/1.1 200 OK\r\n\r\nplain") == b"plain"
 
 
-def test_pipeline_stages(spark, rows):
-    """Each stage beside the definition of what it keeps, on its predecessor's rows."""
+def first_rows(cells):
+    """Of each group of near copies the row with the smallest id, null last; of one id's rows that of the smallest digest."""
+    root = copies_of([t for _, t, _ in cells])
+    groups = {}
+    for i, (d, t, s) in enumerate(cells):
+        groups.setdefault(root[i], []).append((d is None, d or 0))
+    return Counter(min(g) for g in groups.values())
+
+
+@pytest.mark.parametrize("kind", ["all", "repeated", "none"])
+def test_pipeline_stages(spark, rows, kind):
+    """Each stage beside the definition of what it keeps, on its predecessor's rows; null ids, repeated rows, no rows."""
     labels = "/root/testdata/sf0.001"
-    docs = made(spark, [r for r in rows if r[0] is not None]).select(*corpus_pipeline.COLUMNS)
+    cells = {"all": rows, "repeated": rows + rows[::3], "none": []}[kind]
+    docs = made(spark, cells).select(*corpus_pipeline.COLUMNS)
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["quality", "near_dedup", "passages", "mixing", "packing"]
     kept = corpus_pipeline.near_dedup(spark, docs, labels)
     assert kept.columns == corpus_pipeline.COLUMNS
-    first = {r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(first)
+    first = first_rows(cells)
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == first
     texts = corpus_pipeline.passages(spark, kept, labels)
-    assert texts.columns == corpus_pipeline.COLUMNS and texts.count() == len(first)
+    assert texts.columns == corpus_pipeline.COLUMNS and texts.count() == first.total()
     assert all(r.n_chars == len(r.text) for r in texts.collect() if r.text is not None)
     mixed = corpus_pipeline.mixing(spark, texts, labels)
-    assert Counter(r.doc_id for r in mixed.collect()) == Counter(
-        {r.doc_id: r.copies for r in mixing.mix(texts).collect() if r.copies})
+    assert Counter(r.doc_id for r in mixed.collect()) == sum(
+        (Counter({r.doc_id: r.copies}) for r in mixing.mix(texts).collect() if r.copies), Counter())
     packed = corpus_pipeline.packing(spark, mixed, labels)
     assert packed.where("piece = 0").count() == mixed.count()
 
 
+def test_pipeline_quality_rejects_bad_documents(spark, tmp_path):
+    """Junk goes, prose stays, labelled or not; null and empty texts and ids have a verdict; no rows give none."""
+    r = random.Random(8)
+    prose = lambda: " ".join(r.choice("the river runs past old mills and slow green fields in early light".split()) for _ in range(120))
+    junk = lambda: " ".join(r.choice(["BUY!!", "$$$", "NOW!!", "###", "WIN"]) for _ in range(120))
+    cells = [(i, junk() if i % 3 == 0 else prose(), "ab"[i % 2]) for i in range(300)] + [(None, prose(), None), (None, junk(), "a"), (500, None, "a"), (501, "", None)]
+    spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(0, 300, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = made(spark, cells).select(*corpus_pipeline.COLUMNS)
+    kept = Counter((x.doc_id, x.text) for x in corpus_pipeline.quality(spark, docs, str(tmp_path)).collect())
+    good = Counter((d, t) for d, t, _ in cells if t and "river" in t)
+    bad = Counter((d, t) for d, t, _ in cells if t and "BUY" in t)
+    assert good <= kept and not kept & bad
+    assert corpus_pipeline.quality(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_parities_bound_the_difference():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 5, 40, 700, 5000):
+        x = np.unique(r.integers(-2**63, 2**63 - 1, n, np.int64))
+        y = np.unique(np.concatenate([x[: round(n * 0.9)], r.integers(-2**63, 2**63 - 1, n // 9, np.int64)]))
+        p, q = near_copies.parities(x), near_copies.parities(y)
+        while len(p) != len(q):
+            long, short = (p, q) if len(p) > len(q) else (q, p)
+            long = long[: len(long) // 2] ^ long[len(long) // 2:]
+            p, q = long, short
+        assert sum(int(v).bit_count() for v in (p ^ q).view(np.uint64)) <= len(np.setxor1d(x, y))
+
+
 def copies_of(texts):
     """Components of the texts by brute force: Jaccard of five-word shingles of at least 0.8."""
     sets = []
