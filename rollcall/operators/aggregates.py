@@ -20,8 +20,8 @@ from rollcall.functions.scalar import (
     weekday_number,
     year_month,
 )
+from rollcall.operators.quantiles import column_quantiles
 from rollcall.operators.relational import complete_categories, in_month_of, since_days
-from rollcall.operators.skew import lookup_join
 from rollcall.operators.windows import share_of_total
 from rollcall.schemas import WORKDAYS
 
@@ -323,11 +323,15 @@ def hours_per_row_by_department(att: DataFrame) -> DataFrame:
     )
 
 
+def _overtime(emp: DataFrame, att: DataFrame) -> DataFrame:
+    worked = att.filter(F.col("overtime_hours") > 0).select("employee_id", "overtime_hours")
+    return worked.join(emp.select("employee_id", "department"), "employee_id")
+
+
 def overtime_by_department(emp: DataFrame, att: DataFrame) -> DataFrame:
     """Mean, maximum and sketched median of positive overtime per department of the employee."""
-    worked = att.filter(F.col("overtime_hours") > 0).select("employee_id", "overtime_hours")
     return (
-        lookup_join(worked, emp.select("employee_id", "department"), ["employee_id"], "inner")
+        _overtime(emp, att)
         .groupBy("department")
         .agg(
             F.avg("overtime_hours").alias("avg_overtime"),
@@ -339,32 +343,18 @@ def overtime_by_department(emp: DataFrame, att: DataFrame) -> DataFrame:
 
 
 def overtime_by_department_exact(emp: DataFrame, att: DataFrame) -> DataFrame:
-    """The same with the exact median.
+    """The same with the exact median: a bracket per department, then the values inside it.
 
-    Records are counted per (employee, overtime) before the join, so an employee
-    with very many of them is a few rows by then; the median keeps one entry per
-    different overtime value.
+    No department's values meet in one place, however many of the records it has.
     """
-    hist = (
-        att.filter(F.col("overtime_hours") > 0)
-        .groupBy("employee_id", "overtime_hours")
-        .agg(rows().alias("_n"))
-    )
-    per_dept = (
-        hist.join(emp.select("employee_id", "department"), "employee_id")
-        .groupBy("department", "overtime_hours")
-        .agg(F.sum("_n").alias("_n"))
-    )
-    total = F.sum(F.col("overtime_hours") * F.col("_n"))
-    return (
-        per_dept.groupBy("department")
-        .agg(
-            F.try_divide(total, F.sum("_n")).alias("avg_overtime"),
-            F.max("overtime_hours").alias("max_overtime"),
-            F.percentile("overtime_hours", F.lit(0.5), F.col("_n")).alias("median_overtime"),
-        )
-        .orderBy(F.desc("avg_overtime"), "department")
-    )
+    value = F.col("_v")
+    found = column_quantiles(
+        _overtime(emp, att), ["overtime_hours"], [0.5], ["department"],
+        {"avg_overtime": F.avg(value), "max_overtime": F.max(value)},
+    )
+    return found.select(
+        "department", "avg_overtime", "max_overtime", F.col("p50").alias("median_overtime")
+    ).orderBy(F.desc("avg_overtime"), "department")
 
 
 # --- dashboard figures ---------------------------------------------------------------

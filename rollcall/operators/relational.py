@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions.scalar import ColumnLike, as_col, hash_fraction_below, is_true, is_weekend
-from rollcall.operators.skew import lookup_join
 from rollcall.schemas import WORKDAYS
 
 
@@ -90,14 +89,14 @@ def make_dirty(att: DataFrame, key: str = "attendance_id") -> DataFrame:
 
 def with_employee(att: DataFrame, emp: DataFrame, how: str = "inner") -> DataFrame:
     """Attendance rows with the name of the employee."""
-    return lookup_join(att, emp.select("employee_id", "name"), ["employee_id"], how)
+    return att.join(emp.select("employee_id", "name"), "employee_id", how)
 
 
 def enrich(att: DataFrame, emp: DataFrame, dept: DataFrame) -> DataFrame:
     """Attendance with employee attributes and the head of the department (left joins)."""
     people = emp.select("employee_id", "name", "designation", "salary", "join_date", "is_active")
     heads = dept.select(F.col("department_name").alias("department"), "head")
-    return lookup_join(lookup_join(att, people, ["employee_id"]), heads, ["department"])
+    return att.join(people, "employee_id", "left").join(heads, "department", "left")
 
 
 def above_average_overtime(emp: DataFrame, att: DataFrame) -> DataFrame:
@@ -151,7 +150,7 @@ def latest_absences_while_manager_present(emp: DataFrame, att: DataFrame, k: int
 def orphans(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
     """Rows whose key is not in the reference column; a null key is an orphan too."""
     known = ref.select(F.col(ref_column).alias(column)).distinct()
-    return lookup_join(df, known, [column], "left_anti")
+    return df.join(known, column, "left_anti")
 
 
 def complete_categories(df: DataFrame, column: str, categories: list[str]) -> DataFrame:

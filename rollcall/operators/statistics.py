@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.scalar import log1p_nonneg, round_to
-from rollcall.operators.ordering import ordered_blocks
+from rollcall.operators.quantiles import column_quantiles, quantile_name
 from rollcall.operators.relational import existing
 
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
@@ -21,64 +20,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 # --- exact quantiles ---------------------------------------------------------------
 
-def quantile_name(prob: float) -> str:
-    return f"p{prob * 100:g}".replace(".", "_")
-
-
-def ordered_values(df: DataFrame, column: str) -> DataFrame:
-    """The different values of a column with their counts, in order across tasks.
-
-    This is the one pass over the data; all figures below are worked out from it.
-    Columns: ``_v``, ``_n``, and ``_block`` and ``_seq`` for the place in the order.
-    """
-    hist = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return ordered_blocks(hist, [F.col("_v")])
-
-
-def quantiles_of(blocks: DataFrame, probs: list[float]) -> dict[str, float | None]:
-    """Linearly interpolated quantiles from ordered value counts, by name.
-
-    One row per block comes to the driver (there are as many as shuffle
-    partitions) and tells which blocks hold the wanted ranks; only those are put
-    in running order, each in its own task, and only the values at the ranks come back.
-    """
-    sizes = {r["_block"]: r["n"] for r in blocks.groupBy("_block").agg(F.sum("_n").alias("n")).collect()}
-    total = sum(sizes.values())
-    if not total:
-        return {quantile_name(p): None for p in probs}
-    ranks = sorted({f(p * (total - 1)) for p in probs for f in (floor, ceil)})
-    start, before = {}, 0
-    for block in sorted(sizes):
-        start[block], before = before, before + sizes[block]
-    holding = [b for b in start if any(start[b] <= r < start[b] + sizes[b] for r in ranks)]
-    first = F.lit(0)
-    for b in holding:
-        first = F.when(F.col("_block") == b, F.lit(start[b])).otherwise(first)
-    inside = Window.partitionBy("_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        blocks.filter(F.col("_block").isin(holding))
-        .withColumn("_next", first + F.sum("_n").over(inside))
-        .withColumn("_rank", F.explode(F.array(*[F.lit(r).cast("bigint") for r in ranks])))
-        .filter((F.col("_rank") < F.col("_next")) & (F.col("_rank") >= F.col("_next") - F.col("_n")))
-    )
-    value = {r["_rank"]: r["_v"] for r in ranked.select("_rank", "_v").collect()}
-    out = {}
-    for p in probs:
-        at = p * (total - 1)
-        low, high = value[floor(at)], value[ceil(at)]
-        out[quantile_name(p)] = low + (high - low) * (at - floor(at))
-    return out
-
-
 def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
     """One row with the exact quantiles as ``p25``, ``p50``, ..."""
-    found = quantiles_of(ordered_values(df, column), probs)
-    spec = ", ".join(f"{name} double" for name in found)
-    return df.sparkSession.createDataFrame([tuple(found.values())], spec)
+    return column_quantiles(df, [column], probs).select(*map(quantile_name, probs))
 
 
 def _lit(value: float | None) -> Column:
@@ -118,9 +62,10 @@ def _z_score(df: DataFrame, columns: list[str]) -> dict[str, Column]:
 
 
 def _robust(df: DataFrame, columns: list[str]) -> dict[str, Column]:
+    found = {r["column"]: r for r in column_quantiles(df, columns, [0.25, 0.5, 0.75]).collect()}
     out = {}
     for c in columns:
-        q = quantiles_of(ordered_values(df, c), [0.25, 0.5, 0.75])
+        q = found[c]
         if q["p50"] is None:
             out[c] = _lit(None)
         elif q["p75"] == q["p25"]:
@@ -141,7 +86,7 @@ def normalize_columns(df: DataFrame, columns: list[str], method: str = "min_max"
     """Add ``<column>_norm`` for each listed column that exists.
 
     The statistics of all columns come from one aggregation and reach the rows
-    as a scalar subquery. A constant column becomes 0, in rows without a value too.
+    as a scalar subquery, quartiles as constants. A constant column becomes 0, in rows without a value too.
     """
     present = existing(df, columns)
     if not present:
@@ -152,90 +97,59 @@ def normalize_columns(df: DataFrame, columns: list[str], method: str = "min_max"
 
 # --- descriptions ------------------------------------------------------------------
 
-def _moments(values: DataFrame) -> DataFrame:
-    """Count, mean, extremes and the sum of squared deviations from ordered value counts."""
-    weighted = F.sum(F.col("_v") * F.col("_n"))
-    mean = values.agg(F.try_divide(weighted, F.sum("_n"))).scalar()
-    deviation = F.col("_v") - mean
-    return values.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
-        F.try_divide(weighted, F.sum("_n")).alias("mean"),
-        F.sum(deviation * deviation * F.col("_n")).alias("_squares"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-    )
-
-
 def column_statistics(df: DataFrame, column: str) -> DataFrame:
     """Count, moments (population), extremes and five percentiles of a column."""
-    values = ordered_values(df, column)
-    q = quantiles_of(values, [0.25, 0.5, 0.75, 0.9, 0.99])
-    return _moments(values).select(
-        "n",
-        "mean",
-        F.sqrt(F.try_divide("_squares", "n")).alias("std"),
-        F.try_divide("_squares", "n").alias("variance"),
-        "min",
-        "max",
-        _lit(q["p50"]).alias("median"),
-        *[_lit(figure).alias(name) for name, figure in q.items()],
-    )
+    v = F.col("_v")
+    figures = {"mean": F.avg(v), "std": F.stddev_pop(v), "variance": F.var_pop(v), "min": F.min(v), "max": F.max(v)}
+    probs = [0.25, 0.5, 0.75, 0.9, 0.99]
+    found = column_quantiles(df, [column], probs, also=figures)
+    return found.select("n", *figures, F.col("p50").alias("median"), *map(quantile_name, probs))
+
+
+def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles, a row per column; all columns share two scans."""
+    v = F.col("_v")
+    figures = {"mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+    found = column_quantiles(df, columns, [0.25, 0.5, 0.75], also=figures)
+    return found.select("column", F.col("n").alias("count"), *figures, "p25", "p50", "p75")
 
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of a column."""
-    values = ordered_values(df, column)
-    q = quantiles_of(values, [0.25, 0.5, 0.75])
-    return _moments(values).select(
-        F.col("n").alias("count"),
-        "mean",
-        F.sqrt(F.try_divide("_squares", F.col("n") - 1)).alias("std"),
-        "min",
-        "max",
-        *[_lit(figure).alias(name) for name, figure in q.items()],
-    )
+    return describe_numbers(df, [column]).drop("column")
+
+
+def describe_texts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count, distinct values, the most frequent value (the smallest of equally frequent ones) and its count.
+
+    A row per column. Values of all columns are counted in one scan.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    counts = df.select(F.inline(cells)).groupBy("_column", "v").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("v").isNotNull()
+    per_column = counts.groupBy("_column").agg(
+        F.sum(F.when(known, F.col("n"))).alias("count"), F.count("v").alias("distinct"),
+        F.min(F.when(known, F.struct((-F.col("n")).alias("n"), "v"))).alias("best"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "_column int, column string")
+    return names.join(per_column, "_column", "left").select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("distinct", F.lit(0)).alias("distinct"),
+        F.col("best.v").alias("top"), (-F.col("best.n")).alias("freq"))
 
 
 def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per column: count; distinct, top and freq of text; statistics of numbers."""
     columns = columns or df.columns
-    numeric = set(numeric_columns(df))
+    numbers = [c for c in columns if c in set(numeric_columns(df))]
+    texts = [c for c in columns if c not in numbers]
+    figures = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    order = ["column", "count", "distinct", "top", "freq", *figures]
     parts = []
-    for c in columns:
-        if c in numeric:
-            part = describe_numeric(df, c).select(
-                F.lit(c).alias("column"),
-                "count",
-                F.lit(None).cast("bigint").alias("distinct"),
-                F.lit(None).cast("string").alias("top"),
-                F.lit(None).cast("bigint").alias("freq"),
-                "mean", "std", "min", "p25", "p50", "p75", "max",
-            )
-        else:
-            counts = (
-                df.filter(F.col(c).isNotNull())
-                .groupBy(F.col(c).cast("string").alias("v"))
-                .agg(F.count(F.lit(1)).alias("n"))
-            )
-            # most frequent value, the smallest of equally frequent ones
-            best = counts.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-                F.count(F.lit(1)).alias("distinct"),
-                F.min_by(F.struct("v", "n"), F.struct(-F.col("n"), F.col("v"))).alias("best"),
-            )
-            empty = [F.lit(None).cast("double").alias(n) for n in
-                     ("mean", "std", "min", "p25", "p50", "p75", "max")]
-            part = best.select(
-                F.lit(c).alias("column"), "count", "distinct",
-                F.col("best.v").alias("top"), F.col("best.n").alias("freq"), *empty,
-            )
-        parts.append(part)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
+    if numbers:
+        empty = {"distinct": F.lit(None).cast("bigint"), "top": F.lit(None).cast("string"), "freq": F.lit(None).cast("bigint")}
+        parts.append(describe_numbers(df, numbers).withColumns(empty).select(*order))
+    if texts:
+        parts.append(describe_texts(df, texts).withColumns({f: F.lit(None).cast("double") for f in figures}).select(*order))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
@@ -243,17 +157,15 @@ def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
 
     ``rows`` counts all rows, those without a value included.
     """
-    values = ordered_values(df, column)
-    q = quantiles_of(values, [0.25, 0.75])
+    q = column_quantiles(df, [column], [0.25, 0.75]).first()
     if q["p25"] is None:
         low, high = _lit(None), _lit(None)
     else:
         reach = factor * (q["p75"] - q["p25"])
         low, high = F.lit(q["p25"] - reach), F.lit(q["p75"] + reach)
-    outside = F.sum(F.when((F.col("_v") < low) | (F.col("_v") > high), F.col("_n")))
-    counted = values.agg(F.coalesce(outside, F.lit(0)).alias("outliers"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counted.select("outliers", total.alias("rows"), low.alias("lower"), high.alias("upper"))
+    value = F.col(column).cast("double")
+    counted = df.agg(F.count_if((value < low) | (value > high)).alias("outliers"), F.count(F.lit(1)).alias("rows"))
+    return counted.select("outliers", "rows", low.alias("lower"), high.alias("upper"))
 
 
 def correlations(df: DataFrame, columns: list[str] | None = None, digits: int | None = 3) -> DataFrame:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from rollcall.operators.skew import lookup_join
 from rollcall.operators.windows import keep_first
 from rollcall.sources.files import delete_path, path_exists
 
@@ -19,30 +18,35 @@ def upsert(
     """Target with the source's values on matching keys, plus the source's new keys.
 
     Columns the source does not have keep the target's values (null in new rows).
-    Several source rows with one key are reduced to the first in ``latest_first``,
-    without it to that of the largest values, so that no target row is multiplied.
+    A target row that several source rows match is an error, raised when the result
+    is made, unless ``latest_first`` tells which of them counts. Source rows of a
+    new key are all added. A null key matches nothing.
 
-    The target is only ever the many-rows side of a lookup, so a small source is
-    broadcast and a large one is joined with hot keys apart.
+    One full join: both tables are read once. The number of source rows of a key is
+    counted in the partitions that the join needs anyway.
     """
-    rest = [F.desc_nulls_last(c) for c in source.columns if c not in keys]
-    if latest_first or rest:
-        source = keep_first(source, keys, [*(latest_first or []), *rest])
-    else:
-        source = source.dropDuplicates(keys)
+    if latest_first:
+        source = keep_first(source, keys, [*latest_first, *[F.desc_nulls_last(c) for c in source.columns if c not in keys]])
     shared = [c for c in source.columns if c in target.columns and c not in keys]
     changes = source.select(
-        *keys, *[F.col(c).alias(f"_s_{c}") for c in shared], F.lit(True).alias("_hit")
+        *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_s_{c}") for c in shared], F.lit(True).alias("_hit"),
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"),
     )
-    updated = lookup_join(target, changes, keys).select(
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_k_{k}"))
+    joined = target.withColumn("_there", F.lit(True)).join(changes, on, "full_outer")
+    twice = F.col("_there") & F.col("_hit") & (F.col("_n") > 1)
+    refused = F.raise_error(F.lit("several source rows match one row of the target")).cast("boolean")
+    hit = F.coalesce("_hit", F.lit(False))
+    return joined.filter(F.when(twice, refused).otherwise(F.lit(True))).select(
         *[
-            F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in shared else F.col(c)
+            F.coalesce(c, f"_k_{c}").alias(c) if c in keys
+            else F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in shared
+            else F.col(c)
             for c in target.columns
         ]
     )
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    added = source.join(known, keys, "left_anti").select(*keys, *shared)
-    return updated.unionByName(added, allowMissingColumns=True)
 
 
 def append_shifted(df: DataFrame, order: list[str], rows: int = 100, days: int = 365) -> DataFrame:

@@ -17,8 +17,7 @@ from rollcall.functions.scalar import (
     salary_band,
     status_is,
 )
-from rollcall.operators.ordering import with_position
-from rollcall.operators.skew import BROADCAST_ROWS, lookup_join
+from rollcall.operators.splits import with_position
 
 # The shifts with their keys and times.
 SHIFT_ROWS = [
@@ -47,7 +46,7 @@ def dim_date(att: DataFrame, column: str = "date") -> DataFrame:
     )
 
 
-def dim_employee(emp: DataFrame, small: int = BROADCAST_ROWS) -> DataFrame:
+def dim_employee(emp: DataFrame) -> DataFrame:
     """Employees with a surrogate key in employee order, salary band and open validity."""
     chosen = emp.select(
         "employee_id", "name", "department", "designation", "location", "salary",
@@ -56,15 +55,15 @@ def dim_employee(emp: DataFrame, small: int = BROADCAST_ROWS) -> DataFrame:
         F.lit(None).cast("date").alias("effective_to"),
         F.lit(True).alias("is_current"),
     )
-    return with_position(chosen, [F.col("employee_id")], "emp_key", small)
+    return with_position(chosen, [F.col("employee_id")], "emp_key")
 
 
-def dim_department(dept: DataFrame, small: int = BROADCAST_ROWS) -> DataFrame:
+def dim_department(dept: DataFrame) -> DataFrame:
     chosen = dept.select(
         F.col("department_name").alias("department"), "head", "budget",
         budget_tier("budget").alias("budget_tier"),
     )
-    return with_position(chosen, [F.col("department")], "dept_key", small)
+    return with_position(chosen, [F.col("department")], "dept_key")
 
 
 def dim_shift(spark: SparkSession) -> DataFrame:
@@ -84,7 +83,7 @@ def fact_attendance(att: DataFrame, employees: DataFrame, departments: DataFrame
     emp_keys = employees.select("employee_id", "emp_key")
     dept_keys = departments.select("department", "dept_key")
     return (
-        lookup_join(lookup_join(att, emp_keys, ["employee_id"]), dept_keys, ["department"])
+        att.join(emp_keys, "employee_id", "left").join(dept_keys, "department", "left")
         .select(
             F.col("attendance_id").alias("fact_id"),
             date_key(parse_date("date")).alias("date_key"),

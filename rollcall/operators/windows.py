@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.functions.scalar import flag, parse_date, status_is, year_month
-from rollcall.operators.ordering import (
-    carried_in,
-    join_carried,
-    ordered_blocks,
+from rollcall.operators.splits import (
+    BLOCKS,
+    large_and_other,
+    running_sum,
+    split_points,
     with_position,
     with_position_within,
 )
-from rollcall.operators.skew import ROWS_PER_TASK, hot_keys, split_hot
+
+CHUNK_ROWS = 1_000_000  # numbered rows of one key that a moving average takes together
 
 WORKED = ["Present", "Late", "Work-From-Home"]  # Fixed values: statuses with hours at work.
 
@@ -22,33 +24,14 @@ def worked_rows(att: DataFrame) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame,
-    value: str,
-    keys: list[str],
-    order: list[str],
-    name: str,
-    max_rows: int = ROWS_PER_TASK,
+    df: DataFrame, value: str, keys: list[str], order: list[str], name: str, blocks: int = BLOCKS
 ) -> DataFrame:
     """Running sum of ``value`` per key. ``order`` has to end in a unique column.
 
     Ordinary keys use a plain window. A key too large for one task is summed in
     ordered blocks, each starting from the total of the blocks before it.
     """
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    hot = hot_keys(df, keys, max_rows)
-    if hot is None:
-        return df.withColumn(name, F.sum(value).over(w))
-    cold_rows, hot_rows = split_hot(df, keys, hot)
-    blocks = ordered_blocks(hot_rows, [F.col(c) for c in [*keys, *order]])
-    carried = carried_in(blocks, keys, {"_sum_before": F.sum(value)})
-    local = (
-        Window.partitionBy(*keys, "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    inside, before = F.sum(value).over(local), F.col("_sum_before")
-    # null only while no value at all has been seen
-    total = F.coalesce(before + inside, before, inside)
-    split = join_carried(blocks, keys, carried).withColumn(name, total)
-    return cold_rows.withColumn(name, F.sum(value).over(w)).unionByName(split.select(*df.columns, name))
+    return running_sum(df, value, keys, [F.col(c) for c in order], name, blocks)
 
 
 def _chunked_average(
@@ -79,17 +62,18 @@ def moving_average(
     order: list[str],
     name: str,
     rows: int = 7,
-    max_rows: int = ROWS_PER_TASK,
+    blocks: int = BLOCKS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Mean of ``value`` over the last ``rows`` rows (not days) of a key."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    hot = hot_keys(df, keys, max_rows)
-    if hot is None:
+    points = split_points(df, keys, [F.col(c) for c in order], blocks)
+    if points is None:
         return df.withColumn(name, F.avg(value).over(w))
-    cold_rows, hot_rows = split_hot(df, keys, hot)
-    numbered = with_position_within(hot_rows, keys, [F.col(c) for c in order], "_pos")
-    split = _chunked_average(numbered, value, rows, name, keys, max_rows)
-    return cold_rows.withColumn(name, F.avg(value).over(w)).unionByName(split.select(*df.columns, name))
+    large, other = large_and_other(df, keys, points)
+    numbered = with_position_within(large, keys, [F.col(c) for c in order], "_pos", blocks, points)
+    split = _chunked_average(numbered, value, rows, name, keys, chunk_rows)
+    return other.withColumn(name, F.avg(value).over(w)).unionByName(split.select(*df.columns, name))
 
 
 def moving_average_days(
@@ -110,7 +94,8 @@ def rolling_mean(
     rows: int = 7,
     order: list[str] | None = None,
     partition_by: list[str] | None = None,
-    max_rows: int = ROWS_PER_TASK,
+    blocks: int = BLOCKS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Rolling mean over the whole table in date order, as ``<value>_rolling_<rows>d``.
 
@@ -120,24 +105,25 @@ def rolling_mean(
     order = order or ["date", "attendance_id"]
     name = f"{value}_rolling_{rows}d"
     if partition_by:
-        return moving_average(df, value, partition_by, order, name, rows, max_rows)
-    numbered = with_position(df, [F.col(c).asc_nulls_last() for c in order], "_pos")
-    return _chunked_average(numbered, value, rows, name, [], max_rows)
+        return moving_average(df, value, partition_by, order, name, rows, blocks, chunk_rows)
+    nulls_last = [x for c in order for x in (F.col(c).isNull(), F.col(c))]
+    numbered = with_position(df, [x.alias(f"_{i}") for i, x in enumerate(nulls_last)], "_pos", blocks)
+    return _chunked_average(numbered, value, rows, name, [], chunk_rows)
 
 
-def running_hours(att: DataFrame, max_rows: int = ROWS_PER_TASK) -> DataFrame:
+def running_hours(att: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """Running total of hours per employee over worked days."""
     rows = worked_rows(att).select("attendance_id", "employee_id", "date", "hours_worked")
     return running_total(
-        rows, "hours_worked", ["employee_id"], ["date", "attendance_id"], "cumulative_hours", max_rows
+        rows, "hours_worked", ["employee_id"], ["date", "attendance_id"], "cumulative_hours", blocks
     )
 
 
-def weekly_average_hours(att: DataFrame, max_rows: int = ROWS_PER_TASK) -> DataFrame:
+def weekly_average_hours(att: DataFrame, blocks: int = BLOCKS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Seven-row moving average of hours per employee over worked days."""
     rows = worked_rows(att).select("attendance_id", "employee_id", "date", "hours_worked")
     return moving_average(
-        rows, "hours_worked", ["employee_id"], ["date", "attendance_id"], "rolling_7day_avg", 7, max_rows
+        rows, "hours_worked", ["employee_id"], ["date", "attendance_id"], "rolling_7day_avg", 7, blocks, chunk_rows
     )
 
 
@@ -175,7 +161,7 @@ def rank_by_count(df: DataFrame, group: str, measure: str, name: str) -> DataFra
 
 
 def ntile(df: DataFrame, tiles: int, order: list[Column], name: str) -> DataFrame:
-    """NTILE over the whole table, from exact positions and the row count."""
+    """NTILE over the whole table in ascending order, from exact positions and the row count."""
     placed = with_position(df, order, "_pos")
     total = placed.agg(F.count(F.lit(1))).scalar()
     size = F.floor(total / tiles).cast("bigint")
@@ -192,7 +178,7 @@ def rank_in_department(emp: DataFrame, att: DataFrame) -> DataFrame:
 
 
 def performance_quartile(emp: DataFrame, att: DataFrame) -> DataFrame:
-    order = [F.col("present_days").desc(), F.col("employee_id").asc()]
+    order = [F.negative("present_days").alias("less"), F.col("employee_id")]
     return ntile(present_days(emp, att), 4, order, "performance_quartile")
 
 

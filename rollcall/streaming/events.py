@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.scalar import flag, is_true, parse_timestamp, partition_number
-from rollcall.operators.ordering import with_position_within
+from rollcall.operators.splits import with_position_within
 from rollcall.schemas import EVENT
 
 LATE_HOUR = 10  # Fixed value: a check-in from this hour on is late.

@@ -324,8 +324,3 @@ class TestWarehouse:
         assert len(fact) == 10
         assert (fact[1].date_key, fact[1].emp_key, fact[1].dept_key, fact[1].shift_key, fact[1].is_absent) == (20240102, 2, 1, 1, 1)
         assert fact[9].emp_key is None
-
-    def test_large_dimension_gets_the_same_keys(self, employees):
-        assert rows_of(M.dim_employee(employees, small=0).select("emp_key", "employee_id")) == rows_of(
-            M.dim_employee(employees).select("emp_key", "employee_id")
-        )

@@ -12,8 +12,9 @@ from rollcall.functions.scalar import partition_number
 from rollcall.operators import relational as R
 from rollcall.operators import statistics as N
 from rollcall.operators import windows as W
-from rollcall.operators.ordering import with_position, with_position_within
-from rollcall.operators.skew import hot_keys, lookup_join
+from rollcall.operators.aggregates import overtime_by_department_exact
+from rollcall.operators.quantiles import column_quantiles
+from rollcall.operators.splits import running_sum, split_points, with_position, with_position_within
 from rollcall.streaming import events as E
 from rollcall.streaming import windows as T
 
@@ -32,37 +33,64 @@ def skewed(spark):
     return df.repartition(5).cache()
 
 
-def test_hot_keys(skewed):
-    assert hot_keys(skewed, ["employee_id"], 1000) is None
-    assert (1,) in rows_of(hot_keys(skewed, ["employee_id"], 100))
+def test_split_points(skewed):
+    order = [F.col("date"), F.col("attendance_id")]
+    assert split_points(skewed, ["employee_id"], order) is None  # smaller than the sample
+    points = {r.employee_id: r["_points"] for r in split_points(skewed, ["employee_id"], order, 10).collect()}
+    assert 1 in points and 3 <= len(points[1]) <= 9 and points[1] == sorted(points[1])
+    assert sum(map(len, points.values())) < 10
 
 
-@pytest.mark.parametrize("limit", [20, 100])
-def test_running_total(skewed, limit):
-    assert rows_of(W.running_hours(skewed, limit)) == rows_of(W.running_hours(skewed, 10_000))
+@pytest.mark.parametrize("blocks", [3, 18])
+def test_running_total(skewed, blocks):
+    assert rows_of(W.running_hours(skewed, blocks)) == rows_of(W.running_hours(skewed, 10_000))
 
 
-@pytest.mark.parametrize("limit", [3, 20, 100])
-def test_weekly_average(skewed, limit):
-    assert rows_of(W.weekly_average_hours(skewed, limit)) == rows_of(W.weekly_average_hours(skewed, 10_000))
+@pytest.mark.parametrize("blocks,chunk", [(3, 3), (10, 20), (18, 100)])
+def test_weekly_average(skewed, blocks, chunk):
+    assert rows_of(W.weekly_average_hours(skewed, blocks, chunk)) == rows_of(W.weekly_average_hours(skewed, 10_000))
 
 
-@pytest.mark.parametrize("chunk", [3, 50, 10_000])
-def test_rolling_mean(skewed, chunk):
+@pytest.mark.parametrize("blocks,chunk", [(400, 3), (18, 50), (5, 10_000)])
+def test_rolling_mean(skewed, blocks, chunk):
     w = Window.orderBy("date", "attendance_id").rowsBetween(-6, 0)
     want = skewed.withColumn("hours_worked_rolling_7d", F.avg("hours_worked").over(w))
-    assert rows_of(W.rolling_mean(skewed, "hours_worked", max_rows=chunk)) == rows_of(want)
+    assert rows_of(W.rolling_mean(skewed, "hours_worked", blocks=blocks, chunk_rows=chunk)) == rows_of(want)
 
 
-def test_positions(skewed):
+@pytest.mark.parametrize("blocks", [400, 18, 4])
+def test_positions(skewed, blocks):
     order = [F.col("date"), F.col("attendance_id")]
     want = skewed.withColumn("position", F.row_number().over(Window.orderBy(*order)))
-    assert rows_of(with_position(skewed, order).select(want.columns)) == rows_of(want)
+    assert rows_of(with_position(skewed, order, blocks=blocks).select(want.columns)) == rows_of(want)
     want = skewed.withColumn("position", F.row_number().over(Window.partitionBy("employee_id").orderBy(*order)))
-    got = with_position_within(skewed, ["employee_id"], order)
+    got = with_position_within(skewed, ["employee_id"], order, blocks=blocks)
     assert rows_of(got.select(want.columns)) == rows_of(want)
 
 
+def test_five_thousand_large_keys(spark, monkeypatch):
+    """A small bound makes every key large; none is left out."""
+    df = spark.range(60_000).select((F.col("id") % 5_000).alias("k"), "id", (F.col("id") % 7).alias("v"))
+    order = [F.col("id")]
+    points = split_points(df, ["k"], order, 12_000, 5)
+    assert points.count() > 4_000
+    from rollcall.operators import splits
+
+    monkeypatch.setattr(splits, "split_points", lambda *a: points)
+    want = df.withColumn("t", F.sum("v").over(Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)))
+    got = running_sum(df, "v", ["k"], order, "t")
+    assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == 60_000
+
+
+def test_positions_write_nothing(skewed):
+    from rollcall import session
+
+    before = len(session._WRITTEN)
+    with_position(skewed, [F.col("attendance_id")], blocks=10).count()
+    column_quantiles(skewed, ["hours_worked"], [0.5]).count()
+    assert len(session._WRITTEN) == before
+
+
 @pytest.mark.parametrize("rows", [1, 2, 3, 4, 7, 10])
 @pytest.mark.parametrize("tiles", [4, 5])
 def test_ntile(spark, rows, tiles):
@@ -88,6 +116,57 @@ def test_quantiles_of_many_values(spark):
     assert list(got) == pytest.approx(list(np.percentile(values, [100 * p for p in probs])), abs=1e-12)
 
 
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+def test_quantiles_of_groups(spark, accuracy):
+    """One group holds most rows; one has a single value, one only nulls; null is a group; NaN is the largest."""
+    rng = np.random.default_rng(4)
+    groups = {"hot": rng.normal(size=4000).round(2).tolist(), "few": [3.0, 1.0], "one": [7.0] * 900, "none": [None] * 5,
+              None: rng.integers(0, 5, 700).astype(float).tolist(), "nan": [1.0, 2.0, float("nan")]}
+    df = spark.createDataFrame([(k, v, v and -v) for k, vs in groups.items() for v in vs], "k string, v double, w double").repartition(6)
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    names = ["p0", "p10", "p50", "p90", "p100"]
+    got = {(r.k, r.column): r for r in column_quantiles(df, ["v", "w"], probs, ["k"], {"most": F.max("_v")}, accuracy).collect()}
+    assert len(got) == 12 and got["none", "v"].n == 0 and got["none", "w"].p50 is None
+    for k, vs in groups.items():
+        if k not in ("none", "nan"):
+            assert [got[k, "v"][n] for n in names] == pytest.approx(list(np.percentile(vs, [100 * p for p in probs])), abs=1e-12)
+            assert [got[k, "w"][n] for n in names] == pytest.approx(list(np.percentile([-v for v in vs], [100 * p for p in probs])), abs=1e-12)
+            assert (got[k, "v"].n, got[k, "v"].most) == (len(vs), max(vs))
+    assert got["nan", "v"].p0 == 1.0 and got["nan", "v"].p50 == 2.0 and np.isnan(got["nan", "v"].p100)
+
+
+def test_quantiles_of_many_groups(spark, monkeypatch):
+    from rollcall.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MOST_GROUPS", 3)  # brackets are joined by a shuffle
+    df = spark.range(500).select((F.col("id") % 9).alias("k"), F.col("id").cast("double").alias("v"))
+    got = {r.k: r.p50 for r in column_quantiles(df, ["v"], [0.5], ["k"]).collect()}
+    assert got == {k: float(np.median(np.arange(k, 500, 9))) for k in range(9)}
+
+
+def test_only_bracket_values_are_moved(spark):
+    """Of 200,000 different values the shuffle of the second scan gets a few hundred."""
+    df = spark.range(200_000, numPartitions=4).select(F.col("id").cast("double").alias("x"))
+    out = column_quantiles(df, ["x"], [0.5])
+    assert out.first().p50 == 99_999.5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
+    from rollcall.operators.quantiles import _brackets, _long_form
+
+    r = _brackets(_long_form(df, ["x"], []), ["_column"], [0.5], {}, 10_000).first()
+    assert 0 < r["_hi"][0] - r["_lo"][0] < 500
+
+
+def test_one_department_holds_all_rows(spark):
+    emp = spark.createDataFrame([(i, "Works") for i in range(20)] + [(99, "Idle")], "employee_id bigint, department string")
+    att = spark.range(30_000).select((F.col("id") % 20).alias("employee_id"), (F.col("id") % 1009 / 8.0).alias("overtime_hours"))
+    row = overtime_by_department_exact(emp, att).collect()
+    values = np.array([i % 1009 / 8.0 for i in range(30_000)])
+    values = values[values > 0]
+    assert len(row) == 1 and row[0].median_overtime == np.median(values) and row[0].max_overtime == values.max()
+    assert row[0].avg_overtime == pytest.approx(values.mean())
+
+
 def test_offsets(spark):
     rng = random.Random(4)
     start = datetime(2024, 1, 1)
@@ -123,17 +202,6 @@ def test_moving_average_over_days(spark):
     assert [r.avg7 for r in got] == [1.0, 1.5, 5.0, 20.0]
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup_join_paths_agree(spark, skewed, how):
-    names = spark.createDataFrame([(i, f"n{i}") for i in (1, 2, 3, 4, 50)], "employee_id bigint, name string")
-    want = rows_of(skewed.join(names, "employee_id", how))
-    for small, hot in ((10, 10), (4, 100), (2, 10_000)):
-        assert rows_of(lookup_join(skewed, names, ["employee_id"], how, small, hot)) == want
-    # a table that turns out to repeat a hot key
-    names = names.unionByName(names).unionByName(names)
-    assert rows_of(lookup_join(skewed, names, ["employee_id"], how, 2, 100)) == rows_of(skewed.join(names, "employee_id", how))
-
-
 def test_absent_while_manager_present_counts_pairs(spark):
     emp = spark.createDataFrame([(1, None), (2, 1), (3, 1)], "employee_id int, manager_id int")
     day = date(2024, 1, 1)

@@ -107,6 +107,23 @@ class TestUpsert:
         got = upsert(target, source, ["k"], [F.desc("n")])
         assert rows_of(got) == [(1, "last"), (2, "q")]
 
+    def test_several_source_rows_for_one_target_row_are_refused(self, spark):
+        target = spark.createDataFrame([(1, "old"), (3, "kept"), (None, "n")], "k int, v string")
+        source = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+        with pytest.raises(Exception, match="several source rows"):
+            upsert(target, source, ["k"]).collect()
+        with pytest.raises(Exception, match="several source rows"):
+            upsert(target, source, ["k"]).select("v").collect()
+        # of a key the target does not have, and of null keys, all are added
+        more = spark.createDataFrame([(2, "a"), (2, "b"), (None, "x"), (None, "y")], "k int, v string")
+        assert rows_of(upsert(target, more, ["k"])) == rows_of(target.unionByName(more))
+
+    def test_target_is_read_once(self, spark, tmp_path):
+        spark.range(10).selectExpr("id k", "id v").write.parquet(str(tmp_path / "t"))
+        target = spark.read.parquet(str(tmp_path / "t"))
+        plan = upsert(target, target.limit(3), ["k"])._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation") == 2  # the target, and the target as this source
+
     def test_append_shifted(self, attendance):
         out = append_shifted(attendance, ["attendance_id"], 3, 365)
         assert out.count() == 13 and out.filter("date >= '2024-12-31'").count() == 3
