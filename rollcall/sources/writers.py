@@ -92,14 +92,24 @@ def write_daily_monthly(df: DataFrame, root: str, column: str = "date") -> None:
     write_by_day(df, f"{root}/monthly", column, depth=2)
 
 
-def archive_closed(df: DataFrame, path: str, as_of: date, column: str = "date") -> DataFrame:
-    """Add rows of closed months under ``year=/month=`` and return the open rest.
+def archive_closed(df: DataFrame, path: str, as_of: date, delivery: str, column: str = "date") -> DataFrame:
+    """Put the rows of closed months under ``year=/month=/delivery=`` and return the open rest.
 
-    A late row joins those archived for its month before. Hand each row over once:
-    go on with the rest that is returned.
+    A late row joins those archived for its month before, under the name of its own
+    delivery. The same delivery again replaces what it wrote, so a job may be
+    repeated after a failure.
     """
     first = F.lit(as_of.replace(day=1))
-    write_by_day(df.filter(F.col(column) < first), path, column, mode="append", depth=2)
+    months = _date_parts(column, 2)
+    (
+        df.filter(F.col(column) < first)
+        .withColumns({**months, "delivery": F.lit(delivery)})
+        .hint("rebalance", *months)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*months, "delivery")
+        .parquet(path)
+    )
     return df.filter((F.col(column) >= first) | F.col(column).isNull())
 
 

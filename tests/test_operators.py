@@ -61,24 +61,24 @@ class TestNormalize:
 class TestSummaries:
     def test_daily(self, attendance):
         first = A.daily_summary(attendance).orderBy("date").first()
-        assert (first.total_employees, first.present_count, first.absent_count, first.avg_hours) == (1, 1, 0, 8.0)
+        assert (first.total_employees, first.present_count, first.absent_count, first.avg_hours) == (1, 0, 0, 7.25)
 
     def test_department(self, attendance):
         row = A.department_summary(attendance).collect()
         assert len(row) == 1
         assert row[0].asDict() == {
-            "department": "Research", "headcount": 10, "avg_attendance_pct": 40.0,
-            "total_hours": 53.0, "avg_overtime": pytest.approx(0.15),
+            "department": "Research", "headcount": 12, "avg_attendance_pct": 50.0,
+            "total_hours": 71.5, "avg_overtime": pytest.approx(0.25),
         }
 
     def test_rolling(self, attendance):
         out = W.rolling_mean(attendance, "hours_worked", 3).orderBy("date").collect()
         got = [r["hours_worked_rolling_3d"] for r in out]
-        assert got[:4] == [8.0, 4.0, 5.0, 3.5]  # the empty fourth value is left out of the mean
+        assert got[:4] == pytest.approx([7.25, 8.0, 24.25 / 3, 8.5])  # the empty fourth value is left out of the mean
 
     def test_status_counts(self, attendance):
         counts = {r["status"]: r["total_records"] for r in A.status_distribution(attendance).collect()}
-        assert counts[None] == 1 and counts["Present"] == 4
+        assert counts[None] == 1 and counts["Present"] == 6
         assert None not in {r["status"] for r in A.value_counts(attendance, "status").collect()}
 
     def test_null_groups(self, spark):
@@ -93,12 +93,12 @@ class TestSummaries:
 
     def test_hours_per_row_counts_empty_hours(self, attendance):
         row = A.hours_per_row_by_department(attendance).first()
-        assert (row.avg_hours, row.total_rows) == (5.3, 10)
+        assert (row.avg_hours, row.total_rows) == (pytest.approx(71.5 / 12, abs=0.01), 12)
 
     def test_weekdays_keep_order_and_empty_days(self, attendance):
         out = A.weekday_rates(attendance).collect()
         assert [r.day_of_week for r in out] == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]
-        assert [r.attendance_pct for r in out] == [40.0, None, None, None, None]
+        assert [r.attendance_pct for r in out] == [50.0, None, None, None, None]
 
     def test_empty_request_log(self, spark):
         log = spark.createDataFrame([], "status_code int, latency_ms double")
@@ -106,7 +106,7 @@ class TestSummaries:
 
     def test_kpis_use_unfiltered_headcount(self, attendance):
         row = A.kpis(attendance, attendance.filter("status = 'Present'")).first()
-        assert (row.total_employees, row.attendance_rate, row.vs_target, row.total_overtime) == (10, 100.0, 15.0, 1)
+        assert (row.total_employees, row.attendance_rate, row.vs_target, row.total_overtime) == (12, 100.0, 15.0, 3)
 
 
 class TestValidator:
@@ -130,7 +130,7 @@ class TestValidator:
 
     def test_reference(self, spark, attendance, employees):
         v = Q.Validator().check_reference(attendance, "employee_id", employees, "employee_id")
-        assert v.report().first().detail == "5 orphan records"
+        assert v.report().first().detail == "6 orphan records"
 
     def test_report_and_summary(self, attendance):
         v = Q.Validator().check_nulls(attendance, ["employee_id", "date"])
@@ -145,10 +145,10 @@ class TestQuality:
         results = Q.run_all(attendance, employees, date(2024, 1, 5)).collect()
         assert len(results) == 16  # one month only, so no comparison of months
         by_name = {(r.table, r.check_name): r for r in results}
-        assert by_name["attendance", "no_nulls:status"].actual == "10.0%"
+        assert by_name["attendance", "no_nulls:status"].actual == "8.33%"
         assert by_name["attendance", "valid_status"].row_count == 1
-        assert by_name["attendance", "no_future_dates"].row_count == 5
-        assert by_name["attendance", "fk_attendance→employees"].actual == "5 orphan records"
+        assert by_name["attendance", "no_future_dates"].row_count == 7
+        assert by_name["attendance", "fk_attendance→employees"].actual == "6 orphan records"
         assert by_name["employees", "valid_email"].passed
 
     def test_missing_column(self, attendance):
@@ -202,8 +202,8 @@ class TestCleaning:
     def test_employees(self, employees):
         twice = employees.unionByName(employees.limit(2)).withColumn("email", F.concat(F.lit(" "), F.upper("email")))
         out = C.clean_employees(twice)
-        assert out.count() == 5
-        assert {r.email for r in out.collect()} == {f"{n}@firm.example" for n in ("maren", "ivo", "tessa", "okko", "runa")}
+        assert out.count() == 6
+        assert {r.email for r in out.collect()} == {f"{n}@firm.example" for n in ("tessa", "okko", "maren", "runa", "ivo", "sanne")}
 
     def test_etl_keeps_missing_overtime_and_elt_fills_it(self, spark):
         df = spark.createDataFrame(
@@ -220,16 +220,16 @@ class TestCleaning:
         dept = spark.createDataFrame([("Research", "Zed")], "department_name string, head string")
         frames = {"attendance": attendance.limit(1), "attendance_dirty": attendance, "employees": employees, "departments": dept}
         out = C.merge_datasets(frames)
-        assert out.count() == 10
+        assert out.count() == 12
         first = out.filter("attendance_id = 1").first()
-        assert (first.name, first.head, first.month, first.week, first.is_weekend) == ("Maren", "Zed", 1, 1, False)
+        assert (first.name, first.head, first.month, first.week, first.is_weekend) == ("Tessa", "Zed", 1, 1, False)
         with pytest.raises(ValueError):
             C.merge_datasets({"attendance": attendance})
 
     def test_clean_normalize_summarize(self, attendance):
         scaled = N.normalize_columns(C.clean_attendance(attendance), ["hours_worked"])
         assert "hours_worked_norm" in scaled.columns
-        assert A.department_summary(scaled).first().total_hours == 53.0
+        assert A.department_summary(scaled).first().total_hours == 71.5
 
 
 class TestScalars:
@@ -275,7 +275,7 @@ class TestScalars:
         assert R.in_month_of(df, date(2023, 12, 5)).count() == 1
 
     def test_filters(self, attendance):
-        assert R.filter_by(attendance, department="All", status=None).count() == 10
+        assert R.filter_by(attendance, department="All", status=None).count() == 12
         assert R.filter_by(attendance, status="Late").count() == 1
 
     def test_nan(self, spark):
@@ -300,7 +300,7 @@ class TestStatistics:
 
     def test_describe_all(self, attendance):
         out = {r["column"]: r for r in N.describe_all(attendance, ["status", "hours_worked", "notes"]).collect()}
-        assert (out["status"]["count"], out["status"]["distinct"], out["status"].top, out["status"].freq) == (9, 6, "Present", 4)
+        assert (out["status"]["count"], out["status"]["distinct"], out["status"].top, out["status"].freq) == (11, 6, "Present", 6)
         assert (out["notes"]["count"], out["notes"].top) == (0, None)
 
     def test_correlation_uses_pairs_without_nulls(self, spark):
@@ -318,9 +318,9 @@ class TestWarehouse:
     def test_star_schema(self, spark, attendance, employees):
         dept = spark.createDataFrame([("Research", "Zed", 2e6)], "department_name string, head string, budget double")
         star = M.star_schema(attendance, employees, dept)
-        assert star["dim_date"].count() == 10 and star["dim_shift"].count() == 3
-        assert [r.emp_key for r in star["dim_employee"].orderBy("employee_id").collect()] == [1, 2, 3, 4, 5]
+        assert star["dim_date"].count() == 12 and star["dim_shift"].count() == 3
+        assert [r.emp_key for r in star["dim_employee"].orderBy("employee_id").collect()] == [1, 2, 3, 4, 5, 6]
         fact = star["fact_attendance"].orderBy("fact_id").collect()
-        assert len(fact) == 10
-        assert (fact[1].date_key, fact[1].emp_key, fact[1].dept_key, fact[1].shift_key, fact[1].is_absent) == (20240102, 2, 1, 1, 1)
-        assert fact[9].emp_key is None
+        assert len(fact) == 12
+        assert (fact[1].date_key, fact[1].emp_key, fact[1].dept_key, fact[1].shift_key, fact[1].is_absent) == (20240102, 2, 1, 1, 0)
+        assert fact[10].is_absent == 1 and fact[10].emp_key is None

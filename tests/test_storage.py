@@ -44,9 +44,9 @@ class TestFiles:
     def test_directory(self, spark, folder):
         tables = readers.read_directory(spark, folder)
         assert sorted(tables) == ["attendance", "departments", "employees"]
-        assert spark.table("attendance").count() == 10
+        assert spark.table("attendance").count() == 12
         report = {r.table: (r.rows, r.columns, r.missing) for r in readers.directory_report(tables).collect()}
-        assert report["attendance"] == (10, 13, 32)
+        assert report["attendance"] == (12, 13, 38)
         assert readers.read_directory(spark, folder + "/none") == {}
 
     def test_csv_lines_that_do_not_fit(self, spark, tmp_path):
@@ -64,26 +64,29 @@ class TestFiles:
 
     def test_load_table_falls_back(self, spark, folder, employees, name):
         assert readers.load_table(spark, "leaves").count() == 0
-        assert readers.load_table(spark, "employees_not_stored", f"{folder}/employees.csv").count() == 5
+        assert readers.load_table(spark, "employees_not_stored", f"{folder}/employees.csv").count() == 6
         writers.write_table(employees, name)
-        assert readers.load_table(spark, name).count() == 5
+        assert readers.load_table(spark, name).count() == 6
 
     def test_run_date_is_replaced_and_retired(self, spark, attendance, tmp_path):
         path = str(tmp_path / "daily")
         for day in (1, 2, 10, 10):
             writers.write_run_date(attendance.drop("notes"), path, date(2024, 1, day))
-        assert spark.read.parquet(path).count() == 30
+        assert spark.read.parquet(path).count() == 36
         assert writers.expire_partitions(spark, path, date(2024, 1, 10), 7) == ["2024-01-01", "2024-01-02"]
-        assert spark.read.parquet(path).count() == 10
-        assert writers.retained(attendance, date(2024, 1, 10), 7).count() == 8
+        assert spark.read.parquet(path).count() == 12
+        assert writers.retained(attendance, date(2024, 1, 10), 7).count() == 10
 
     def test_layout_by_day_and_archive(self, spark, attendance, tmp_path):
         writers.write_daily_monthly(attendance.drop("notes"), str(tmp_path / "lake"))
         assert list_names(spark, str(tmp_path / "lake/daily/year=2024/month=01"))[0] == "day=01"
-        assert spark.read.parquet(str(tmp_path / "lake/monthly")).count() == 10
+        assert spark.read.parquet(str(tmp_path / "lake/monthly")).count() == 12
         moved = attendance.drop("notes").withColumn("date", F.when(F.col("attendance_id") < 4, F.lit(date(2023, 12, 9))).otherwise(F.col("date")))
-        rest = writers.archive_closed(moved, str(tmp_path / "old"), date(2024, 1, 31))
-        assert (rest.count(), spark.read.parquet(str(tmp_path / "old")).count()) == (7, 3)
+        for _ in range(2):  # a repeated delivery replaces what it wrote
+            rest = writers.archive_closed(moved, str(tmp_path / "old"), date(2024, 1, 31), "2024-01-31")
+        assert (rest.count(), spark.read.parquet(str(tmp_path / "old")).count()) == (9, 3)
+        writers.archive_closed(moved.limit(0).union(moved.filter("attendance_id = 1")), str(tmp_path / "old"), date(2024, 1, 31), "late")
+        assert spark.read.parquet(str(tmp_path / "old")).count() == 4
 
     def test_create_table_as_replaces(self, spark, attendance, name):
         for limit in (3, 5):
@@ -126,7 +129,7 @@ class TestUpsert:
 
     def test_append_shifted(self, attendance):
         out = append_shifted(attendance, ["attendance_id"], 3, 365)
-        assert out.count() == 13 and out.filter("date >= '2024-12-31'").count() == 3
+        assert out.count() == 15 and out.filter("date >= '2024-12-31'").count() == 3
 
 
 class TestVersions:
@@ -164,12 +167,12 @@ class TestJobs:
     def test_full_batch(self, spark, folder, tmp_path):
         results = batch.full_batch(spark, folder, str(tmp_path / "wh"))
         assert [(r.table, r.status, r.rows) for r in results] == [
-            ("departments", "loaded", 1), ("employees", "loaded", 5), ("attendance", "loaded", 10), ("leaves", "missing", 0)
+            ("departments", "loaded", 1), ("employees", "loaded", 6), ("attendance", "loaded", 12), ("leaves", "missing", 0)
         ]
-        assert spark.table("dept_attendance_summary").first().present == 4
-        assert spark.table("monthly_trend").first().active_employees == 10
+        assert spark.table("dept_attendance_summary").first().present == 6
+        assert spark.table("monthly_trend").first().active_employees == 12
         report = batch.ingest_report(spark, results).first()
-        assert (report.files_processed, report.rows_ingested, report.files_failed) == (3, 16, 0)
+        assert (report.files_processed, report.rows_ingested, report.files_failed) == (3, 19, 0)
 
     def test_rejected_and_emptied(self, spark, name):
         assert batch.ingest_table(spark.range(1), "attendance").status == "rejected"
@@ -180,12 +183,12 @@ class TestJobs:
 
     def test_merge_and_summarize(self, spark, folder, tmp_path):
         out = batch.merge_and_summarize(spark, folder, str(tmp_path / "out"))
-        assert out["enriched"].count() == 10 and out["summary"].count() == 10
-        assert out["enriched"].filter("employee_id = 'EMP0002'").first().name == "Ivo"
+        assert out["enriched"].count() == 12 and out["summary"].count() == 12
+        assert out["enriched"].filter("employee_id = 'EMP0002'").first().name == "Okko"
 
     def test_analysis_and_suite(self, spark, attendance, tmp_path):
         out = batch.analysis(attendance, str(tmp_path / "a"))
-        assert out["statistics"].first().n == 9
+        assert out["statistics"].first().n == 11
         assert dict(spark.read.parquet(str(tmp_path / "a/attendance_optimized")).dtypes)["attendance_id"] == "tinyint"
         suite = batch.attendance_suite(attendance, str(tmp_path / "s"))
         assert suite["top_rows"].count() == 3 and suite["wfh_by_month"].first()["count"] == 1
@@ -193,20 +196,20 @@ class TestJobs:
     def test_star_schema(self, spark, attendance, employees, tmp_path):
         dept = spark.createDataFrame([("Research", "Zed", 2e6)], "department_name string, head string, budget double")
         stored = batch.load_star_schema(attendance, employees, dept, str(tmp_path / "star"))
-        assert stored["fact_attendance"].filter("emp_key IS NOT NULL").count() == 5
+        assert stored["fact_attendance"].filter("emp_key IS NOT NULL").count() == 6
 
     def test_daily_run(self, spark, attendance, employees, tmp_path):
         root = str(tmp_path / "dw")
         raw = attendance.drop("notes")
         for _ in range(2):
             assert daily_run(raw, employees, date(2024, 1, 1), root).status == "loaded"
-        assert spark.read.parquet(f"{root}/dw_attendance_daily").count() == 10
+        assert spark.read.parquet(f"{root}/dw_attendance_daily").count() == 12
         later = daily_run(raw, employees, date(2024, 1, 20), root)
         assert later.removed == ["2024-01-01"]
         assert list_names(spark, f"{root}/staging/attendance_daily") == ["ds=2024-01-20"]
         kept = spark.read.parquet(f"{root}/dw_attendance_daily")  # the warehouse keeps the run of the 1st
-        assert kept.count() == 20 and kept.select("ds").distinct().count() == 2
-        assert spark.read.json(f"{root}/reports/kpi_20240120").first().total_records == 20
+        assert kept.count() == 24 and kept.select("ds").distinct().count() == 2
+        assert spark.read.json(f"{root}/reports/kpi_20240120").first().total_records == 24
         assert spark.read.json(f"{root}/reports/dq_20240120").first().summary.total == 16
 
     def test_daily_gate(self, spark, attendance, employees, tmp_path):
