@@ -210,6 +210,10 @@ def s19(spark: SparkSession, d: str) -> DataFrame:
     # another stream with a checkpoint of its own, also from batch 0: its rows win, the others stay
     again = stream.filter("department = 'Research'")
     sinks.finish(sinks.upsert_events(again, log, f"{path}/second", interval=None))
+    # the first stream's batch is replayed after a failure: it keeps its place before the second stream's
+    first = V.ev(spark, d).select(*_PLAIN).withColumns(
+        {"department": F.upper("department"), "processed_at": F.current_timestamp()})
+    log.write(first, 0, sinks.stream_id(f"{path}/first"))
     return log.read().withColumn("stamped", F.col("processed_at").isNotNull()).drop("processed_at")
 
 

@@ -65,15 +65,26 @@ class BatchLog:
     Writing costs the size of the batch, not of the table, and writing a batch of
     a stream again replaces its folder. Batches of other streams, or of a stream
     begun anew with another checkpoint, have folders of their own and come later
-    by the time of their writing.
+    by the time of their first writing, which is noted once and before any row. So
+    a batch replayed after a failure does not pass what others wrote meanwhile.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], newest: list[str] | None = None):
         """``newest`` names columns whose larger value wins inside one batch."""
         self.spark, self.root, self.keys, self.newest = spark, root.rstrip("/"), keys, newest or []
 
+    def _arrival(self, batch_id: int, stream: str) -> str:
+        """When this batch was first to be written."""
+        note, kind = f"{self.root}/_arrivals/{stream}-{batch_id}", "at string"
+        known = self.spark.read.schema(kind).parquet(note).collect() if path_exists(self.spark, note) else []
+        if known:
+            return known[0]["at"]
+        now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+        self.spark.createDataFrame([(now,)], kind).coalesce(1).write.mode("overwrite").parquet(note)
+        return now
+
     def write(self, batch: DataFrame, batch_id: int, stream: str = "s0") -> None:
-        arrived = F.lit(datetime.now(timezone.utc).isoformat(timespec="microseconds"))
+        arrived = F.lit(self._arrival(batch_id, stream))
         batch.withColumn("_arrived", arrived).write.mode("overwrite").parquet(f"{self.root}/stream={stream}/batch={batch_id}")
 
     def read(self) -> DataFrame:

@@ -135,6 +135,16 @@ def test_a_repeated_batch_replaces_the_first_attempt(spark):
     assert rows_of(log.read()) == [(1, "all"), (2, "all")]
 
 
+def test_a_replayed_batch_keeps_its_place(spark):
+    log = sinks.BatchLog(spark, shared_path(spark, "test"), ["k"])
+    log.write(spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string"), 5, "sa")
+    log.write(spark.createDataFrame([(1, "b")], "k int, v string"), 0, "sb")
+    log.write(spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "k int, v string"), 5, "sa")
+    assert rows_of(log.read()) == [(1, "b"), (2, "a"), (3, "a")]
+    log.write(spark.createDataFrame([(1, "c")], "k int, v string"), 6, "sa")
+    assert (1, "c") in rows_of(log.read())
+
+
 def test_sessions_stream(spark, folder):
     path = folder(
         [event(1, "2024-01-01T09:00:00"), event(2, "2024-01-01T09:20:00")],
