@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 BLOCKS = 400  # blocks the table would be cut into if one key held all of it
-SAMPLED = 32  # sampled rows a block: at most BLOCKS * SAMPLED reach the driver
+SAMPLED = 32  # sampled rows a block: at most about twice BLOCKS * SAMPLED reach the driver
+PROBE = 1 / 32  # share of the first sample
 _SEED = 17
 
 
@@ -33,16 +34,24 @@ def split_points(
 
     A key is large if it holds more than about a block and a half of the sample,
     so fewer than ``blocks`` keys are, and all points together are fewer than
-    ``blocks``, whatever the size of the table. A table smaller than the sample
-    has none. A key of three blocks is missed with a probability below e^-12, and
-    then only costs a larger task. The rows are counted first, which stored
-    tables do without reading a column.
+    ``blocks``, whatever the size of the table. Which keys are split changes no
+    result: a large key that is missed only costs a larger task.
+
+    A first sample of a fixed share is enough for tables of middle size; a smaller
+    table has no large keys. Of a larger one the rows are counted and a second
+    sample of the right size is drawn.
     """
-    spark, size, n = df.sparkSession, blocks * sampled, df.count()
-    if n < size:
+    spark, size = df.sparkSession, blocks * sampled
+    narrow = df.select(*keys, F.struct(*order).alias("_at"))
+    sample = narrow.sample(fraction=PROBE, seed=_SEED)
+    rows = sample.limit(2 * size + 1).collect()
+    if len(rows) < size // 4:
         return None
-    sample = df.select(*keys, F.struct(*order).alias("_at")).sample(fraction=size / n, seed=_SEED)
-    rows = sample.orderBy(*keys, "_at").collect()
+    if len(rows) > 2 * size:
+        sample = narrow.sample(fraction=min(1.0, size / df.count()), seed=_SEED)
+        rows = sample.orderBy(*keys, "_at").collect()
+    else:  # put in Spark's own order
+        rows = spark.createDataFrame(rows, sample.schema).orderBy(*keys, "_at").collect()
     found = []
     for key, own in groupby(rows, lambda r: tuple(r)[:-1]):
         at = [r["_at"] for r in own]

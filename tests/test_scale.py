@@ -19,6 +19,14 @@ from rollcall.streaming import events as E
 from rollcall.streaming import windows as T
 
 
+@pytest.fixture(autouse=True)
+def whole_probe(monkeypatch):
+    """Small tables are sampled as if they were large."""
+    from rollcall.operators import splits
+
+    monkeypatch.setattr(splits, "PROBE", 1.0)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """600 rows; employee 1 has more than half, employee None a tenth; few dates, many ties."""
