@@ -1,4 +1,4 @@
-"""Cross-entropy difference: target and background bigram models over one vocabulary that grows with the corpus."""
+"""Cross-entropy difference: matched target and background bigram models over one vocabulary that grows with the corpus."""
 
 from __future__ import annotations
 
@@ -14,44 +14,56 @@ from pyspark.sql.types import StructType
 from rollcall.llm.substring_dedup import packed, unpacked
 from rollcall.llm.text import need
 
-MIX = 0.7  # weight of the pair's share, the rest is the word's
 ADD = 0.5  # added to the count of every word of the vocabulary
+WORD_WEIGHT = 1000.0  # words of the corpus that stand behind each model's own words
+PAIR_WEIGHT = 4.0  # words of the model that stand behind what follows one word
 BUCKETS_PER_TASK = 2  # so that hashing deals documents out evenly enough
+DRAWS = 1 << 30  # a document's draw is a number below this, by its id
 START = np.uint64(0x5851F42D4C957F2D)  # stands before the first word of every document
+END = np.uint64(0x14057B7EF767814F)  # follows the last word: a word of the vocabulary
+MODELS = 3  # target, matched background, whole corpus
 
 
 def names_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit names of a text's words, of what stands before each, and of the pairs; A-Z count as a-z."""
+    """64-bit names of a text's words and its end, of what stands before each, and of the pairs; A-Z count as a-z."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    word = np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64)
-    before = np.concatenate([np.array([START], np.uint64), word[:-1]]) if words else word
+    if not words:
+        return (np.empty(0, np.uint64),) * 3
+    named = np.array([START, *map(xxhash.xxh3_64_intdigest, words), END], np.uint64)
+    word, before = named[1:], named[:-1]
     pair = (before * np.uint64(0x9E3779B97F4A7C15)) ^ word
     pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return word, before, pair ^ (pair >> np.uint64(29))
 
 
 class Bucket:
-    """The documents of one bucket and the names in them; rows marked ``good`` name target documents."""
+    """The documents of one bucket and the names in them; rows marked ``good`` name target documents.
 
-    def __init__(self, table: pa.Table):
+    ``cuts`` are the draws below which a target document and one of the rest are counted by their model.
+    """
+
+    def __init__(self, table: pa.Table, cuts: tuple[int, int]):
         good = table["good"].to_numpy()
         marked = {d for d, g in zip(table["doc_id"].to_pylist(), good.tolist()) if g}
         self.table = table.filter(pa.array(~good))
-        self.target = np.array([d in marked for d in self.table["doc_id"].to_pylist()], bool)
+        target = np.array([d in marked for d in self.table["doc_id"].to_pylist()], bool)
+        draw = self.table["draw"].to_numpy()
+        # which documents each model counts
+        self.member = np.stack([target & (draw < cuts[0]), ~target & (draw < cuts[1]), np.ones(len(target), bool)])
         parts = [names_of(t) for t in self.table["text"].to_pylist()]
-        self.lengths = np.array([len(p[0]) for p in parts], np.int64)
+        self.lengths = np.array([len(p[0]) for p in parts], np.int64)  # words and the end
+        self.doc = np.repeat(np.arange(len(parts)), self.lengths)
         self.word, self.before, self.pair = (
             np.concatenate([np.empty(0, np.uint64), *(p[k] for p in parts)]) for k in range(3))
 
     def counted(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Different names in ascending order and their counts (target, background): of words with START, of pairs."""
-        of_target, full = np.repeat(self.target, self.lengths), self.lengths > 0
-        words = np.concatenate([self.word, np.full(int(full.sum()), START, np.uint64)])
-        out = []
-        for names, flags in ((words, np.concatenate([of_target, self.target[full]])), (self.pair, of_target)):
+        """Different names in ascending order and their counts by model: of words with START, of pairs."""
+        full, out = np.nonzero(self.lengths)[0], []
+        words = np.concatenate([self.word, np.full(len(full), START, np.uint64)])
+        for names, docs in ((words, np.concatenate([self.doc, full])), (self.pair, self.doc)):
             different, at = np.unique(names, return_inverse=True)
-            n = len(different)
-            out.append((different, np.stack([np.bincount(at[flags], minlength=n), np.bincount(at, minlength=n)]).astype("<i8")))
+            counts = [np.bincount(at[m[docs]], minlength=len(different)) for m in self.member]
+            out.append((different, np.stack(counts).astype("<i8")))
         return out
 
 
@@ -60,12 +72,12 @@ def _shrunk(x: np.ndarray) -> bytes:
 
 
 def _grown(data: bytes) -> np.ndarray:
-    """Counts as rows (target, background)."""
-    return np.frombuffer(zstandard.decompress(data), "<i8").reshape(2, -1)
+    """Counts as one row per model."""
+    return np.frombuffer(zstandard.decompress(data), "<i8").reshape(MODELS, -1)
 
 
 _COUNTED = "shard int, bucket int, words binary, word_counts binary, pairs binary, pair_counts binary"
-_MERGED = "shard int, bucket int, word_counts binary, pair_counts binary, used long, target long, background long"
+_MERGED = "shard int, bucket int, word_counts binary, pair_counts binary, used long, target long, matched long, corpus long"
 
 
 def _table(rows: list[tuple], ddl: str) -> pa.Table:
@@ -75,12 +87,12 @@ def _table(rows: list[tuple], ddl: str) -> pa.Table:
     return pa.table({name: pa.array(c, types[t]) for (name, t), c in zip(fields, columns)})
 
 
-def _counts(shards: int):
+def _counts(shards: int, limits: tuple[int, int]):
     """The counts of one bucket, cut into ranges of names."""
     edges = np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
 
     def one(table: pa.Table) -> pa.Table:
-        number, kinds = table["bucket"][0].as_py(), Bucket(table).counted()
+        number, kinds = table["bucket"][0].as_py(), Bucket(table, limits).counted()
         cuts = [[0, *np.searchsorted(names, edges).tolist(), len(names)] for names, _ in kinds]
         out = []
         for s in range(shards):
@@ -96,7 +108,7 @@ def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, l
     """Different names of all parts, the sums of their counts, and for each part the sums of its names."""
     names = [unpacked(n) for n, _ in parts]
     different, at = np.unique(np.concatenate(names), return_inverse=True)
-    sums, places = np.zeros((2, len(different)), np.int64), np.split(at, np.cumsum([len(n) for n in names])[:-1])
+    sums, places = np.zeros((MODELS, len(different)), np.int64), np.split(at, np.cumsum([len(n) for n in names])[:-1])
     for place, (_, counts) in zip(places, parts):
         sums[:, place] += _grown(counts)  # the names of one part differ
     return different, sums, [_shrunk(sums[:, place]) for place in places]
@@ -110,58 +122,90 @@ def _merged(buckets: int):
         pairs = _summed([(r["pairs"], r["pair_counts"]) for r in rows])[2]
         known = {r["bucket"]: counts for r, *counts in zip(rows, words, pairs)}
         word = names != START
-        totals = (int(word.sum()), int(sums[0, word].sum()), int(sums[1, word].sum()))
+        totals = (int(word.sum()), *map(int, sums[:, word].sum(1)))
         return _table([(rows[0]["shard"], b, *known.get(b, (None, None)), *totals) for b in range(buckets)], _MERGED)
 
     return one
 
 
+def _own(bucket: Bucket, places: np.ndarray) -> np.ndarray:
+    """For each position, how often its document holds the name at that position."""
+    _, at, counts = np.unique(bucket.doc * (int(places.max()) + 1) + places, return_inverse=True, return_counts=True)
+    return counts[at]
+
+
 def _losses(bucket: Bucket, rows: list[dict]) -> Iterator[np.ndarray]:
-    """Loss per word of each document, under target and background."""
+    """Loss per prediction of each document under each model, its own counts taken out of every model that holds them."""
     rows = sorted(rows, key=lambda r: r["shard"])
     words, pairs = (np.concatenate([_grown(r[c]) for r in rows if r[c] is not None], axis=1) for c in ("word_counts", "pair_counts"))
     (names, _), (pair_names, _) = bucket.counted()
     word, before = np.searchsorted(names, bucket.word), np.searchsorted(names, bucket.before)
     pair, used = np.searchsorted(pair_names, bucket.pair), sum(r["used"] for r in rows)
-    doc = np.repeat(np.arange(len(bucket.lengths)), bucket.lengths)
-    for k, total in enumerate(("target", "background")):
-        share = pairs[k][pair] / np.maximum(words[k][before], 1)
-        p = MIX * share + (1 - MIX) * (words[k][word] + ADD) / (sum(r[total] for r in rows) + ADD * used)
-        yield np.bincount(doc, -np.log(p), len(bucket.lengths)) / np.maximum(bucket.lengths, 1)
-
-
-def _scored(schema: pa.Schema):
+    own_word, own_pair = _own(bucket, word), _own(bucket, pair)
+    first = np.cumsum(bucket.lengths)[bucket.doc] - bucket.lengths[bucket.doc] == np.arange(len(word))
+    own_before = np.where(first, 1, np.roll(own_word, 1))  # what stands before is the word one place earlier
+    length = bucket.lengths[bucket.doc]
+    corpus = sum(r["corpus"] for r in rows)
+    prior = (words[2][word] - own_word + ADD) / (corpus - length + ADD * used)
+    for k, total in enumerate(("target", "matched", "corpus")):
+        mine = bucket.member[k][bucket.doc]
+        p = (words[k][word] - mine * own_word + WORD_WEIGHT * prior) / (sum(r[total] for r in rows) - mine * length + WORD_WEIGHT)
+        p = (pairs[k][pair] - mine * own_pair + PAIR_WEIGHT * p) / (words[k][before] - mine * own_before + PAIR_WEIGHT)
+        yield np.bincount(bucket.doc, -np.log(p), len(bucket.lengths)) / np.maximum(bucket.lengths, 1)
+
+
+def _scored(schema: pa.Schema, limits: tuple[int, int]):
     """The documents of one bucket, scored from the corpus' counts of its names."""
     def one(key: tuple, table: pa.Table, merged: pa.Table) -> pa.Table:
-        bucket = Bucket(table) if table.num_rows else None
+        bucket = Bucket(table, limits) if table.num_rows else None
         if bucket is None or not bucket.table.num_rows:
             return schema.empty_table()
         n = bucket.lengths
-        target, background = _losses(bucket, merged.to_pylist()) if len(bucket.word) else (np.zeros(len(n)), np.zeros(len(n)))
-        scores = [pa.array(x, mask=n == 0) for x in (target, background, target - background)]
-        return pa.table([c.cast(f.type) for c, f in zip([bucket.table["doc_id"], pa.array(n), *scores], schema)], schema=schema)
+        losses = list(_losses(bucket, merged.to_pylist())) if len(bucket.word) else [np.zeros(len(n))] * MODELS
+        scores = [pa.array(x, mask=n == 0) for x in (*losses, losses[0] - losses[1])]
+        columns = [bucket.table["doc_id"], pa.array(np.maximum(n - 1, 0)), *scores]
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return one
 
 
+def matched_limits(docs: DataFrame, good: DataFrame) -> tuple[int, int]:
+    """Draws below which target documents and the others are counted, so that both models hold about as many characters."""
+    marked = docs.join(good.select("doc_id", F.lit(True).alias("_good")), "doc_id", "left")
+    size, is_good = F.coalesce(F.length("text"), F.lit(0)), F.col("_good").isNotNull()
+    target, rest = marked.agg(F.sum(F.when(is_good, size)), F.sum(F.when(~is_good, size))).first()
+    target, rest = target or 0, rest or 0
+    return (DRAWS if target <= rest else DRAWS * rest // target), (DRAWS if rest <= target else DRAWS * target // rest)
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, difference) of every row of ``docs``.
-
-    The target model counts the documents that ``labels`` call good (quality 1),
-    the background model all of ``docs``. Both share one vocabulary, every word of
-    the corpus: a word's probability is ``MIX`` times the share of the pair among
-    what follows the word before, and the rest the word's own share with ``ADD``
-    added to each word. Losses are in nats per word; a negative difference speaks
-    for the target. A null or wordless text has n_words 0 and null losses; null
-    ids match no label; repeated rows are counted and scored each; labels may
-    repeat. Other columns are not read; no rows give no rows.
-
-    1. Documents and the ids of target documents are dealt to buckets by id, once.
+    """(doc_id, n_words, target_loss, matched_loss, background_loss, difference) of every row of ``docs``.
+
+    Three bigram models share one vocabulary, every word of the corpus and the end
+    of a document. The target model counts the documents that ``labels`` call good
+    (quality 1); the matched background counts others of about the same number of
+    characters, drawn by a digest of the id (where the good ones are the larger
+    part, they are drawn instead); the corpus model counts all of ``docs``.
+
+    A model's share of a word is its own count with ``WORD_WEIGHT`` words of the
+    corpus' shares behind it (``ADD`` added to each word there); what follows a
+    word is the model's count with ``PAIR_WEIGHT`` words of the model's shares
+    behind it. So every distribution adds up to 1, after an unseen word too. A
+    document's own words are taken out of each model that counts it, so labelled
+    and unlabelled documents are scored alike. Losses are in nats per prediction
+    (words and the end); ``background_loss`` is the corpus model's. ``difference``
+    is target less matched loss: negative speaks for the target, 0 is the value
+    without any label. A null or wordless text has n_words 0 and null losses; null
+    ids match no label; repeated rows are counted and scored each, the others still
+    counted; labels may repeat. Other columns are not read; no rows give no rows.
+
+    1. One scan adds up the characters of good and other documents.
+    2. Documents and the ids of target documents are dealt to buckets by id, once.
        Each bucket counts its words and pairs; different names go to the merge as
        packed ascending numbers, so that a frequent word is one number per bucket.
-    2. Counts are added by range of names. Each bucket gets back the corpus' counts
+    3. Counts are added by range of names. Each bucket gets back the corpus' counts
        of just its names, in its order, and the totals of the range.
-    3. Each bucket scores its documents.
+    4. Each bucket scores its documents.
 
     Nothing is kept in a table of fixed size or sent to the driver: what is counted
     grows with the corpus and stays dealt out. Words and pairs are named by 64
@@ -170,15 +214,17 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS_PER_TASK * tasks
     kind = docs.schema["doc_id"].dataType
-    good = labels.where("quality = 1 and doc_id is not null").select(
-        F.col("doc_id").cast(kind), F.lit(None).cast("string").alias("text"), F.lit(True).alias("good")).distinct()
-    rows = need(docs, "doc_id", "text").withColumn("good", F.lit(False)).unionByName(good)
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    dealt = rows.withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int")).repartition(tasks, "bucket")
-    counted = dealt.groupBy("bucket").applyInArrow(_counts(tasks), _COUNTED)
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast(kind)).distinct()
+    texts = need(docs, "doc_id", "text")
+    limits = matched_limits(texts, good)
+    one = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    rows = texts.select("*", F.lit(False).alias("good"), F.pmod(F.xxhash64(one), F.lit(DRAWS)).alias("draw")).unionByName(
+        good.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("good"), F.lit(0).cast("long").alias("draw")))
+    dealt = rows.withColumn("bucket", F.pmod(one, F.lit(buckets)).cast("int")).repartition(tasks, "bucket")
+    counted = dealt.groupBy("bucket").applyInArrow(_counts(tasks, limits), _COUNTED)
     merged = counted.groupBy("shard").applyInArrow(_merged(buckets), _MERGED)
     out = StructType([docs.schema["doc_id"], *StructType.fromDDL(
-        "n_words long, target_loss double, background_loss double, difference double").fields])
+        "n_words long, target_loss double, matched_loss double, background_loss double, difference double").fields])
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return dealt.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(_scored(to_arrow_schema(out)), out)
+    return dealt.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(_scored(to_arrow_schema(out), limits), out)

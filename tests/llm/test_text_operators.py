@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -230,32 +231,78 @@ def test_flight_keeps_totals_and_probabilities():
     assert abs(runs.mean(0) - 0.3).max() < 0.12
 
 
-def test_lm_scoring(spark, docs, rows, none):
-    labels = spark.createDataFrame([(0, 1, 0), (3, 1, 0), (3, 1, 0), (6, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    words, pairs, before = ([Counter(), Counter()] for _ in range(3))
-    for d, t, _ in rows:
+class Bigrams:
+    """The models of the scorer in plain Python, counts by Counter."""
+
+    def __init__(self, texts, corpus=None):
+        self.words, self.pairs, self.before, self.corpus = Counter(), Counter(), Counter(), corpus or self
+        for t in texts:
+            self.add(t, 1)
+
+    def add(self, t, sign):
+        w = [x.encode().lower() for x in words_of(t)]
+        if w:
+            self.words.update({x: sign * n for x, n in Counter([*w, "end"]).items()})
+            self.before.update({x: sign * n for x, n in Counter(["start", *w]).items()})
+            self.pairs.update({x: sign * n for x, n in Counter(zip(["start", *w], [*w, "end"])).items()})
+
+    def p(self, a, b):
+        c = self.corpus.words
+        prior = (c[b] + lm_scoring.ADD) / (c.total() + lm_scoring.ADD * len(c))  # a count of 0 stays a key
+        word = (self.words[b] + lm_scoring.WORD_WEIGHT * prior) / (self.words.total() + lm_scoring.WORD_WEIGHT)
+        return (self.pairs[a, b] + lm_scoring.PAIR_WEIGHT * word) / (self.before[a] + lm_scoring.PAIR_WEIGHT)
+
+    def loss(self, t):
         w = [x.encode().lower() for x in words_of(t)]
-        for k in (0, 1) if d in (0, 3) else (1,):
-            words[k].update(w)
-            before[k].update(w + [None] * bool(w))
-            pairs[k].update(zip([None, *w], w))
+        return -sum(np.log(self.p(a, b)) for a, b in zip(["start", *w], [*w, "end"])) / (len(w) + 1)
 
-    def loss(t, k):
-        w, total, n = [x.encode().lower() for x in words_of(t)], 0.0, sum(words[k].values())
-        for a, b in zip([None, *w], w):
-            total -= np.log(0.7 * pairs[k][a, b] / max(1, before[k][a]) + 0.3 * (words[k][b] + 0.5) / (n + 0.5 * len(words[1])))
-        return total / len(w)
 
+def test_lm_scoring(spark, docs, rows, none):
+    marked = {d for d, _, _ in rows if d is not None and d % 4 == 0}
+    labels = spark.createDataFrame(
+        [*((d, 1, 0) for d in sorted(marked)), (0, 1, 0), (6, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    # which of the others are drawn is read from the operator's own limits and digest
+    texts = docs.select("doc_id", "text")
+    limits = lm_scoring.matched_limits(texts, labels.where("quality = 1").select("doc_id").distinct().dropna())
+    one = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    drawn = {(r.doc_id, r.text) for r in texts.where(F.pmod(F.xxhash64(one), F.lit(lm_scoring.DRAWS)) < limits[1]).collect()}
+    good = [t for d, t, _ in rows if d in marked]
+    others = [t for d, t, _ in rows if d not in marked and (d, t) in drawn]
+    assert limits[0] == lm_scoring.DRAWS and others
+    corpus = Bigrams([t for _, t, _ in rows])
+    target, matched = Bigrams(good, corpus), Bigrams(others, corpus)
+    vocabulary = list(corpus.words)
+    for model in (target, matched, corpus):
+        for a in ("start", vocabulary[0], vocabulary[-1], b"never seen"):
+            assert sum(model.p(a, b) for b in vocabulary) == pytest.approx(1, abs=1e-9)
     out = lm_scoring.cross_entropy_difference(docs, labels).collect()
-    assert len(out) == len(rows)
-    scores = {(r.doc_id, r.n_words): r for r in out}
     assert Counter((r.doc_id, r.n_words) for r in out) == Counter((d, len(words_of(t))) for d, t, _ in rows)
+    scores = {(r.doc_id, r.n_words): r for r in out}
     for d, t, _ in rows:
         if words_of(t):
-            r, x, y = scores[d, len(words_of(t))], loss(t, 0), loss(t, 1)
-            assert (r.target_loss, r.background_loss, r.difference) == pytest.approx((x, y, x - y), rel=1e-9, abs=1e-9)
+            held = [corpus] + [target] * (d in marked) + [matched] * (d not in marked and (d, t) in drawn)
+            for m in held:
+                m.add(t, -1)
+            x, y, z = target.loss(t), matched.loss(t), corpus.loss(t)
+            for m in held:
+                m.add(t, 1)
+            r = scores[d, len(words_of(t))]
+            assert (r.target_loss, r.matched_loss, r.background_loss, r.difference) == pytest.approx((x, y, z, x - y), rel=1e-9, abs=1e-9)
     assert all(r.difference is None for r in out if not r.n_words) and any(not r.n_words for r in out)
     assert lm_scoring.cross_entropy_difference(none, labels).count() == 0
+    unlabelled = lm_scoring.cross_entropy_difference(docs, labels.limit(0)).collect()
+    assert {r.difference for r in unlabelled} == {0.0, None} and len(unlabelled) == len(rows)
+
+
+def test_lm_scoring_of_documents_without_a_label(spark):
+    """Good documents whose label is hidden score like those whose label is known."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    scored = lm_scoring.cross_entropy_difference(docs, labels.where("doc_id % 2 = 0")).where("n_words > 0").join(
+        labels.select("doc_id", "quality"), "doc_id")
+    middle = {(r.quality, r.known): r.d for r in scored.groupBy("quality", (F.col("doc_id") % 2 == 0).alias("known")).agg(
+        F.median("difference").alias("d")).collect()}
+    assert abs(middle[1, True] - middle[1, False]) < 0.5
+    assert middle[1, False] < 0 < middle[0, False]
 
 
 def test_embeddings(spark):
