@@ -21,6 +21,7 @@ BUCKETS_PER_TASK = 2  # so that hashing deals documents out evenly enough
 DRAWS = 1 << 30  # a document's draw is a number below this, by its id
 START = np.uint64(0x5851F42D4C957F2D)  # stands before the first word of every document
 END = np.uint64(0x14057B7EF767814F)  # follows the last word: a word of the vocabulary
+SLICE = 1 << 17  # names scored at once, in whole documents
 MODELS = 3  # target, matched background, whole corpus
 
 
@@ -52,15 +53,15 @@ class Bucket:
         self.member = np.stack([target & (draw < cuts[0]), ~target & (draw < cuts[1]), np.ones(len(target), bool)])
         parts = [names_of(t) for t in self.table["text"].to_pylist()]
         self.lengths = np.array([len(p[0]) for p in parts], np.int64)  # words and the end
-        self.doc = np.repeat(np.arange(len(parts)), self.lengths)
         self.word, self.before, self.pair = (
             np.concatenate([np.empty(0, np.uint64), *(p[k] for p in parts)]) for k in range(3))
 
     def counted(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Different names in ascending order and their counts by model: of words with START, of pairs."""
         full, out = np.nonzero(self.lengths)[0], []
+        doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         words = np.concatenate([self.word, np.full(len(full), START, np.uint64)])
-        for names, docs in ((words, np.concatenate([self.doc, full])), (self.pair, self.doc)):
+        for names, docs in ((words, np.concatenate([doc, full])), (self.pair, doc)):
             different, at = np.unique(names, return_inverse=True)
             counts = [np.bincount(at[m[docs]], minlength=len(different)) for m in self.member]
             out.append((different, np.stack(counts).astype("<i8")))
@@ -128,30 +129,46 @@ def _merged(buckets: int):
     return one
 
 
-def _own(bucket: Bucket, places: np.ndarray) -> np.ndarray:
+def _own(doc: np.ndarray, places: np.ndarray) -> np.ndarray:
     """For each position, how often its document holds the name at that position."""
-    _, at, counts = np.unique(bucket.doc * (int(places.max()) + 1) + places, return_inverse=True, return_counts=True)
+    _, at, counts = np.unique(doc * (int(places.max()) + 1) + places, return_inverse=True, return_counts=True)
     return counts[at]
 
 
-def _losses(bucket: Bucket, rows: list[dict]) -> Iterator[np.ndarray]:
-    """Loss per prediction of each document under each model, its own counts taken out of every model that holds them."""
+def _slices(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Consecutive whole documents of about ``SLICE`` names, and the positions of their names."""
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    first = 0
+    while first < len(lengths):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE, "right")) - 1)
+        yield slice(first, last), slice(int(ends[first]), int(ends[last]))
+        first = last
+
+
+def _losses(bucket: Bucket, rows: list[dict]) -> np.ndarray:
+    """Loss per prediction under each model (rows) of each document, its own counts taken out of every model that holds them."""
     rows = sorted(rows, key=lambda r: r["shard"])
     words, pairs = (np.concatenate([_grown(r[c]) for r in rows if r[c] is not None], axis=1) for c in ("word_counts", "pair_counts"))
-    (names, _), (pair_names, _) = bucket.counted()
-    word, before = np.searchsorted(names, bucket.word), np.searchsorted(names, bucket.before)
-    pair, used = np.searchsorted(pair_names, bucket.pair), sum(r["used"] for r in rows)
-    own_word, own_pair = _own(bucket, word), _own(bucket, pair)
-    first = np.cumsum(bucket.lengths)[bucket.doc] - bucket.lengths[bucket.doc] == np.arange(len(word))
-    own_before = np.where(first, 1, np.roll(own_word, 1))  # what stands before is the word one place earlier
-    length = bucket.lengths[bucket.doc]
-    corpus = sum(r["corpus"] for r in rows)
-    prior = (words[2][word] - own_word + ADD) / (corpus - length + ADD * used)
-    for k, total in enumerate(("target", "matched", "corpus")):
-        mine = bucket.member[k][bucket.doc]
-        p = (words[k][word] - mine * own_word + WORD_WEIGHT * prior) / (sum(r[total] for r in rows) - mine * length + WORD_WEIGHT)
-        p = (pairs[k][pair] - mine * own_pair + PAIR_WEIGHT * p) / (words[k][before] - mine * own_before + PAIR_WEIGHT)
-        yield np.bincount(bucket.doc, -np.log(p), len(bucket.lengths)) / np.maximum(bucket.lengths, 1)
+    names, pair_names = np.unique(np.concatenate([bucket.word, [START]])), np.unique(bucket.pair)
+    used, totals = sum(r["used"] for r in rows), [sum(r[m] for r in rows) for m in ("target", "matched", "corpus")]
+    out = np.zeros((MODELS, len(bucket.lengths)))
+    for docs, at in _slices(bucket.lengths):
+        if at.start == at.stop:
+            continue
+        lengths = bucket.lengths[docs]
+        doc = np.repeat(np.arange(len(lengths)), lengths)
+        word, before = np.searchsorted(names, bucket.word[at]), np.searchsorted(names, bucket.before[at])
+        pair, length = np.searchsorted(pair_names, bucket.pair[at]), lengths[doc]
+        own_word, own_pair = _own(doc, word), _own(doc, pair)
+        first = (np.cumsum(lengths) - lengths)[doc] == np.arange(len(doc))
+        own_before = np.where(first, 1, np.roll(own_word, 1))  # what stands before is the word one place earlier
+        prior = (words[2][word] - own_word + ADD) / (totals[2] - length + ADD * used)
+        for k in range(MODELS):
+            mine = bucket.member[k][docs][doc]
+            p = (words[k][word] - mine * own_word + WORD_WEIGHT * prior) / (totals[k] - mine * length + WORD_WEIGHT)
+            p = (pairs[k][pair] - mine * own_pair + PAIR_WEIGHT * p) / (words[k][before] - mine * own_before + PAIR_WEIGHT)
+            out[k, docs] = np.bincount(doc, -np.log(p), len(lengths)) / np.maximum(lengths, 1)
+    return out
 
 
 def _scored(schema: pa.Schema, limits: tuple[int, int]):
@@ -161,7 +178,7 @@ def _scored(schema: pa.Schema, limits: tuple[int, int]):
         if bucket is None or not bucket.table.num_rows:
             return schema.empty_table()
         n = bucket.lengths
-        losses = list(_losses(bucket, merged.to_pylist())) if len(bucket.word) else [np.zeros(len(n))] * MODELS
+        losses = _losses(bucket, merged.to_pylist()) if len(bucket.word) else np.zeros((MODELS, len(n)))
         scores = [pa.array(x, mask=n == 0) for x in (*losses, losses[0] - losses[1])]
         columns = [bucket.table["doc_id"], pa.array(np.maximum(n - 1, 0)), *scores]
         return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -171,8 +188,10 @@ def _scored(schema: pa.Schema, limits: tuple[int, int]):
 
 def matched_limits(docs: DataFrame, good: DataFrame) -> tuple[int, int]:
     """Draws below which target documents and the others are counted, so that both models hold about as many characters."""
-    marked = docs.join(good.select("doc_id", F.lit(True).alias("_good")), "doc_id", "left")
-    size, is_good = F.coalesce(F.length("text"), F.lit(0)), F.col("_good").isNotNull()
+    sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("_size")).groupBy("doc_id").agg(
+        F.sum("_size").alias("_size"))  # one number per id goes to the join, no text
+    marked = sizes.join(good.select("doc_id", F.lit(True).alias("_good")), "doc_id", "left")
+    size, is_good = F.col("_size"), F.col("_good").isNotNull()
     target, rest = marked.agg(F.sum(F.when(is_good, size)), F.sum(F.when(~is_good, size))).first()
     target, rest = target or 0, rest or 0
     return (DRAWS if target <= rest else DRAWS * rest // target), (DRAWS if rest <= target else DRAWS * target // rest)
