@@ -1,7 +1,8 @@
 """Data-quality checks. Every check is one row of a result table.
 
-Checks that read single rows are counted together in one aggregation per table;
-the others (keys, references, outliers, spikes, rates) add one plan each.
+Checks that read single rows are counted together in one aggregation per table.
+A ``TableAudit`` also takes keys and references: one scan of each table, one shuffle
+for all. Outliers, spikes and rates add one plan each.
 """
 
 from __future__ import annotations
@@ -107,12 +108,13 @@ class ScanChecks:
 
     def __init__(self, df: DataFrame, table: str):
         self.df, self.table = df, table
-        self._aggs: list[Column] = [F.count(F.lit(1)).alias("_rows")]
+        self._rows = f"_rows_{table}"
+        self._conditions: dict[str, Column] = {}
         self._results: list[Column] = []
 
     def _count(self, cond: Column) -> Column:
-        name = f"_c{len(self._aggs)}"
-        self._aggs.append(F.count_if(is_true(cond)).alias(name))
+        name = f"_c{len(self._conditions)}_{self.table}"
+        self._conditions[name] = is_true(cond)
         return F.col(name)
 
     def complete(self, columns: list[str]) -> "ScanChecks":
@@ -124,7 +126,7 @@ class ScanChecks:
                 )
                 continue
             n = self._count(F.col(c).isNull())
-            share = F.round(F.coalesce(percent(n, F.col("_rows")), F.lit(0.0)), 2)
+            share = F.round(F.coalesce(percent(n, F.col(self._rows)), F.lit(0.0)), 2)
             actual = F.concat(share.cast("string"), F.lit("%"))
             self._results.append(
                 result(f"no_nulls:{c}", self.table, c, n == 0, "critical", "0%", actual, n)
@@ -172,7 +174,8 @@ class ScanChecks:
         return self
 
     def results(self) -> DataFrame:
-        return _unpack(self.df.agg(*self._aggs), self._results)
+        counts = [F.count_if(cond).alias(name) for name, cond in self._conditions.items()]
+        return _unpack(self.df.agg(F.count(F.lit(1)).alias(self._rows), *counts), self._results)
 
 
 def check_completeness(df: DataFrame, table: str) -> DataFrame:
@@ -218,14 +221,112 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
+def _text_of(df: DataFrame, column: str, like: str | None = None) -> Column:
+    """A value as text: equal texts for equal values, also where the other side's type ``like`` differs."""
+    kind, value = dict(df.dtypes)[column], F.col(column)
+    fractions = ("double", "float", "decimal")
+    if like is not None and like != kind:
+        if kind.startswith(fractions) or like.startswith(fractions):
+            value, kind = value.try_cast("double"), "double"
+        elif "string" in (kind, like):
+            # a text that is no number equals no number
+            value = F.coalesce(value.try_cast("bigint").cast("string"), value.cast("string"))
+    if kind in ("double", "float"):
+        value = value + F.lit(0.0)  # -0.0 is 0.0
+    elif kind == "timestamp":
+        value = F.unix_micros(value)
+    elif kind == "binary":
+        value = F.hex(value)
+    return value.cast("string")
+
+
+def _key(df: DataFrame, columns: list[str]) -> Column:
+    """One column's text, or the texts of several, each after its length; in these a null is a value of its own."""
+    if len(columns) == 1:
+        return _text_of(df, columns[0])
+    parts = [_text_of(df, c) for c in columns]
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts])
+
+
+class TableAudit:
+    """Row, key and reference checks of several tables from one scan of each and one shuffle.
+
+    A row gives one entry (rule, key, own) for every rule that it takes part in:
+    without a key for a rule on single rows that it breaks, with its key for a
+    unique key or a reference, and with ``own`` false where another table refers
+    to it. Entries are counted per (rule, key) before they move, so the entries of
+    a frequent or empty key are one row a task. From the counts per key follow
+    duplicates (rows beyond the first) and orphans (rows of keys without a row that
+    is referred to). Results come in the order of the calls; a table without rows
+    has counts of 0. Nothing runs until the results are read.
+    """
+
+    def __init__(self, **tables: DataFrame):
+        self.tables = tables
+        self._entries: dict[str, list[Column]] = {t: [] for t in tables}
+        self._figures: list[tuple[str, str]] = []  # per rule: name and which figure of its counts it is
+        self._results: list[Column] = []
+
+    def _rule(self, figure: str, name: str | None = None) -> int:
+        self._figures.append((name or f"_k{len(self._figures)}", figure))
+        return len(self._figures) - 1
+
+    def _entry(self, table: str, rule: int, key: Column | None = None, when: Column | None = None, own: bool = True) -> None:
+        entry = F.struct(
+            F.lit(rule).alias("rule"), (F.lit(None).cast("string") if key is None else key).alias("key"), F.lit(own).alias("own"))
+        self._entries[table].append(entry if when is None else F.when(when, entry))
+
+    def scan(self, checks: ScanChecks) -> "TableAudit":
+        """The checks of single rows of one table."""
+        self._entry(checks.table, self._rule("n", checks._rows))
+        for name, cond in checks._conditions.items():
+            self._entry(checks.table, self._rule("n", name), when=cond)
+        self._results += checks._results
+        return self
+
+    def unique(self, table: str, keys: list[str] | None = None, null_allowed: bool = False) -> "TableAudit":
+        """No key twice; null keys equal each other unless they are allowed."""
+        keys = keys or PRIMARY_KEYS[table]
+        joined, rule = "+".join(keys), self._rule("repeated")
+        key = _key(self.tables[table], keys)
+        filled = None
+        if null_allowed:
+            filled = F.lit(True)
+            for c in keys:
+                filled = filled & F.col(c).isNotNull()
+        self._entry(table, rule, key, filled)
+        self._results.append(count_check(
+            f"unique_pk:{joined}", table, joined, F.col(self._figures[rule][0]), "critical", "0 duplicates", "duplicates"))
+        return self
+
+    def refers(self, table: str, column: str, to: str, to_column: str, name: str | None = None,
+               null_allowed: bool = False) -> "TableAudit":
+        """Every key of ``column`` is in the other table's column; a null is an orphan unless it is allowed."""
+        rule, df, ref = self._rule("unknown"), self.tables[table], self.tables[to]
+        kind, ref_kind = dict(df.dtypes)[column], dict(ref.dtypes)[to_column]
+        self._entry(table, rule, _text_of(df, column, ref_kind), F.col(column).isNotNull() if null_allowed else None)
+        self._entry(to, rule, _text_of(ref, to_column, kind), F.col(to_column).isNotNull(), own=False)
+        self._results.append(count_check(
+            name or f"fk_{table}→{to}", table, column, F.col(self._figures[rule][0]), "critical", "all valid", "orphan records"))
+        return self
+
+    def results(self) -> DataFrame:
+        entries = union_results([
+            self.tables[t].select(F.inline(F.filter(F.array(*e), lambda x: x.isNotNull()))) for t, e in self._entries.items() if e])
+        per_key = entries.groupBy("rule", "key").agg(F.count_if("own").alias("n"), F.bool_or(~F.col("own")).alias("known"))
+        per_rule = per_key.groupBy("rule").agg(
+            F.sum("n").alias("n"),
+            F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("repeated"),
+            F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).alias("unknown"),
+        )
+        one = per_rule.agg(*[
+            F.coalesce(F.max(F.when(F.col("rule") == i, F.col(figure))), F.lit(0)).alias(name)
+            for i, (name, figure) in enumerate(self._figures)])
+        return _unpack(one, self._results)
+
+
 def check_uniqueness(df: DataFrame, table: str, keys: list[str] | None = None) -> DataFrame:
-    keys = keys or PRIMARY_KEYS[table]
-    joined = "+".join(keys)
-    return _unpack(
-        duplicate_count(df, keys),
-        [count_check(f"unique_pk:{joined}", table, joined, F.col("duplicates"), "critical",
-                     "0 duplicates", "duplicates")],
-    )
+    return TableAudit(**{table: df}).unique(table, keys).results()
 
 
 def orphan_count(
@@ -243,42 +344,28 @@ def check_reference(
     df: DataFrame, table: str, column: str, ref: DataFrame, ref_table: str, ref_column: str,
     null_allowed: bool = False,
 ) -> DataFrame:
-    return _unpack(
-        orphan_count(df, column, ref, ref_column, null_allowed),
-        [count_check(f"fk_{table}→{ref_table}", table, column, F.col("orphans"), "critical",
-                     "all valid", "orphan records")],
-    )
+    audit = TableAudit(**{table: df, ref_table: ref})
+    return audit.refers(table, column, ref_table, ref_column, null_allowed=null_allowed).results()
 
 
 def declared_constraints(
     dept: DataFrame, emp: DataFrame, att: DataFrame, leaves: DataFrame
 ) -> DataFrame:
     """NOT NULL, UNIQUE and FOREIGN KEY rules of the table declarations (a null reference is allowed)."""
-    def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-        return ScanChecks(df, table).complete(columns).results()
-
-    def refers(df: DataFrame, table: str, column: str, ref: DataFrame, to: str, key: str) -> DataFrame:
-        return check_reference(df, table, column, ref, f"{to}:{column}", key, null_allowed=True)
-
-    def unique(df: DataFrame, table: str, column: str) -> DataFrame:
-        return check_uniqueness(df.filter(F.col(column).isNotNull()), table, [column])
-
-    return union_results([
-        not_null(dept, "departments", ["department_name"]),
-        not_null(emp, "employees", ["name"]),
-        not_null(att, "attendance", ["employee_id", "date"]),
-        not_null(leaves, "leaves", ["employee_id"]),
-        unique(dept, "departments", "department_name"),
-        unique(emp, "employees", "employee_id"),
-        unique(emp, "employees", "email"),
-        unique(att, "attendance", "attendance_id"),
-        check_uniqueness(att, "attendance"),
-        unique(leaves, "leaves", "leave_id"),
-        refers(emp, "employees", "department", dept, "departments", "department_name"),
-        refers(emp, "employees", "manager_id", emp, "employees", "employee_id"),
-        refers(att, "attendance", "employee_id", emp, "employees", "employee_id"),
-        refers(leaves, "leaves", "employee_id", emp, "employees", "employee_id"),
-    ])
+    audit = TableAudit(departments=dept, employees=emp, attendance=att, leaves=leaves)
+    for table, columns in (("departments", ["department_name"]), ("employees", ["name"]),
+                           ("attendance", ["employee_id", "date"]), ("leaves", ["employee_id"])):
+        audit.scan(ScanChecks(audit.tables[table], table).complete(columns))
+    for table, column in (("departments", "department_name"), ("employees", "employee_id"), ("employees", "email"),
+                          ("attendance", "attendance_id")):
+        audit.unique(table, [column], null_allowed=True)
+    audit.unique("attendance").unique("leaves", ["leave_id"], null_allowed=True)
+    for table, column, to, key in (
+        ("employees", "department", "departments", "department_name"), ("employees", "manager_id", "employees", "employee_id"),
+        ("attendance", "employee_id", "employees", "employee_id"), ("leaves", "employee_id", "employees", "employee_id"),
+    ):
+        audit.refers(table, column, to, key, f"fk_{table}→{to}:{column}", null_allowed=True)
+    return audit.results()
 
 
 # --- anomalies -------------------------------------------------------------------------
@@ -350,16 +437,15 @@ def check_rate_drop(daily: DataFrame, drop: float = 0.15) -> DataFrame:
 def run_all(att: DataFrame, emp: DataFrame, as_of: date) -> DataFrame:
     """All checks of both tables: ten on attendance, seven on employees and the reference between."""
     daily = written(daily_counts(att), "daily")
-    return union_results([
-        _attendance_scan(att, as_of).results(),
-        check_uniqueness(att, "attendance"),
-        check_outliers(att),
-        check_spikes(daily),
-        check_rate_drop(daily),
-        _employee_scan(emp).results(),
-        check_uniqueness(emp, "employees"),
-        check_reference(att, "attendance", "employee_id", emp, "employees", "employee_id"),
-    ])
+    audit = (
+        TableAudit(attendance=att, employees=emp)
+        .scan(_attendance_scan(att, as_of))
+        .unique("attendance")
+        .scan(_employee_scan(emp))
+        .unique("employees")
+        .refers("attendance", "employee_id", "employees", "employee_id")
+    )
+    return union_results([audit.results(), check_outliers(att), check_spikes(daily), check_rate_drop(daily)])
 
 
 # --- generic validator -----------------------------------------------------------------

@@ -152,9 +152,8 @@ def d09(spark: SparkSession, d: str) -> DataFrame:
 @query("d10_uniqueness", _all([_duplicates("employee_id+date", "attendance", "att"),
                                _duplicates("employee_id", "employees", "emp")]))
 def d10(spark: SparkSession, d: str) -> DataFrame:
-    return Q.union_results([
-        Q.check_uniqueness(V.att(spark, d), "attendance"), Q.check_uniqueness(V.emp(spark, d), "employees"),
-    ]).select(*KEPT)
+    audit = Q.TableAudit(attendance=V.att(spark, d), employees=V.emp(spark, d))
+    return audit.unique("attendance").unique("employees").results().select(*KEPT)
 
 
 @query("d11_referential_integrity", _ORPHANS)

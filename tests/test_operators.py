@@ -164,6 +164,36 @@ class TestQuality:
         assert Q.orphan_count(df, "employee_id", employees, "employee_id").first().orphans == 3
         assert Q.orphan_count(df, "employee_id", employees, "employee_id", True).first().orphans == 2
 
+    def test_audit_of_several_tables(self, spark):
+        part = spark.createDataFrame(
+            [(1, "a", 1.0, 7), (1, "a", 1.0, 7), (None, "a", 2.0, 8), (None, "a", 2.0, None), (3, None, -0.0, 9), (4, "1|2", None, 5)],
+            "k int, c string, x double, to long")
+        whole = spark.createDataFrame([("7",), ("8",), ("8",), (None,), ("nine",)], "id string")
+        zeros = spark.createDataFrame([(0,), (1,), (2,)], "z int")
+        audit = (
+            Q.TableAudit(part=part, whole=whole, zeros=zeros, none=part.limit(0))
+            .scan(Q.ScanChecks(part, "part").complete(["k", "c", "badge"]).within("low", "x", 1, None, "info", ">= 1"))
+            .unique("part", ["k"]).unique("part", ["k"], null_allowed=True).unique("part", ["k", "c"])
+            .refers("part", "to", "whole", "id").refers("part", "to", "whole", "id", "allowed", null_allowed=True)
+            .refers("part", "x", "zeros", "z").refers("whole", "id", "part", "to")
+            .unique("none", ["k"]).scan(Q.ScanChecks(part.limit(0), "none").complete(["c"])).refers("none", "k", "zeros", "z")
+        )
+        rows = audit.results().collect()
+        assert [(r.check_name, r.row_count) for r in rows] == [
+            ("no_nulls:k", 2), ("no_nulls:c", 1), ("column_exists:badge", 0), ("low", 1), ("unique_pk:k", 2), ("unique_pk:k", 1),
+            ("unique_pk:k+c", 2), ("fk_part→whole", 3), ("allowed", 2), ("fk_part→zeros", 1), ("fk_whole→part", 2),
+            ("unique_pk:k", 0), ("no_nulls:c", 0), ("fk_none→zeros", 0)]
+        assert rows[0].actual == "33.33%" and rows[12].actual == "0.0%"
+
+    def test_audit_reads_a_table_once_and_counts_hot_keys_before_they_move(self, spark, tmp_path):
+        spark.range(4000).selectExpr("if(id < 3000, 0, id) AS k", "id AS n").write.parquet(f"{tmp_path}/t")
+        df = spark.read.parquet(f"{tmp_path}/t")
+        audit = Q.TableAudit(t=df).unique("t", ["n"]).unique("t", ["k"]).refers("t", "k", "t", "n")
+        audit = audit.scan(Q.ScanChecks(df, "t").complete(["k"])).results()
+        plan = audit._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+        assert [r.row_count for r in audit.collect()] == [0, 2999, 0, 0]
+
     def test_gate(self, spark):
         def decide(nulls):
             rows = [(None if i < nulls else "x",) for i in range(20)]
