@@ -11,27 +11,30 @@ from rollcall.queries import views as V
 from rollcall.queries.common import AS_OF
 from rollcall.queries.registry import query
 
-KEPT = ["check_name", "table", "column", "passed", "severity", "expected", "row_count"]
+KEPT = ["check_name", "table", "column", "passed", "severity", "expected", "actual", "row_count"]
 _STATUSES = "'Present', 'Absent', 'Late', 'Half-Day', 'Work-From-Home', 'On-Leave', 'Unknown'"
 _SORTED = "in [''Absent'', ''Half-Day'', ''Late'', ''On-Leave'', ''Present'', ''Unknown'', ''Work-From-Home'']"
 
 
-def _row(name: str, table: str, column: str, severity: str, expected: str, count: str, source: str) -> str:
+def _row(name: str, table: str, column: str, severity: str, expected: str, count: str, source: str, noun: str = "violations",
+         actual: str | None = None) -> str:
     """One check as a SELECT: it passes when ``count`` over ``source`` is 0."""
+    actual = actual or f"CAST(n AS BIGINT) || ' {noun}'"
     return f"""SELECT '{name}' AS check_name, '{table}' AS "table", '{column}' AS "column", n = 0 AS passed,
-        '{severity}' AS severity, '{expected}' AS expected, CAST(n AS BIGINT) AS row_count
-        FROM (SELECT {count} AS n FROM {source})"""
+        '{severity}' AS severity, '{expected}' AS expected, {actual} AS actual, CAST(n AS BIGINT) AS row_count
+        FROM (SELECT {count} AS n, count(*) AS total FROM {source})"""
 
 
 def _nulls(column: str, table: str, source: str) -> str:
-    return _row(f"no_nulls:{column}", table, column, "critical", "0%", f"count(*) FILTER ({column} IS NULL)", source)
+    return _row(f"no_nulls:{column}", table, column, "critical", "0%", f"count(*) FILTER ({column} IS NULL)", source,
+                actual="CAST(round(coalesce(100.0 * n / total, 0.0), 2)::DOUBLE AS VARCHAR) || '%'")
 
 
 def _duplicates(keys: str, table: str, source: str) -> str:
     columns = keys.replace("+", ", ")
     return _row(
         f"unique_pk:{keys}", table, keys, "critical", "0 duplicates",
-        "coalesce(sum(c - 1), 0)", f"(SELECT count(*) AS c FROM {source} GROUP BY {columns})",
+        "coalesce(sum(c - 1), 0)", f"(SELECT count(*) AS c FROM {source} GROUP BY {columns})", "duplicates",
     )
 
 
@@ -40,28 +43,28 @@ _ATT_SCAN = [
     _nulls("date", "attendance", "att_raw"),
     _nulls("status", "attendance", "att_raw"),
     _row("valid_status", "attendance", "status", "critical", _SORTED,
-         f"count(*) FILTER (NOT coalesce(status IN ({_STATUSES}), false))", "att_raw"),
+         f"count(*) FILTER (NOT coalesce(status IN ({_STATUSES}), false))", "att_raw", "invalid"),
     _row("hours_range", "attendance", "hours_worked", "warning", "[0, 14]",
          "count(*) FILTER (hours_worked < 0 OR hours_worked > 14)", "att_raw"),
     _row("no_future_dates", "attendance", "date", "warning", "≤ today",
-         "count(*) FILTER (TRY_CAST(date AS DATE) > DATE '2001-07-31')", "att_raw"),
+         "count(*) FILTER (TRY_CAST(date AS DATE) > DATE '2001-07-31')", "att_raw", "future dates"),
 ]
 _EMP_SCAN = [
     _nulls("employee_id", "employees", "emp"),
     _nulls("name", "employees", "emp"),
     _nulls("department", "employees", "emp"),
-    _row("positive_salary", "employees", "salary", "critical", ">= 0", "count(*) FILTER (salary < 0)", "emp"),
+    _row("positive_salary", "employees", "salary", "critical", ">= 0", "count(*) FILTER (salary < 0)", "emp", "negative salaries"),
     _row("valid_email", "employees", "email", "warning", "contains @",
-         "count(*) FILTER (NOT coalesce(contains(email, '@'), false))", "emp"),
+         "count(*) FILTER (NOT coalesce(contains(email, '@'), false))", "emp", "invalid emails"),
 ]
 _ORPHANS = _row(
     "fk_attendance→employees", "attendance", "employee_id", "critical", "all valid",
-    "count(*) FILTER (employee_id IS NULL OR employee_id NOT IN (SELECT employee_id FROM emp))", "att_raw",
+    "count(*) FILTER (employee_id IS NULL OR employee_id NOT IN (SELECT employee_id FROM emp))", "att_raw", "orphan records",
 )
 _SPIKES = _row(
     "daily_count_spikes", "attendance", "date", "info", "< mean+3σ",
     "count(*) FILTER (c > (SELECT avg(c) + 3 * stddev_samp(c) FROM (SELECT count(employee_id) AS c FROM att_raw GROUP BY date)))",
-    "(SELECT count(employee_id) AS c FROM att_raw GROUP BY date)",
+    "(SELECT count(employee_id) AS c FROM att_raw GROUP BY date)", "spike days",
 )
 _RATES = """(SELECT rate - lag(rate) OVER (ORDER BY month) AS change FROM
              (SELECT strftime(TRY_CAST(date AS DATE), '%Y-%m') AS month,
@@ -71,12 +74,13 @@ _RATES = """(SELECT rate - lag(rate) OVER (ORDER BY month) AS change FROM
 
 def _drops(source: str) -> str:
     return _row("attendance_rate_drop", "attendance", "status", "warning", "MoM drop < 15%",
-                "count(*) FILTER (change < -0.15)", _RATES.format(source=source))
+                "count(*) FILTER (change < -0.15)", _RATES.format(source=source), "months with >15% drop")
 
 
 def _outliers(source: str, factor: str = "3") -> str:
     return f"""SELECT 'hours_outliers' AS check_name, 'attendance' AS "table", 'hours_worked' AS "column",
-        n < 0.01 * total AS passed, 'warning' AS severity, '<1% outliers' AS expected, n AS row_count
+        n < 0.01 * total AS passed, 'warning' AS severity, '<1% outliers' AS expected,
+        printf('%d outliers (%.2f%%)', n, 100.0 * n / total) AS actual, n AS row_count
         FROM (SELECT count(*) FILTER (hours_worked < q1 - {factor} * (q3 - q1) OR hours_worked > q3 + {factor} * (q3 - q1)) AS n,
                      count(*) AS total
               FROM {source}, (SELECT quantile_cont(hours_worked, 0.25) AS q1, quantile_cont(hours_worked, 0.75) AS q3
@@ -88,7 +92,7 @@ def _all(parts: list[str]) -> str:
 
 
 @query("d02_column_exists", """SELECT 'column_exists:badge' AS check_name, 'attendance' AS "table", 'badge' AS "column",
-       false AS passed, 'critical' AS severity, 'exists' AS expected, 0 AS row_count
+       false AS passed, 'critical' AS severity, 'exists' AS expected, 'missing' AS actual, 0 AS row_count
        UNION ALL """ + _nulls("status", "attendance", "att_raw"))
 def d02(spark: SparkSession, d: str) -> DataFrame:
     return Q.ScanChecks(V.att_raw(spark, d), "attendance").complete(["badge", "status"]).results().select(*KEPT)
@@ -195,9 +199,9 @@ def d15(spark: SparkSession, d: str) -> DataFrame:
     "d16_domain_checks",
     _all([
         _row("status_domain", "attendance", "status", "critical", _SORTED,
-             f"count(*) FILTER (status IS NOT NULL AND status NOT IN ({_STATUSES}))", "att"),
+             f"count(*) FILTER (status IS NOT NULL AND status NOT IN ({_STATUSES}))", "att", "invalid"),
         _row("shift_domain", "attendance", "shift", "critical", "in [''Afternoon'', ''Morning'', ''Night'']",
-             "count(*) FILTER (shift NOT IN ('Morning', 'Afternoon', 'Night'))", "att"),
+             "count(*) FILTER (shift NOT IN ('Morning', 'Afternoon', 'Night'))", "att", "invalid"),
         _row("hours_not_negative", "attendance", "hours_worked", "critical", ">= 0",
              "count(*) FILTER (hours_worked < 0)", "att"),
         _row("overtime_not_negative", "attendance", "overtime_hours", "critical", ">= 0",
@@ -211,7 +215,7 @@ def d16(spark: SparkSession, d: str) -> DataFrame:
 def _reference(table: str, column: str, source: str, to: str, ref: str, key: str) -> str:
     return _row(
         f"fk_{table}→{to}:{column}", table, column, "critical", "all valid",
-        f"count(*) FILTER ({column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {ref}))", source,
+        f"count(*) FILTER ({column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {ref}))", source, "orphan records",
     )
 
 
