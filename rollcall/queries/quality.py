@@ -263,11 +263,19 @@ def d18(spark: SparkSession, d: str) -> DataFrame:
     return Q.profile(V.emp(spark, d).select(*_TYPES))
 
 
-_REPORT = """
-    SELECT 'null_check:status' AS "check", count(*) FILTER (status IS NULL) = 0 AS passed FROM att
-    UNION ALL SELECT 'null_check:employee_id', count(*) FILTER (employee_id IS NULL) = 0 FROM att
-    UNION ALL SELECT 'range_check:hours_worked[0,14]', count(*) FILTER (hours_worked < 0 OR hours_worked > 14) = 0 FROM att
-    UNION ALL SELECT 'fk_check:employee_id→employee_id', count(*) FILTER (employee_id NOT IN (SELECT employee_id FROM emp)) = 0 FROM att"""
+def _outcomes(checks: list[tuple[str, str, str]]) -> str:
+    """(check, violated condition, noun) of attendance rows as the rows of a validator's report."""
+    return _all([
+        f"""SELECT '{name}' AS "check", n = 0 AS passed, CASE WHEN n = 0 THEN '✓' ELSE n || ' {noun}' END AS detail
+            FROM (SELECT count(*) FILTER ({condition}) AS n FROM att)""" for name, condition, noun in checks])
+
+
+_REPORT = _outcomes([
+    ("null_check:status", "status IS NULL", "nulls found"),
+    ("null_check:employee_id", "employee_id IS NULL", "nulls found"),
+    ("range_check:hours_worked[0,14]", "hours_worked < 0 OR hours_worked > 14", "violations"),
+    ("fk_check:employee_id→employee_id", "employee_id NOT IN (SELECT employee_id FROM emp)", "orphan records"),
+])
 
 
 def _validator(spark: SparkSession, d: str) -> Q.Validator:
@@ -282,7 +290,7 @@ def _validator(spark: SparkSession, d: str) -> Q.Validator:
 
 @query("d19_validator_report", _REPORT)
 def d19(spark: SparkSession, d: str) -> DataFrame:
-    return _validator(spark, d).report().select("check", "passed")
+    return _validator(spark, d).report()
 
 
 @query(
@@ -319,6 +327,11 @@ def d22(spark: SparkSession, d: str) -> DataFrame:
     return document.select("generated_at", "summary.*", F.size("results").cast("bigint").alias("n_results"))
 
 
+@query("d22_report_entries", f"SELECT *, '2001-07-31T00:00:00' AS timestamp FROM ({_RUN_ALL})")
+def d22c(spark: SparkSession, d: str) -> DataFrame:
+    return Q.report_document(_run_all(spark, d), datetime(2001, 7, 31)).select(F.inline("results"))
+
+
 @query(
     "d22_failure_split",
     f"""SELECT count(*) AS total, count(*) FILTER (passed) AS passed,

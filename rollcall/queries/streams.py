@@ -11,7 +11,7 @@ from rollcall.queries.registry import query
 from rollcall.session import shared_path
 from rollcall.sources.kafka import parse_records, to_records
 from rollcall.streaming import events as E
-from rollcall.streaming import sinks, windows as T
+from rollcall.streaming import replay, sinks, windows as T
 
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -35,6 +35,31 @@ def _updated(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFra
     return log.read()
 
 
+SLICES = 6
+
+
+def _replayed(spark: SparkSession, d: str, held: int = 0) -> DataFrame:
+    """The events as a stream of ``SLICES`` micro-batches by time; of those that took a multiple of
+    seven seconds to arrive, each comes ``held`` micro-batches later (at the latest in the last)."""
+    events = V.ev(spark, d)
+    number = replay.time_slice(events, SLICES)
+    lag = F.floor((F.unix_micros("processing_time") - F.unix_micros("event_ts")) / 1_000_000)
+    late = F.least(number + F.when(lag % 7 == 0, held).otherwise(0), F.lit(SLICES - 1))
+    return replay.replayed(events, late, SLICES, f"{shared_path(spark, 'replay')}/in")
+
+
+# the same slices; a row is left out if its window had ended at the watermark of the micro-batch before the last one
+_SLICES = f"""
+    s AS (SELECT *, CAST(floor((epoch_us(event_ts) - lo) / ((hi - lo + 1) / {SLICES}.0)) AS INTEGER) AS slice,
+                 time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start
+          FROM ev, (SELECT min(epoch_us(event_ts)) AS lo, max(epoch_us(event_ts)) AS hi FROM ev) span),
+    b AS (SELECT *, least({SLICES - 1}, slice + CASE WHEN floor((epoch_us(processing_time) - epoch_us(event_ts)) / 1000000) % 7 = 0
+                                                THEN 2 ELSE 0 END) AS batch FROM s),
+    marks AS (SELECT n.batch, max(b.event_ts) - INTERVAL 10 MINUTE AS mark
+              FROM (SELECT DISTINCT batch FROM b) n JOIN b ON b.batch <= n.batch - 2 GROUP BY n.batch),
+    r AS (SELECT b.*, coalesce(window_start + INTERVAL 1 HOUR <= mark, false) AS late FROM b LEFT JOIN marks USING (batch))"""
+
+
 _PLAIN = ["event_id", "employee_id", "event_type", "timestamp", "department"]
 
 
@@ -75,6 +100,45 @@ def t02c(spark: SparkSession, d: str) -> DataFrame:
     return wall_time(_updated(spark, T.activity(_event_stream(spark, d)), keys), "window_start", "window_end")
 
 
+def _stored_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Sketches of five-minute windows as the stream stored them: the newest of each window."""
+    keys = ["window_start", "window_end", "department", "event_type"]
+    return _updated(spark, T.activity_sketches(_event_stream(spark, d)), keys)
+
+
+def _near(sketched: DataFrame, exact: DataFrame, keys: list[str]) -> DataFrame:
+    """Whether the sketched count is within five percent (or one) of the exact one, with the exact figures."""
+    off = F.abs(F.col("unique_employees") - F.col("employees"))
+    return exact.join(sketched, keys).select(
+        *keys, "event_count", "employees", (off <= F.greatest(0.05 * F.col("employees"), F.lit(1.0))).alias("within_five_percent"))
+
+
+@query(
+    "t02_sketched_windows_stream",
+    f"""SELECT window_start, window_end, department, event_type, event_count, unique_employees AS employees,
+               true AS within_five_percent FROM ({_EXACT})""",
+)
+def t02d(spark: SparkSession, d: str) -> DataFrame:
+    keys = ["window_start", "window_end", "department", "event_type"]
+    exact = T.activity_exact(V.ev(spark, d), delay=None).withColumnRenamed("unique_employees", "employees").drop("event_count")
+    estimates = _stored_sketches(spark, d).withColumn("unique_employees", F.hll_sketch_estimate("employees")).drop("employees")
+    return wall_time(_near(estimates, exact, keys), "window_start", "window_end")
+
+
+@query(
+    "t02_merged_days_stream",
+    """SELECT date_trunc('day', event_ts)::TIMESTAMP AS window_start, date_trunc('day', event_ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+              department, count(*) AS event_count, count(DISTINCT employee_id) AS employees, true AS within_five_percent
+       FROM ev GROUP BY ALL""",
+)
+def t02e(spark: SparkSession, d: str) -> DataFrame:
+    keys = ["window_start", "window_end", "department"]
+    merged = T.merge_sketches(_stored_sketches(spark, d), "1 day", ("department",))
+    exact = T.activity_exact(V.ev(spark, d).withColumn("event_type", F.lit("")), "1 day", None)
+    exact = exact.withColumnRenamed("unique_employees", "employees").drop("event_type", "event_count")
+    return wall_time(_near(merged, exact, keys), "window_start", "window_end")
+
+
 @query(
     "t03_department_counts_stream",
     """SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
@@ -189,12 +253,58 @@ def t10(spark: SparkSession, d: str) -> DataFrame:
     return wall_time(_appended(spark, counts), "window_start", "window_end")
 
 
+@query(
+    "t10_late_rows_stream",
+    f"""WITH {_SLICES}
+    SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, department, count(*) AS events FROM r WHERE NOT late
+    AND window_start + INTERVAL 1 HOUR <= (SELECT max(event_ts) - INTERVAL 10 MINUTE FROM ev) GROUP BY ALL""",
+)
+def t10b(spark: SparkSession, d: str) -> DataFrame:
+    counts = T.department_counts(_replayed(spark, d, held=2), "1 hour", "10 minutes")
+    return wall_time(_appended(spark, counts), "window_start", "window_end")
+
+
+@query(
+    "t10_replay_progress",
+    f"""WITH {_SLICES}
+    SELECT CAST(batch AS BIGINT) AS batch_id, count(*) AS rows_in,
+           count(DISTINCT (window_start, department)) FILTER (late) AS groups_late FROM r GROUP BY batch""",
+)
+def t10c(spark: SparkSession, d: str) -> DataFrame:
+    counts = T.department_counts(_replayed(spark, d, held=2), "1 hour", "10 minutes")
+    path = shared_path(spark, "stream")
+    done = sinks.finish(sinks.to_parquet(counts, f"{path}/data", f"{path}/checkpoint", interval=None))
+    return replay.progress(done).filter("rows_in > 0").select("batch_id", "rows_in", "groups_late")
+
+
+@query(
+    "t07_arrival_windows_stream",
+    """SELECT * FROM (SELECT time_bucket(INTERVAL 10 SECOND, processing_time) AS window_start,
+              time_bucket(INTERVAL 10 SECOND, processing_time) + INTERVAL 10 SECOND AS window_end,
+              department || ':' || event_type AS key, count(*) AS events FROM ev GROUP BY ALL)
+       WHERE window_end <= (SELECT max(processing_time) - INTERVAL 10 MINUTE FROM ev)""",
+)
+def t07b(spark: SparkSession, d: str) -> DataFrame:
+    counts = T.processing_time_counts(_replayed(spark, d), delay="10 minutes")
+    return wall_time(_appended(spark, counts), "window_start", "window_end")
+
+
 @query("t11_drop_repeats_stream", "SELECT event_id, employee_id, event_type FROM ev")
 def t11(spark: SparkSession, d: str) -> DataFrame:
     twice = _event_stream(spark, d).unionByName(_event_stream(spark, d))
     return _appended(spark, T.drop_repeats(twice).select("event_id", "employee_id", "event_type"))
 
 
+@query("t11_repeats_of_the_batch_before", "SELECT event_id, employee_id, event_type FROM ev")
+def t11b(spark: SparkSession, d: str) -> DataFrame:
+    events = V.ev(spark, d)
+    # every event comes again in the micro-batch after its own
+    number = replay.time_slice(events, SLICES)
+    twice = events.withColumn("at", number).unionByName(events.withColumn("at", number + 1))
+    stream = replay.replayed(twice, F.col("at"), SLICES + 1, f"{shared_path(spark, 'replay')}/in")
+    return _appended(spark, T.drop_repeats(stream).select("event_id", "employee_id", "event_type"))
+
+
 @query(
     "s19_upsert_events_stream",
     """SELECT event_id, employee_id, event_type, timestamp,

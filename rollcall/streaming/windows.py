@@ -31,6 +31,34 @@ def activity(
     )
 
 
+def activity_sketches(
+    events: DataFrame, width: str = "5 minutes", delay: str | None = "10 minutes", time: str = "event_ts", log2_size: int = 12
+) -> DataFrame:
+    """Events and a distinct-count sketch of the employees per window, department and type, to be stored.
+
+    Sketches of windows can be merged, which their counts cannot. One has at most
+    2**log2_size counters (a standard error of about 1.04 / 2**(log2_size / 2)), however
+    many employees there are. Null employees are not counted.
+    """
+    counted = _watermarked(events, time, delay).groupBy(F.window(time, width), "department", "event_type")
+    return _flat(counted.agg(
+        F.count(F.lit(1)).alias("event_count"), F.hll_sketch_agg("employee_id", log2_size).alias("employees")))
+
+
+def merge_sketches(sketches: DataFrame, width: str | None = None, keys: tuple[str, ...] = ("department", "event_type")) -> DataFrame:
+    """Events and distinct employees of longer windows, or of other groups, from stored sketches alone.
+
+    ``width`` has to be a multiple of the stored windows' width; None takes all
+    windows together. Keys left out are merged over.
+    """
+    groups = [F.col(k) for k in keys]
+    if width:
+        groups = [F.window("window_start", width), *groups]
+    merged = sketches.groupBy(*groups).agg(
+        F.sum("event_count").alias("event_count"), F.hll_sketch_estimate(F.hll_union_agg("employees")).alias("unique_employees"))
+    return _flat(merged) if width else merged
+
+
 def activity_exact(
     events: DataFrame, width: str = "5 minutes", delay: str | None = "10 minutes", time: str = "event_ts"
 ) -> DataFrame:
@@ -111,10 +139,15 @@ def sessions(
     return _flat(counted.agg(F.count(F.lit(1)).alias("events")))
 
 
-def processing_time_counts(events: DataFrame, seconds: int = 10, time: str = "processing_time") -> DataFrame:
-    """Events per window of arrival time and ``department:event_type``."""
+def processing_time_counts(
+    events: DataFrame, seconds: int = 10, time: str = "processing_time", delay: str | None = None
+) -> DataFrame:
+    """Events per window of arrival time and ``department:event_type``.
+
+    On a stream ``delay`` closes windows so long after their end, and their state goes.
+    """
     label: Column = F.concat_ws(":", "department", "event_type").alias("key")
-    counted = events.groupBy(F.window(time, f"{seconds} seconds"), label)
+    counted = _watermarked(events, time, delay).groupBy(F.window(time, f"{seconds} seconds"), label)
     return _flat(counted.agg(F.count(F.lit(1)).alias("events")))
 
 

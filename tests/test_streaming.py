@@ -11,7 +11,7 @@ from rollcall.schemas import EVENT
 from rollcall.session import shared_path
 from rollcall.sources.kafka import parse_records, to_records
 from rollcall.streaming import events as E
-from rollcall.streaming import sinks, windows as T
+from rollcall.streaming import replay, sinks, windows as T
 
 
 def event(i, when, who="E1", kind="CHECK_IN", dept="People"):
@@ -192,3 +192,58 @@ def test_keyed_layout_keeps_an_employee_in_one_task(spark):
     df = spark.createDataFrame([(f"E{i % 7}", i) for i in range(100)], "employee_id string, event_ts int").repartition(5)
     placed = E.keyed_layout(df, 3).withColumn("task", F.spark_partition_id())
     assert placed.groupBy("employee_id").agg(F.count_distinct("task").alias("n")).filter("n > 1").count() == 0
+
+
+def check_ins(spark, n, minutes=1):
+    """One check-in a minute from nine o'clock, arriving ten seconds later."""
+    start = datetime(2024, 1, 1, 9)
+    rows = [(f"ev{i}", f"E{i % 5}", "CHECK_IN", "People", start + timedelta(minutes=minutes * i),
+             start + timedelta(minutes=minutes * i, seconds=10)) for i in range(n)]
+    return spark.createDataFrame(
+        rows, "event_id string, employee_id string, event_type string, department string, event_ts timestamp, processing_time timestamp")
+
+
+def test_watermark_moves_over_replayed_batches(spark, tmp_path):
+    events = check_ins(spark, 60)
+    # six batches of ten minutes; minute 3 comes with the fourth, when its window has long been closed
+    number = F.when(F.col("event_id") == "ev3", 3).otherwise(replay.time_slice(events, 6))
+    stream = replay.replayed(events, number, 6, f"{tmp_path}/in")
+    counts = T.department_counts(stream, "5 minutes", "5 minutes")
+    done = sinks.finish(sinks.to_parquet(counts, f"{tmp_path}/out", f"{tmp_path}/checkpoint", interval=None))
+    got = {r.window_start.minute: r.events for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {0: 4, **dict.fromkeys(range(5, 50, 5), 5)}
+    steps = replay.progress(done).orderBy("batch_id").collect()
+    assert [r.rows_in for r in steps[:6]] == [9, 10, 10, 11, 10, 10] and [r.groups_late for r in steps[:6]] == [0, 0, 0, 1, 0, 0]
+
+
+def test_arrival_windows_keep_bounded_state(spark, tmp_path):
+    events = check_ins(spark, 400)
+    stream = replay.replayed(events, replay.time_slice(events, 20), 20, f"{tmp_path}/in")
+    counts = T.processing_time_counts(stream, delay="1 minute")
+    done = sinks.finish(sinks.to_parquet(counts, f"{tmp_path}/out", f"{tmp_path}/checkpoint", interval=None))
+    steps = replay.progress(done).filter("rows_in > 0").collect()
+    assert len(steps) == 20 and max(r.groups_held for r in steps) <= 42  # two batches of twenty windows
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 398
+
+
+def test_slices_of_nothing_and_of_rows_without_a_time(spark, tmp_path):
+    none = check_ins(spark, 5).limit(0)
+    stream = replay.replayed(none, replay.time_slice(none, 3), 3, f"{tmp_path}/none")
+    done = sinks.finish(sinks.to_parquet(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", interval=None))
+    assert replay.progress(done).filter("rows_in > 0").count() == 0
+    timeless = check_ins(spark, 5).unionByName(check_ins(spark, 1).withColumn("event_ts", F.lit(None).cast("timestamp")))
+    with pytest.raises(Exception, match="belongs to no slice"):
+        replay.write_slices(timeless, replay.time_slice(timeless, 3), 3, f"{tmp_path}/timeless")
+
+
+def test_sketches_merge_to_longer_windows(spark):
+    events = check_ins(spark, 120).unionByName(check_ins(spark, 120).withColumn("event_type", F.lit("CHECK_OUT")))
+    stored = T.activity_sketches(events, delay=None)
+    hours = T.merge_sketches(stored, "1 hour", ("department",)).collect()
+    assert sorted((r.window_start.hour, r.event_count, r.unique_employees) for r in hours) == [(9, 120, 5), (10, 120, 5)]
+    assert [tuple(r) for r in T.merge_sketches(stored, None, ()).collect()] == [(240, 5)]
+    many = spark.range(50_000).selectExpr(
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, id % 1440) AS event_ts", "cast(id % 20000 AS string) AS employee_id",
+        "'A' AS event_type", "'People' AS department")
+    day = T.merge_sketches(T.activity_sketches(many, delay=None), "1 day").first()
+    assert day.event_count == 50_000 and abs(day.unique_employees - 20_000) < 1_000
