@@ -8,5 +8,5 @@ __all__ = ["QUERIES", "REFERENCE_SQL", "load_all"]
 def load_all() -> None:
     """Import every module that registers queries."""
     from rollcall.queries import (  # noqa: F401
-        aggregates, modelling, quality, relational, scalars, statistics, storage, streams, windows,
+        aggregates, modelling, plan_outputs, quality, relational, scalars, statistics, storage, streams, windows,
     )
