@@ -110,12 +110,26 @@ def above_average_overtime(emp: DataFrame, att: DataFrame) -> DataFrame:
     )
 
 
-def absent_while_manager_present(emp: DataFrame, att: DataFrame) -> DataFrame:
+def staff_blocks(managers: DataFrame, staff: int) -> DataFrame:
+    """(manager_id, blocks) of managers of more than ``staff`` employees: about ``staff`` of them a block.
+
+    At most employees / ``staff`` rows, from counts combined before they move.
+    """
+    size = F.count(F.lit(1))
+    large = managers.groupBy("manager_id").agg(size.alias("_size")).filter(F.col("_size") > staff)
+    return large.select("manager_id", F.ceil(F.col("_size") / staff).cast("int").alias("_blocks"))
+
+
+def absent_while_manager_present(emp: DataFrame, att: DataFrame, staff: int = 20_000) -> DataFrame:
     """(employee, date, manager) where the employee is absent and the manager present.
 
     There is one record per employee and date in sound data. Where there are more,
     ``matches`` tells how many pairs of records stand behind the row, instead of
     listing every pair: both sides are counted per employee and date first.
+
+    A manager of more than ``staff`` employees would bring all of them together on
+    each date. Such staff are dealt over blocks by a digest of the employee, and
+    only those managers' own days, one row each, are repeated per block.
     """
     absent = (
         att.filter(F.col("status") == "Absent")
@@ -125,14 +139,21 @@ def absent_while_manager_present(emp: DataFrame, att: DataFrame) -> DataFrame:
     managers = emp.filter(F.col("manager_id").isNotNull()).select(
         F.col("employee_id").alias("emp_id"), "manager_id"
     )
+    blocks = staff_blocks(managers, staff)
+    split = F.coalesce("_blocks", F.lit(1))
+    dealt = managers.join(blocks, "manager_id", "left").select(
+        "emp_id", "manager_id", F.pmod(F.xxhash64("emp_id"), split).cast("int").alias("_block")
+    )
     present = (
         att.filter(F.col("status") == "Present")
         .groupBy(F.col("employee_id").alias("manager_id"), "date")
         .agg(F.count(F.lit(1)).alias("_present"))
+        .join(blocks, "manager_id", "left")
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), split - 1)))
     )
     return (
-        absent.join(managers, "emp_id")
-        .join(present, ["manager_id", "date"])
+        absent.join(dealt, "emp_id")
+        .join(present, ["manager_id", "date", "_block"])
         .select(
             "emp_id",
             "date",

@@ -24,7 +24,7 @@ INGEST_ORDER = ["departments", "employees", "attendance", "leaves"]
 @dataclass
 class IngestResult:
     table: str
-    status: str  # loaded, missing, rejected, failed
+    status: str  # loaded, empty, missing, rejected, failed
     rows: int
     seconds: float
     detail: str = ""
@@ -44,15 +44,18 @@ def ingest_table(df: DataFrame, table: str, mode: str = "overwrite", path: str |
     try:
         write_table(clean, table, mode, path)
     except PySparkException as error:
-        return IngestResult(table, "failed", 0, time.perf_counter() - started, str(error)[:200])
+        return IngestResult(table, "failed", 0, time.perf_counter() - started, str(error))
     return IngestResult(table, "loaded", seen.get["rows"], time.perf_counter() - started)
 
 
 def ingest_file(
     spark: SparkSession, csv_path: str, table: str, mode: str = "overwrite", path: str | None = None
 ) -> IngestResult:
+    """Ingest one CSV file. A missing one, or one without rows, leaves what is stored as it is and is not counted as processed."""
     if not path_exists(spark, csv_path):
         return IngestResult(table, "missing", 0, 0.0, csv_path)
+    if spark.read.option("header", True).csv(csv_path).isEmpty():
+        return IngestResult(table, "empty", 0, 0.0, csv_path)
     # the header decides which columns there are; the declared types are used for those known
     header = spark.read.option("header", True).csv(csv_path).columns
     declared = {f.name: f for f in TABLES[table].fields} if table in TABLES else {}

@@ -275,6 +275,25 @@ def g04(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_CELLS = ["attendance_id", "employee_id", "date", "day_of_week", "shift", "status", "check_in", "check_out",
+          "hours_worked", "overtime_hours", "department", "location", "notes"]
+
+
+@query(
+    "g04_gate_decision",
+    f"""SELECT CASE WHEN null_rate > 0.3::DOUBLE THEN 'failed' WHEN null_rate < 0.1::DOUBLE THEN 'loaded' ELSE 'alert' END AS status,
+               row_count, round(null_rate, 6) AS null_rate
+        FROM (SELECT count(*) AS row_count, CAST({len(_CELLS)} * count(*) - {" - ".join(f"count({c})" for c in _CELLS)} AS DOUBLE)
+                     / (count(*) * {len(_CELLS)}) AS null_rate FROM att_raw)""",
+)
+def g04_gate(spark: SparkSession, d: str) -> DataFrame:
+    # the whole table, with the column that is mostly empty
+    outcome = daily_run(V.att_raw(spark, d), V.emp(spark, d), AS_OF, shared_path(spark, "daily"))
+    return spark.range(1).select(
+        F.lit(outcome.status).alias("status"), F.lit(outcome.row_count).cast("bigint").alias("row_count"),
+        F.round(F.lit(outcome.null_rate), 6).alias("null_rate"))
+
+
 @query(
     "g05_star_schema_load",
     f"""SELECT 'dim_date' AS "table", count(*) AS "rows" FROM ({_DIM_DATE}) UNION ALL SELECT 'dim_employee', count(*) FROM emp

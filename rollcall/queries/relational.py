@@ -241,6 +241,24 @@ def j05(spark: SparkSession, d: str) -> DataFrame:
     return R.absent_while_manager_present(V.emp(spark, d), V.att_ev(spark, d))
 
 
+_ONE_MANAGER = "(SELECT min(employee_id) FROM emp)"
+
+
+@query(
+    "j05_one_manager_for_a_third",
+    _MANAGER_SQL.replace("FROM emp staff,", f"""FROM (
+        SELECT * REPLACE (CASE WHEN salary < (SELECT quantile_disc(salary, 0.34) FROM emp) THEN {_ONE_MANAGER} ELSE manager_id END AS manager_id)
+        FROM emp) staff,"""),
+)
+def j05_hot(spark: SparkSession, d: str) -> DataFrame:
+    # a third of the staff under one manager, dealt over blocks of 50
+    emp = V.emp(spark, d)
+    first = emp.agg(F.min("employee_id")).scalar()
+    low = emp.agg(F.expr("percentile_disc(0.34) WITHIN GROUP (ORDER BY salary)")).scalar()
+    led = emp.withColumn("manager_id", F.when(F.col("salary") < low, first).otherwise(F.col("manager_id")))
+    return R.absent_while_manager_present(led, V.att_ev(spark, d), staff=50)
+
+
 @query(
     "j06_orphans",
     """SELECT attendance_id, employee_id FROM att_raw

@@ -368,6 +368,22 @@ def t14(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "t14_keyed_layout",
+    "SELECT employee_id, 1 AS tasks, true AS in_order, count(*) AS events FROM ev GROUP BY employee_id",
+)
+def t14_layout(spark: SparkSession, d: str) -> DataFrame:
+    # the layout itself: a key lies in one task, and every event after the key's one before
+    laid = E.keyed_layout(V.ev(spark, d).select("event_id", "employee_id", "event_ts"), 3)
+    placed = laid.withColumns({"task": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
+    by_place, by_time = F.struct("place", "event_ts"), F.struct("event_ts", "place")
+    first = F.min(by_place)["event_ts"].eqNullSafe(F.min(by_time)["event_ts"])
+    last = F.max(by_place)["event_ts"].eqNullSafe(F.max(by_time)["event_ts"])
+    return placed.groupBy("employee_id").agg(
+        F.count_distinct("task").cast("int").alias("tasks"), (first & last).alias("in_order"), rows().alias("events")
+    )
+
+
 @query("t15_event_types", "SELECT event_type, count(*) AS count FROM ev GROUP BY event_type")
 def t15(spark: SparkSession, d: str) -> DataFrame:
     return value_counts(V.ev(spark, d), "event_type", by_name=True)

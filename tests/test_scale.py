@@ -1,6 +1,7 @@
 """The split paths give the results of the plain ones, whatever one key holds."""
 
 import random
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import numpy as np
@@ -218,3 +219,23 @@ def test_absent_while_manager_present_counts_pairs(spark):
         "employee_id int, date date, status string",
     )
     assert rows_of(R.absent_while_manager_present(emp, att)) == [(2, day, 1, "Present", 2)]
+
+
+def test_hot_manager_is_dealt_over_blocks(spark):
+    """Manager 1 leads 60 of 90 people, 2 one person, 3 nobody; one record pair may be several."""
+    rng = random.Random(8)
+    people = [(1, None), (2, 1), (3, 2), *[(i, 1) for i in range(4, 63)], *[(i, i - 1) for i in range(63, 91)], (91, None)]
+    days = [date(2024, 1, d) for d in range(1, 6)]
+    records = [(who, day, rng.choice(["Absent", "Present", "Late", None])) for who, _ in people for day in days for _ in range(rng.randint(0, 3))]
+    records += [(None, days[0], "Absent"), (1, None, "Present"), (4, None, "Absent")]
+    emp = spark.createDataFrame(people, "employee_id int, manager_id int")
+    att = spark.createDataFrame(records, "employee_id int, date date, status string")
+    pairs = Counter(
+        (who, day, boss, "Present") for who, boss in people if boss is not None for day in days
+        for e, d, s in records if (e, d, s) == (who, day, "Absent")
+        for m, k, t in records if (m, k, t) == (boss, day, "Present"))
+    want = sorted((*k, n) for k, n in pairs.items())
+    dealt, plain = (sorted(rows_of(R.absent_while_manager_present(emp, att, staff=n))) for n in (4, 20_000))
+    assert want and dealt == want == plain
+    led = emp.filter("manager_id is not null").withColumnRenamed("employee_id", "emp_id")
+    assert rows_of(R.staff_blocks(led, 4)) == [(1, 15)]

@@ -181,6 +181,15 @@ class TestJobs:
         assert (result.status, result.rows) == ("loaded", 2)
         assert spark.table(name).filter("b = 'y'").first().a is None
 
+    def test_empty_file_is_not_processed(self, spark, name, tmp_path):
+        spark.range(2).write.saveAsTable(name)
+        for i, content in enumerate(("", "attendance_id,employee_id,date,status\n")):
+            path = tmp_path / f"{i}.csv"
+            path.write_text(content)
+            result = batch.ingest_file(spark, str(path), name)
+            assert (result.status, result.rows) == ("empty", 0) and spark.table(name).count() == 2
+            assert batch.ingest_report(spark, [result]).first().files_processed == 0
+
     def test_merge_and_summarize(self, spark, folder, tmp_path):
         out = batch.merge_and_summarize(spark, folder, str(tmp_path / "out"))
         assert out["enriched"].count() == 12 and out["summary"].count() == 12
