@@ -2,7 +2,7 @@
 
 from rollcall.llm.centroid_clusters import CLUSTERS, DIM, ROUNDS, SALT, SCALE
 from rollcall.llm.filter_audit import FILTERS
-from rollcall.llm.license_scan import TEMPLATES, THRESHOLD, template_bigrams
+from rollcall.llm.license_scan import TEMPLATES, THRESHOLD, template_bigrams, template_words
 from rollcall.llm.quality_rules import STOP_WORDS
 
 
@@ -49,10 +49,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-_TEMPLATE_ROWS = ", ".join(f"('{k}', {_list(template_bigrams(t))})" for k, t in sorted(TEMPLATES.items()))
+_TEMPLATE_ROWS = ", ".join(f"('{k}', {_list(template_bigrams(t))}, {len(template_words(t)) - 1})" for k, t in sorted(TEMPLATES.items()))
 
 LICENSE_SCAN = f"""
-WITH t(k, g) AS (VALUES {_TEMPLATE_ROWS}),
+WITH t(k, g, size) AS (VALUES {_TEMPLATE_ROWS}),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 u AS (
   SELECT r, unnest(string_split(text, chr(10))) AS u FROM d
@@ -62,9 +62,21 @@ g AS (SELECT r, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] ||
 s AS (
   SELECT r, k, 2.0::DOUBLE * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS d
   FROM g JOIN t ON len(g.g) BETWEEN len(t.g) * {THRESHOLD} / {2 - THRESHOLD} - 1e-9 AND len(t.g) * {2 - THRESHOLD} / {THRESHOLD} + 1e-9),
-m AS (SELECT r, count(*) AS n, max(d) AS d FROM s WHERE d >= {THRESHOLD}::DOUBLE GROUP BY r),
-b AS (SELECT m.r, m.n, m.d, min(k) AS k FROM m JOIN s ON s.r = m.r AND s.d = m.d GROUP BY ALL)
-SELECT doc_id, coalesce(n, 0) AS n_matches, k AS license, d AS dice FROM d LEFT JOIN b USING (r)
+m AS (SELECT r, count(*) AS n FROM s WHERE d >= {THRESHOLD}::DOUBLE GROUP BY r),
+x AS MATERIALIZED (
+  SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS b
+  FROM (SELECT r, string_split(lower(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g'))), ' ') AS w FROM d) WHERE len(w) >= 2),
+p AS (SELECT r, unnest(b) AS word, generate_subscripts(b, 1) AS i FROM x),
+h AS (SELECT DISTINCT r, k, unnest(range(i - size + 1, i + 1)) AS i FROM p JOIN (SELECT k, size, unnest(g) AS word FROM t) USING (word)),
+v AS (
+  SELECT r, k, t.g, list_distinct(b[i:i + size - 1]) AS b FROM h JOIN x USING (r) JOIN t USING (k) WHERE i >= 1 AND i + size - 1 <= len(b)),
+a AS (
+  SELECT r, k, d FROM s UNION ALL
+  SELECT r, k, 2.0::DOUBLE * len(list_intersect(b, g)) / (len(b) + len(g)) FROM v),
+f AS (SELECT r, k, max(d) AS d FROM a WHERE d >= {THRESHOLD}::DOUBLE GROUP BY r, k),
+b AS (SELECT r, count(*) AS n_templates, max(d) AS d, arg_min(k, (-d, k)) AS k FROM f GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(n_templates, 0) AS n_templates, k AS license, d AS dice
+FROM d LEFT JOIN m USING (r) LEFT JOIN b USING (r)
 """
 
 

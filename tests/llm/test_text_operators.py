@@ -145,6 +145,58 @@ def test_license_scan(spark, none):
     assert license_scan.license_scan(none).count() == 0
 
 
+def license_of(text, templates, t=0.8):
+    """(matches of lines and the whole text, templates reached, best, its coefficient) by all windows."""
+    def dice(w, b):
+        g = set(zip(w, w[1:]))
+        return 2.0 * len(g & b) / (len(g) + len(b)) if g else 0.0
+
+    norm = lambda x: re.sub("[^A-Za-z0-9]+", " ", x).strip().lower().split()
+    lines = (text or "").split("\n")
+    units, whole = [norm(u) for u in lines + ([text] if len(lines) > 1 else [])], norm(text or "")
+    found, n = [], 0
+    for k, template in templates.items():
+        w = norm(template)
+        b = set(zip(w, w[1:]))
+        reached = [d for d in (dice(u, b) for u in units) if d >= t]
+        n += len(reached)
+        reached += [d for d in (dice(whole[i:i + len(w)], b) for i in range(len(whole) - len(w) + 1)) if d >= t]
+        if reached:
+            found.append((-max(reached), k))
+    return n, len(found), min(found)[1] if found else None, -min(found)[0] if found else None
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+
+
+def test_license_windows_of_whole_texts(spark):
+    """Wrapped and unwrapped licence texts, notices within longer lines, altered, cut and repeated ones, very long texts."""
+    r = random.Random(9)
+    notices = list(license_scan.TEMPLATES.values())
+    filler = "the of license software under a public and permission version rights to in".split()
+    texts = [MIT, MIT.replace("\n", " "), "Copyright 2020 Acme. All rights reserved.", None, "", "one", "all rights", "all rights rights reserved",
+             "This software is released under the MIT License, see LICENSE.txt"]
+    for _ in range(60):
+        words = r.choice(notices).split()
+        for _ in range(r.randint(0, 4)):  # words changed, doubled or left out
+            i = r.randrange(len(words))
+            words[i:i + 1] = r.choice([["x"], [words[i]] * 2, []]) or (["y"] if len(words) < 3 else [])
+        around = [r.choice(filler) for _ in range(r.randint(0, 40))]
+        at = r.randint(0, len(around))
+        texts.append("".join(w + r.choice([" ", " ", "\n", ", "]) for w in around[:at] + words + around[at:]))
+    texts.append(" ".join(r.choice(filler) for _ in range(30_000)) + "\n" + MIT)
+    got = {x.doc_id: (x.n_matches, x.n_templates, x.license, x.dice)
+           for x in license_scan.license_scan(made(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: license_of(t, license_scan.TEMPLATES) for i, t in enumerate(texts)}
+    assert [got[i][2] for i in (0, 1, 2, 8, len(texts) - 1)] == ["MIT-text", "MIT-text", "Proprietary", "MIT", "MIT-text"]
+    assert {x.license for x in license_scan.license_scan(made(spark, [(1, MIT, "a")]), {"none": "word"}).collect()} == {None}
+
+
 def fingerprint(text):
     w = [x.encode().lower() for x in words_of(text)]
     h = [xxhash.xxh64_intdigest(b" ".join(w[i:i + 3]), 42) for i in range(max(1, len(w) - 2))] if w else []
