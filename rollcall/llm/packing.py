@@ -21,7 +21,7 @@ from rollcall.llm.text import need
 
 CAPACITY = 2048
 END = 0  # id after every document
-ROUNDS = 400  # configurations priced at most; what is left then goes by best fit
+ROUNDS = 96  # knapsacks solved at most; what is left then goes by best fit
 _WORDS, _PARTS = 150_000, 100_000  # words kept with their ids by a worker: a cache, no part of the result
 _CHUNK = 1 << 20
 
@@ -131,57 +131,77 @@ def cheapest(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, last
 
 
-def _configuration(left: np.ndarray, value: np.ndarray) -> Counter:
-    """The most valuable filling of one sequence, of lengths of which pieces are left."""
-    best, last = cheapest(value)
-    used: Counter = Counter()
-    c = len(value) - 1
-    while c > 0:
-        n = int(last[c])
-        if n == -1:
-            c -= 1
-            continue
-        if used[n] >= left[n]:  # all of it is in use here: the best of the others
-            total = best[c - 1::-1] + value[1:c + 1]
-            for k, v in used.items():
-                if v >= left[k] and k <= c:
-                    total[k - 1] = -np.inf
-            n = c - int(total[::-1].argmax())
-            if total[n - 1] == -np.inf:
-                break
-        used[n] += 1
-        c -= n
-    return used
-
-
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = 0.5) -> Counter:
+def _fillings(last: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most valuable configuration around a piece of each length: (row of ``lengths``, length, pieces of it), by row."""
+    capacity = len(last) - 1
+    room, at = capacity - lengths, np.arange(len(lengths))
+    rows, put = [at], [lengths]
+    while len(at := at[room[at] > 0]):
+        n = last[room[at]]
+        rows.append(at[n > 0])
+        put.append(n[n > 0])
+        room[at] -= np.abs(n)  # -1: one place stays free
+    kinds, pieces = np.unique(np.concatenate(rows) * (capacity + 1) + np.concatenate(put), return_counts=True)
+    return kinds // (capacity + 1), kinds % (capacity + 1), pieces
+
+
+def fractional(demand: np.ndarray, rounds: int, eta: float = 2.0, steps: int = 8) -> dict[tuple, float]:
+    """A fractional solution: configurations ((lengths), (pieces of each)) with how often each is used.
+
+    Each length has a weight, at first its share of the capacity. A round prices
+    configurations by one knapsack over the weights, the best around every length
+    still in demand, and uses each as far as no length is used beyond its demand,
+    in some steps that share what is left; then weights shrink by exp(-eta * the
+    part of the demand met), so that lengths in arrears rise.
+    """
+    capacity = len(demand) - 1
+    left, weight = demand.astype(float), np.arange(capacity + 1) / capacity
+    solution: dict[tuple, float] = {}
+    for _ in range(rounds):
+        live = np.nonzero(left > 1e-3 * demand)[0]
+        if not len(live):
+            break
+        value = np.full(capacity + 1, -np.inf)
+        value[live] = weight[live]
+        row, length, pieces = _fillings(cheapest(value)[1], live)
+        times, before = np.zeros(len(live)), left.copy()
+        for _ in range(steps):
+            wish = np.full(len(live), np.inf)
+            np.minimum.at(wish, row, left[length] / pieces)
+            use = np.bincount(length, pieces * wish[row], capacity + 1)
+            part = np.ones(len(live))
+            np.minimum.at(part, row, left[length] / np.maximum(use[length], 1e-300))
+            times += wish * part
+            left = np.maximum(left - np.bincount(length, pieces * (wish * part)[row], capacity + 1), 0)
+        weight *= np.exp(-eta * (before - left) / np.maximum(demand, 1))
+        start = np.searchsorted(row, np.arange(len(live) + 1))
+        for i in np.nonzero(times)[0]:
+            key = tuple(length[start[i]:start[i + 1]].tolist()), tuple(pieces[start[i]:start[i + 1]].tolist())
+            solution[key] = solution.get(key, 0.0) + times[i]
+    return solution
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Counter:
     """Configurations (sorted lengths of one sequence) with their numbers, covering the histogram.
 
     The linear program: fewest sequences such that configurations hold every
-    length as often as it occurs. Each length has a weight, at first its share of
-    the capacity; the knapsack over these prices the best configuration; its
-    lengths' weights then shrink by exp(-eta * the part of their demand it has
-    met), so that lengths in arrears rise. A configuration is used for up to half
-    of the demand it meets, in whole sequences, so the rounded solution is built
-    as the weights move; what is left after the last round goes by best fit.
+    length as often as it occurs. Its ``fractional`` solution is rounded down, then
+    up, largest fractions first, as far as the demand reaches; pieces that neither
+    takes, and those the rounds did not reach, go by best fit.
     """
-    need_of, left = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    done: Counter = Counter()
+    demand = np.zeros(capacity + 1, np.int64)
     for n, k in histogram.items():
-        if n == capacity:
-            done[(n,)] += k
-        else:
-            need_of[n] = left[n] = k
-    weight = np.arange(capacity + 1) / capacity
-    for _ in range(rounds):
-        if not left.any():
-            return done
-        use = _configuration(left, np.where(left > 0, weight, -np.inf))
-        times = max(1, min(min(int(left[n]) // k, int(need_of[n] / (2 * k)) or 1) for n, k in use.items()))
-        done[tuple(sorted(use.elements()))] += times
-        for n, k in use.items():
-            left[n] -= k * times
-            weight[n] *= np.exp(-eta * k * times / need_of[n])
+        demand[n] = k
+    left, done = demand.copy(), Counter()
+    solution = fractional(demand, rounds)
+    for up in (False, True):
+        for (lengths, pieces), times in sorted(solution.items(), key=lambda s: (-(s[1] % 1), s[0])):
+            most = min(int(left[n]) // k for n, k in zip(lengths, pieces))
+            whole = min(most, int(times % 1 > 0) if up else int(times))
+            if whole:
+                done[tuple(n for n, k in zip(lengths, pieces) for _ in range(k))] += whole
+                for n, k in zip(lengths, pieces):
+                    left[n] -= k * whole
     return done + best_fit({int(n): int(left[n]) for n in np.nonzero(left)[0]}, capacity)
 
 
@@ -230,7 +250,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     A null or empty text is the end id alone; a null doc_id is passed on; repeated
     rows are packed each. Other columns are not read; no rows give no rows. The
     driver sees one count per length, at most ``capacity`` of them, and sends back
-    the plan, at most a few rows per round. A piece's rank among those of its
+    the plan, in each round at most one configuration per length. A piece's rank among those of its
     length is its place within its task plus the counts of the tasks before, so no
     length is sorted or gathered anywhere, however common.
     """

@@ -433,6 +433,30 @@ def test_plan_covers_the_histogram(rounds):
     assert used == histogram
 
 
+@pytest.mark.parametrize("total", [3_000, 20_000_000])
+def test_plan_comes_from_the_fractional_solution(total):
+    """Never beyond the demand, full configurations for most pieces' tokens, and a plan near the bound of whole sequences."""
+    n = np.arange(1, 2049)
+    share = np.exp(-(np.log(n) - 5.8) ** 2 / 1.6) / n
+    demand = np.concatenate([[0], np.random.default_rng(5).multinomial(total, share / share.sum())])
+    solution = packing.fractional(demand, packing.ROUNDS)
+    used = np.zeros(2049)
+    for (lengths, pieces), times in solution.items():
+        assert times > 0 and sum(a * b for a, b in zip(lengths, pieces)) <= 2048
+        for a, b in zip(lengths, pieces):
+            used[a] += b * times
+    assert (used <= demand * (1 + 1e-9)).all()
+    tokens = (demand * np.arange(2049)).sum()
+    assert (used * np.arange(2049)).sum() > 0.6 * tokens
+    plan = packing.plan({i: int(k) for i, k in enumerate(demand) if k})
+    covered = Counter()
+    for lengths, times in plan.items():
+        for a in lengths:
+            covered[a] += times
+    assert covered == {i: k for i, k in enumerate(demand) if k}
+    assert sum(plan.values()) <= 1.001 * tokens / 2048 + 2
+
+
 def test_warc_round_trip(spark, tmp_path):
     importable(spark)
     long = "ü" * 70_000
