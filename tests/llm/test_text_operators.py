@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -134,6 +135,85 @@ def test_sparse_paths_shrink_towards_their_host(spark):
     assert got["g", "big"].path_posterior < 0.3 and (None, None) in got
 
 
+def features_of(text):
+    text = text or ""
+    w, lines = words_of(text), [x for x in text.split("\n") if words_of(x)]
+    n = max(len(w), 1)
+    return (np.log(n), sum(map(len, w)) / n, min(len(re.findall("[#*$%&|<>!]", text)) / n, 1.0),
+            sum(unicodedata.category(c) == "Lu" for c in text) / max(len(text), 1), len(set(w)) / n,
+            (len(lines) - len(set(lines))) / max(len(lines), 1))
+
+
+def strength_of(groups):
+    """Prior strength of (total, number, mean) by moments."""
+    n = sum(g[1] for g in groups)
+    noise = [m * (1 - m) for _, _, m in groups]
+    spread = max(0.0, (sum(k * (t / k - m) ** 2 for t, k, m in groups) - sum(noise)) / n)
+    return min(1e6, max(1.0, np.mean(noise) / spread if spread else 1e6))
+
+
+def posteriors_of(rows, labels):
+    """(evidence, host, path, posterior) of every row, by sums over all rows and a fit by plain gradient steps."""
+    quality, texts = {}, {}
+    for d, q in labels:
+        if d is not None and q in (0, 1):
+            quality[d] = min(q, quality.get(d, 1))
+    for d, t, _, _ in rows:
+        if d in quality:
+            texts[d] = min(features_of(t), texts.get(d, (np.inf,)))
+    x, y = np.array(list(texts.values())), np.array([quality[d] for d in texts], float)
+    centre, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
+    z = np.hstack([(x - centre) / scale, np.ones((len(x), 1))])
+    w, ridge = np.zeros(z.shape[1]), np.array([1.0] * x.shape[1] + [1e-6])
+    for _ in range(60_000):
+        w += 0.5 * (z.T @ (y - 1 / (1 + np.exp(-z @ w))) - ridge * w) / len(y)
+    prior = (y.sum() + 1) / (len(y) + 2)
+    base = np.log(prior / (1 - prior))
+    evidence = [np.clip((np.array(features_of(t)) - centre) / scale @ w[:-1] + w[-1], -30, 30) - base for _, t, _, _ in rows]
+    p = [1 / (1 + np.exp(-(e + base))) for e in evidence]
+    mu = np.clip(np.mean(p), 1e-4, 1 - 1e-4)
+    hosts, paths = {}, {}
+    for (_, _, host, path), q in zip(rows, p):
+        for table, key in ((hosts, host), (paths, (host, path))):
+            table.setdefault(key, []).append(q)
+    k = strength_of([(sum(v), len(v), mu) for v in hosts.values()])
+    hosts = {h: (sum(v) + k * mu) / (len(v) + k) for h, v in hosts.items()}
+    k = strength_of([(sum(v), len(v), hosts[h]) for (h, _), v in paths.items()])
+    paths = {hp: (sum(v) + k * hosts[hp[0]]) / (len(v) + k) for hp, v in paths.items()}
+    out = []
+    for (_, _, host, path), e in zip(rows, evidence):
+        at = np.clip(paths[host, path], 1e-4, 1 - 1e-4)
+        out.append((e, hosts[host], paths[host, path], 1 / (1 + np.exp(-(e + np.log(at / (1 - at)))))))
+    return out
+
+
+def test_classifier_by_plain_sums(spark):
+    """Every figure of every row: repeated rows, one id with two texts or two labels, null and empty cells, a very long text."""
+    r = random.Random(12)
+    rows, labels = [], []
+    for i in range(160):
+        bad = r.random() < 0.4
+        w = [r.choice(["alpha", "Beta", "ÉTÉ", "x1", "gamma"]) + ("!!#" if bad and r.random() < 0.6 else "") for _ in range(r.randint(1, 60))]
+        rows.append((i, r.choice([" ", "\n"]).join(w), r.choice(["a", "a", "a", "b", "c", None]), r.choice(["en", "de", None])))
+        if i % 2:
+            labels.append((i, int(bad != (r.random() < 0.1)) ^ 1))
+    rows += [rows[3], rows[3], (5, "another text of five", "b", "en"), (None, None, None, None), (None, "no id", "a", "en"), (500, "", "only", "en")]
+    rows.append((501, "Very long text! " * 40_000, "b", "de"))
+    labels += [(7, 0), (7, 1), (None, 1), (9, None), (9999, 1), labels[0]]
+    table = spark.createDataFrame([(d, q, "x") for d, q in labels], "doc_id long, quality int, kept string")
+    docs = spark.createDataFrame([(*x, 1, n) for n, x in enumerate(rows)], "doc_id long, text string, source string, lang string, evidence int, n int")
+    for keep in (True, False):
+        got = {x.n: x for x in quality_classifier.classify(docs, table, keep_text=keep).collect()}
+        want = posteriors_of(rows, labels)
+        assert len(got) == len(rows) == len(want)
+        for n, figures in enumerate(want):
+            x = got[n]
+            assert (x.evidence, x.host_posterior, x.path_posterior, x.posterior) == pytest.approx(figures, rel=1e-6, abs=1e-6)
+            assert abs(figures[3] - 0.5) < 1e-5 or x.kept == (figures[3] >= 0.5)
+    # without labels every posterior equals the threshold, and is kept
+    assert {(x.posterior, x.kept) for x in quality_classifier.classify(docs, table.limit(0)).collect()} == {(0.5, True)}
+
+
 def test_license_scan(spark, none):
     texts = ["Intro.\nLicensed under CC BY-NC 4.0.\nmore", "released   under the MIT license", "ALL RIGHTS RESERVED", None, "",
              "Licensed under the Apache License, Version 2.0, see file", "nothing here", "All rights reserved.\nReleased under the MIT License."]
