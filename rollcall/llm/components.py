@@ -40,6 +40,22 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[moved], ids[label[moved]]
 
 
+def shortest_forest(a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of the links of a shortest spanning forest: some of the links (a[i], b[i]), with the same components."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a):]
+    label, open_, taken = np.arange(len(ids)), np.lexsort((y, x, length)), [np.empty(0, np.int64)]
+    while len(open_ := open_[label[x[open_]] != label[y[open_]]]):
+        p, q = label[x[open_]], label[y[open_]]
+        best = np.full(len(ids), len(open_))  # the first open link of each component; places break ties, so no circle arises
+        np.minimum.at(best, p, np.arange(len(open_)))
+        np.minimum.at(best, q, np.arange(len(open_)))
+        first = np.unique(best[best < len(open_)])
+        taken.append(open_[first])
+        label = smallest_labels(len(ids), p[first], q[first])[label]
+    return np.concatenate(taken)
+
+
 def contracted(batches: Iterator[pd.DataFrame], limit: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """The links of one task as forests, each of at most about ``limit`` links before it is reduced."""
     a, b = np.empty(0, np.int64), np.empty(0, np.int64)

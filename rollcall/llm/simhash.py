@@ -10,7 +10,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollcall.llm.components import EDGES, connected, contracted, smallest_labels
+from rollcall.llm.components import EDGES, connected, contracted, shortest_forest, smallest_labels
 from rollcall.llm.store import Kept
 from rollcall.llm.text import need
 
@@ -19,6 +19,9 @@ SHINGLE = 3
 DISTANCE = 2
 LEAF = 128  # fingerprints in a leaf of the index; a task receives pairs of leaves
 FANOUT = 16  # children of a node
+WIDE = 12  # differing bits within a leaf; sets of a Jaccard coefficient of 0.8 differ in about 9.7
+TURNS = 4  # Gray orders whose leaves are compared so
+PAIRS = "a long, b long, bits int, chunk long"
 _HASHES = 1 << 16  # shingle hashes held at once
 
 
@@ -44,6 +47,15 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(bits).view(">i8")[0])
 
 
+def of_set(hashes: np.ndarray) -> int:
+    """The fingerprint, as a signed long, of shingle hashes that were made already; 0 of none."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), _HASHES):
+        h = hashes[i:i + _HASHES].astype(">i8")
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8)).view(">i8")[0])
+
+
 def with_fingerprint(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("long")
     def of_texts(texts: pd.Series) -> pd.Series:
@@ -97,8 +109,84 @@ def _compare(distance: int):
     return lambda batches: contracted(links(batches))
 
 
+def _near(left: np.ndarray, right: np.ndarray, distance: int, chunk: int) -> pd.DataFrame:
+    """A shortest forest of the pairs of at most ``distance`` differing bits, one of ``left`` with one of ``right``."""
+    differ = np.bitwise_count(left.view(np.uint64)[:, None] ^ right.view(np.uint64)[None, :])
+    i, j = np.nonzero((differ > 0) & (differ <= distance))
+    a, b, bits = left[i], right[j], differ[i, j].astype(np.int32)
+    some = shortest_forest(a, b, bits)
+    return pd.DataFrame({"a": a[some], "b": b[some], "bits": bits[some], "chunk": np.full(len(some), chunk)})
+
+
+def _close(distance: int, limit: int = 1_000_000):
+    """Pairs between the members of two leaves: a shortest forest of the task's, or of each ``limit`` or so."""
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base, number = TaskContext.get().partitionId() << 40, 0
+        found, count = [], 0
+        for batch in batches:
+            for left, right in zip(batch["fps_x"], batch["fps_y"]):
+                found.append(_near(left, right, distance, base + number))
+                number, count = number + 1, count + len(found[-1])
+                if count > limit:
+                    found = [_shortest(found)]
+                    count = len(found[0])
+                    if count > limit // 2:  # that many fingerprints: pass them on
+                        yield found[0]
+                        found, count = [], 0
+        if found:
+            yield _shortest(found)
+
+    return pairs
+
+
+def _shortest(found: list[pd.DataFrame]) -> pd.DataFrame:
+    all_ = pd.concat(found, ignore_index=True)
+    return all_.iloc[shortest_forest(all_["a"].to_numpy(), all_["b"].to_numpy(), all_["bits"].to_numpy())]
+
+
+def _beside(distance: int, leaf: int):
+    """Pairs between fingerprints of one leaf, a shortest forest of each; a leaf is ``leaf`` rows of a sorted task in a row."""
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base, number, rest = TaskContext.get().partitionId() << 40, 0, np.empty(0, np.int64)
+        for batch in batches:
+            rest, out = np.concatenate([rest, batch["fp"].to_numpy(np.int64)]), []
+            while len(rest) >= leaf:
+                out.append(_near(rest[:leaf], rest[:leaf], distance, base + number))
+                number, rest = number + 1, rest[leaf:]
+            if out:
+                yield pd.concat(out, ignore_index=True)
+        if len(rest):
+            yield _near(rest, rest, distance, base + number)
+
+    return pairs
+
+
+def near_pairs(fps: DataFrame, distance: int = DISTANCE, wide: int = WIDE, turns: int = TURNS, leaf: int = LEAF) -> DataFrame:
+    """Pairs (a, b) of different fingerprints ``fp`` of few differing bits, in how many, and the chunk they were found in.
+
+    Pairs of at most ``distance`` bits, found by the index, join all fingerprints
+    that such pairs join. The index cannot pass over much at a wider distance, so
+    pairs of up to ``wide`` bits are found within leaves only, in ``turns`` orders:
+    Gray order of the fingerprints turned by 0, 64 / turns ... bits, each of which
+    puts other near ones side by side. This costs the same a fingerprint, however
+    large a group is. What lies in different leaves of every order is left to the
+    caller.
+    """
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    turned = fps.select("fp").distinct().withColumn("turn", F.explode(F.array(*map(F.lit, range(0, 64, 64 // turns)))))
+    ordered = turned.withColumn("rank", gray_rank(F.expr("shiftleft(fp, turn) | shiftrightunsigned(fp, 64 - turn)")))
+    ordered = ordered.repartitionByRange(tasks, "turn", "rank").sortWithinPartitions("turn", "rank").select("fp")
+    beside = ordered.mapInPandas(_beside(wide, leaf), PAIRS)
+    return _near_leaves(fps, distance, leaf).mapInPandas(_close(distance), PAIRS).union(beside)
+
+
 def near_fingerprints(fps: DataFrame, distance: int = DISTANCE, leaf: int = LEAF) -> DataFrame:
-    """Links (a, b) that join all fingerprints ``fp`` of at most ``distance`` differing bits, not every pair.
+    """Links (a, b) that join all fingerprints ``fp`` of at most ``distance`` differing bits, not every pair."""
+    return _near_leaves(fps, distance, leaf).mapInPandas(_compare(distance), EDGES)
+
+
+def _near_leaves(fps: DataFrame, distance: int, leaf: int) -> DataFrame:
+    """Members (fps_x, fps_y) of the pairs of leaves that may hold fingerprints ``fp`` of at most ``distance`` differing bits.
 
     The different fingerprints are sorted in Gray order and cut into leaves; above
     them stand nodes of up to 16 children. A node keeps the bit pattern that all
@@ -134,7 +222,7 @@ def near_fingerprints(fps: DataFrame, distance: int = DISTANCE, leaf: int = LEAF
     members = numbered.select("node", "fps")
     return (
         pairs.join(members.selectExpr("node x", "fps fps_x"), "x").join(members.selectExpr("node y", "fps fps_y"), "y")
-        .select("fps_x", "fps_y").mapInPandas(_compare(distance), EDGES)
+        .select("fps_x", "fps_y")
     )
 
 

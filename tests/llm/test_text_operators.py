@@ -18,7 +18,7 @@ import corpus_pipeline
 from rollcall.llm import (
     embedding_dedup, license_scan, lm_scoring, mixing, near_copies, packing, quality_classifier, quality_rules, simhash, substring_dedup, warc,
 )
-from rollcall.llm.components import connected
+from rollcall.llm.components import connected, shortest_forest
 from rollcall.llm.queries import importable
 
 TOKENS = public_tokenizers.path("word_bpe_49k.json")
@@ -307,6 +307,40 @@ def test_index_finds_every_close_pair(spark):
     assert components(signed, near) == components(signed, [(e.a, e.b) for e in links])
 
 
+def test_near_pairs_of_fingerprints(spark):
+    """Pairs are as near as they say, join what the index joins, and wider groups by way of their nearest."""
+    importable(spark)
+    r = random.Random(10)
+    centres = [r.getrandbits(64) for _ in range(40)]
+    x = {c ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 5))) for c in centres for _ in range(12)} | {0, 1 << 63, 2**64 - 1}
+    signed = sorted(v - (v >> 63 << 64) for v in x)
+    apart = lambda a, b: ((a ^ b) % (1 << 64)).bit_count()
+    pairs = simhash.near_pairs(spark.createDataFrame([(v,) for v in signed], "fp long"), leaf=32).collect()
+    assert all(0 < p.bits == apart(p.a, p.b) <= simhash.WIDE for p in pairs) and len(pairs) <= 5 * 2 * len(x)
+    root = components(signed, [(p.a, p.b) for p in pairs])
+    close = [(a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if apart(a, b) <= simhash.DISTANCE]
+    assert close and all(root[a] == root[b] for a, b in close)
+    wide = [(a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if apart(a, b) <= simhash.WIDE]
+    assert len(set(root.values())) <= 1.1 * len(set(components(signed, wide).values()))
+    assert simhash.near_pairs(spark.createDataFrame([], "fp long")).count() == 0
+
+
+def test_shortest_forest():
+    r = random.Random(12)
+    links = [(r.randint(0, 60), r.randint(0, 60), r.randint(1, 4)) for _ in range(150)] + [(100, 101, 3), (101, 102, 1), (100, 102, 2)]
+    a, b, n = map(np.array, zip(*links))
+    some = shortest_forest(a, b, n)
+    ids = set(a) | set(b)
+    root = components(ids, [x[:2] for x in links])
+    assert root == components(ids, [links[i][:2] for i in some]) and len(some) == len(ids) - len(set(root.values()))
+    shortest, known = 0, {i: i for i in ids}  # one link after another, the shortest first
+    for x, y, m in sorted(links, key=lambda x: x[2]):
+        if known[x] != known[y]:
+            shortest, known = shortest + m, {i: known[y] if k == known[x] else k for i, k in known.items()}
+    assert sum(links[i][2] for i in some) == shortest
+    assert len(shortest_forest(a[:0], b[:0], n[:0])) == 0
+
+
 def test_substring_dedup(docs, rows, none):
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or ""))
     seen, want = set(), Counter()
@@ -661,6 +695,28 @@ def test_near_copies(spark, edited, sample):
     assert len(set(root.values())) < len(edited) - 60 and sorted(r.doc_id for r in got.collect()) == sorted(set(root.values()))
 
 
+def test_near_copies_of_a_large_group(spark, monkeypatch):
+    """Fingerprints join most of a group of near copies before pairs of a shared shingle are listed."""
+    r = random.Random(13)
+    word = lambda: f"v{r.randint(0, 9000)}"
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(400):
+        new = list(base)
+        for i in r.sample(range(150), r.choice((1, 2, 2))):
+            new[i] = word()
+        texts.append(" ".join(new))
+    steps, candidates = [], near_copies._candidates
+
+    def counted(pairs, *rest):
+        steps.append(pairs.count())
+        return candidates(pairs, *rest)
+
+    monkeypatch.setattr(near_copies, "_candidates", counted)
+    got = near_copies.first_of_copies(made(spark, [(i, t, "a") for i, t in enumerate(texts)]).repartition(4), "doc_id")
+    assert sorted(x.doc_id for x in got.collect()) == sorted(set(copies_of(texts).values()))
+    assert sum(steps) < 8 * len(texts)
+
+
 def test_pipeline_near_dedup_by_jaccard(spark, edited):
     docs = made(spark, [(i, t, "a") for i, t in enumerate(edited)]).select(*corpus_pipeline.COLUMNS)
     kept = corpus_pipeline.near_dedup(spark, docs, "")
