@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rollcall.sources.files import delete_path
+
 
 def time_slice(events: DataFrame, slices: int, time: str = "event_ts") -> Column:
     """Number of the equal part of the events' time span, from 0, that a row lies in; null without a time.
@@ -20,14 +22,21 @@ def time_slice(events: DataFrame, slices: int, time: str = "event_ts") -> Column
 def write_slices(events: DataFrame, number: Column, slices: int, path: str, files: int = 1) -> None:
     """Slice after slice of the events as ``files`` Parquet files each, so that later slices are newer files.
 
-    A slice without rows leaves files without rows; rows whose number is null or
-    not below ``slices`` are refused when the slices are written.
+    The events are read once and laid out by slice; each slice is then written by
+    ``files`` tasks. Files without rows make up for tasks that got none. Rows whose
+    number is null or not below ``slices`` are refused when they are laid out.
     """
+    spark, parts = events.sparkSession, f"{path.rstrip('/')}-parts"
     placed = events.withColumn("_slice", F.when(
-        number.between(0, slices - 1), number).otherwise(F.raise_error(F.lit("a row belongs to no slice"))))
+        number.between(0, slices - 1), number).otherwise(F.raise_error(F.lit("a row belongs to no slice"))).cast("int"))
+    placed.write.partitionBy("_slice").parquet(parts)
+    laid = spark.read.schema(placed.schema).parquet(parts)
+    none = spark.createDataFrame([], events.schema)
     for k in range(slices):
-        part = placed.filter(F.col("_slice") == k).drop("_slice").repartition(files)
-        part.write.mode("append").parquet(path)
+        laid.filter(F.col("_slice") == k).drop("_slice").repartition(files).write.mode("append").parquet(path)
+        for _ in range((k + 1) * files - len(spark.read.schema(events.schema).parquet(path).inputFiles())):
+            none.repartition(1).write.mode("append").parquet(path)
+    delete_path(spark, parts)
 
 
 def read_slices(spark: SparkSession, schema, path: str, files: int = 1) -> DataFrame:
@@ -35,8 +44,9 @@ def read_slices(spark: SparkSession, schema, path: str, files: int = 1) -> DataF
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def replayed(events: DataFrame, number: Column, slices: int, path: str, files: int = 1) -> DataFrame:
-    """A stream with one micro-batch per slice of stored events."""
+def replayed(events: DataFrame, number: Column, slices: int, path: str, files: int | None = None) -> DataFrame:
+    """A stream with one micro-batch per slice of stored events; by default a file of a slice for each task that runs at a time."""
+    files = files or events.sparkSession.sparkContext.defaultParallelism
     write_slices(events, number, slices, path, files)
     return read_slices(events.sparkSession, events.schema, path, files)
 

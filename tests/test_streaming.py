@@ -236,6 +236,26 @@ def test_slices_of_nothing_and_of_rows_without_a_time(spark, tmp_path):
         replay.write_slices(timeless, replay.time_slice(timeless, 3), 3, f"{tmp_path}/timeless")
 
 
+def test_slices_are_read_once_and_written_by_several_tasks(spark, tmp_path):
+    """Each slice is one micro-batch of several files, also where it has fewer rows than files."""
+    events, seen = check_ins(spark, 90), spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    number = F.when(F.col("event_ts") < "2024-01-01 09:02:00", 1).otherwise(replay.time_slice(events, 3) + 1)
+    replay.write_slices(events.mapInArrow(passed, events.schema), number, 4, f"{tmp_path}/in", 3)
+    assert seen.value == 90 and len(spark.read.parquet(f"{tmp_path}/in").inputFiles()) >= 12
+    files = spark.read.parquet(f"{tmp_path}/in").groupBy(F.input_file_name().alias("f")).count().count()
+    assert files == 9
+    stream = replay.read_slices(spark, events.schema, f"{tmp_path}/in", 3)
+    done = sinks.finish(sinks.to_parquet(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", interval=None))
+    steps = {r.batch_id: r.rows_in for r in replay.progress(done).filter("rows_in > 0").collect()}
+    assert steps == {1: 30, 2: 30, 3: 30} and spark.read.parquet(f"{tmp_path}/out").distinct().count() == 90
+
+
 def test_sketches_merge_to_longer_windows(spark):
     events = check_ins(spark, 120).unionByName(check_ins(spark, 120).withColumn("event_type", F.lit("CHECK_OUT")))
     stored = T.activity_sketches(events, delay=None)
