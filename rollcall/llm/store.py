@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +32,21 @@ def forget_shuffles(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 1 << 20) -> Iterator[None]:
+    """Jobs that run in here send rows to Python in Arrow batches of about ``size`` bytes, not of 10,000 rows.
+
+    Ten thousand texts are tens of MB, held by the JVM outside its heap and by the worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

@@ -17,6 +17,8 @@ WINDOW = 20
 ROWS = 2  # rows of the sketch; a window's estimate is the smallest of its counters
 ROOM = 4  # counters of a sketch row for each window of the corpus
 BUCKETS_PER_TASK = 2  # so that hashing deals them out evenly enough
+_SLICE = 1 << 16  # windows looked up at once
+_TEXTS = 256  # texts put together at once
 DIGEST = 12  # bytes that name a window in the exact pass, beside its shard
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -39,53 +41,76 @@ def unpacked(data: bytes) -> np.ndarray:
 # --- words and windows of a bucket of documents -----------------------------------------------------------------
 
 class Bucket:
-    """The documents of one bucket in their order, and the hashes of their windows."""
+    """The documents of one bucket in their order, and the hashes of their windows.
+
+    Texts stay in the Arrow columns they came in, in the order they came; a pass
+    takes one after another out of them.
+    """
 
     def __init__(self, table: pa.Table, window: int, hashes: bool = True):
-        self.window = window
-        order = pc.sort_indices(table.select(["doc_id", "text"]), [("doc_id", "ascending"), ("text", "ascending")],
-                                null_placement="at_end")
-        self.table = table.take(order)
-        self.ids = self.table["doc_id"].to_pylist()
-        self.texts = [(t or "").encode("utf-8", "surrogatepass") for t in self.table["text"].to_pylist()]
-        counts, parts = [], []
-        for text in self.texts:
-            words = text.split()
-            n = max(0, len(words) - window + 1)
-            counts.append(n)
+        self.window, self.table = window, table
+        self.order = pc.sort_indices(table.select(["doc_id", "text"]), [("doc_id", "ascending"), ("text", "ascending")],
+                                     null_placement="at_end")
+        self._rows, self._column = self.order.to_numpy(), table["text"]
+        self.ids = table["doc_id"].take(self.order).to_pylist()
+        self.counts = np.zeros(len(self.ids), np.int64)
+        # no text has more words than half its bytes; pages never written to take no memory
+        room = (self._column.nbytes + len(self.ids)) // 2 + 1 if hashes else 0
+        self.hashes, at = np.empty(room, np.uint64), 0
+        for d in range(len(self.ids)):
+            words = self.text(d).split()
+            n = self.counts[d] = max(0, len(words) - window + 1)
             if n and hashes:
-                parts.append(self._rolled(np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64), n))
-        self.counts = np.array(counts, np.int64)
+                self._roll(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), self.hashes[at:at + n])
+                at += n
+        self.hashes = self.hashes[:at]
         self.firsts = np.concatenate([[0], np.cumsum(self.counts)])  # place of a document's first window
-        self.hashes = np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
-    def _rolled(self, h: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros(n, np.uint64)
+    def text(self, d: int) -> bytes:
+        """The text of a document in UTF-8; nothing for null."""
+        data = self._column[int(self._rows[d])].as_buffer()
+        return b"" if data is None else data.to_pybytes()
+
+    def _roll(self, h: np.ndarray, out: np.ndarray) -> None:
+        out[:] = 0
         for k in range(self.window):
             out *= np.uint64(0x9FB21C651E98DF25)
-            out += h[k:k + n]
-        return out
-
-    def cells(self, row: int, bits: int) -> np.ndarray:
-        """The counter of every window in a row of the sketch."""
-        x = self.hashes ^ (self.hashes >> np.uint64(32))
-        x = (x + np.uint64(2 * row + 1) * _FACTORS[1]) * _FACTORS[row % 4]
+            out += h[k:k + len(out)]
+
+    def cells(self, row: int, bits: int, some: slice = slice(None)) -> np.ndarray:
+        """The counter of every window, or of some, in a row of the sketch."""
+        h = self.hashes[some]
+        x = h >> np.uint64(32)
+        x ^= h
+        x += np.uint64((2 * row + 1) * int(_FACTORS[1]) & (1 << 64) - 1)
+        x *= _FACTORS[row % 4]
         x ^= x >> np.uint64(29)
-        return (x * _FACTORS[(row + 1) % 4]) >> np.uint64(64 - bits)
+        x *= _FACTORS[(row + 1) % 4]
+        x >>= np.uint64(64 - bits)
+        return x
 
     def digests(self, places: np.ndarray) -> np.ndarray:
-        """16 bytes of each named window's words."""
-        out = []
+        """16 bytes of each named window's words, as two numbers; the places ascend."""
+        out = np.empty((len(places), 2), "<u8")
         docs = np.searchsorted(self.firsts, places, "right") - 1
         for d in np.unique(docs):
-            words = self.texts[d].split()
+            words = self.text(d).split()
             plain = b" ".join(words)
             ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
             starts = np.concatenate([[0], ends[:-1] + 1])
-            i = places[np.searchsorted(docs, d):np.searchsorted(docs, d, "right")] - self.firsts[d]
-            for s, e in zip(starts[i].tolist(), ends[i + self.window - 1].tolist()):
-                out.append(xxhash.xxh3_128_digest(plain[s:e]))
-        return np.frombuffer(b"".join(out), "V16") if out else np.empty(0, "V16")
+            begin, end = np.searchsorted(docs, d), np.searchsorted(docs, d, "right")
+            i = places[begin:end] - self.firsts[d]
+            found = [xxhash.xxh3_128_digest(plain[s:e]) for s, e in zip(starts[i].tolist(), ends[i + self.window - 1].tolist())]
+            out[begin:end] = np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
+        return out
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The different numbers, ascending; ``x`` is sorted in place."""
+    x.sort()
+    first = np.ones(len(x), bool)
+    first[1:] = x[1:] != x[:-1]
+    return x[first]
 
 
 def _shard_slices(ordered: np.ndarray, shards: int, bits: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -97,16 +122,17 @@ def _shard_slices(ordered: np.ndarray, shards: int, bits: int) -> Iterator[tuple
             yield s, ordered[cuts[s]:cuts[s + 1]]
 
 
-def _flagged(cells: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
+def _flagged(bucket: Bucket, row: int, bits: int, elsewhere: np.ndarray) -> np.ndarray:
     """Windows whose counter is 2 or more: it occurs twice here, or here and in another bucket."""
-    ordered = np.sort(cells)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    known = np.union1d(twice, elsewhere)
-    if not len(known):
-        return np.zeros(len(cells), bool)
-    at = np.searchsorted(known, cells)
-    at[at == len(known)] = 0
-    return known[at] == cells
+    ordered = bucket.cells(row, bits)
+    ordered.sort()
+    known = np.union1d(ordered[1:][ordered[1:] == ordered[:-1]], elsewhere)
+    del ordered
+    out = np.zeros(len(bucket.hashes), bool)
+    for i in range(0, len(out) if len(known) else 0, _SLICE):
+        mine = bucket.cells(row, bits, slice(i, i + _SLICE))
+        out[i:i + _SLICE] = known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
+    return out
 
 
 # --- the passes -------------------------------------------------------------------------------------------------
@@ -119,7 +145,7 @@ def _sketch(window: int, rows: int, bits: int, shards: int):
     def one(table: pa.Table) -> pa.Table:
         bucket, number, out = Bucket(table, window), table["bucket"][0].as_py(), []
         for row in range(rows):
-            for s, part in _shard_slices(np.unique(bucket.cells(row, bits)), shards, bits):
+            for s, part in _shard_slices(_distinct(bucket.cells(row, bits)), shards, bits):
                 out.append((row * shards + s, number, row, packed(part)))
         return _table(out, _SKETCH)
 
@@ -148,12 +174,11 @@ def _exact(window: int, rows: int, bits: int, shards: int):
             number, bucket = key[0].as_py(), Bucket(table, window)
             hit = np.ones(len(bucket.hashes), bool)
             for row in range(rows):
-                mine = [unpacked(r["cells"]) for r in common.to_pylist() if r["line"] == row]
+                mine = [unpacked(x) for x in common.filter(pc.equal(common["line"], row))["cells"].to_pylist()]
                 elsewhere = np.sort(np.concatenate(mine)) if mine else np.empty(0, np.uint64)
-                hit &= _flagged(bucket.cells(row, bits), elsewhere)
+                hit &= _flagged(bucket, row, bits, elsewhere)
             places = np.nonzero(hit)[0]
-            names = bucket.digests(places)
-            halves = names.view("<u8").reshape(-1, 2)
+            halves = bucket.digests(places)
             order = np.lexsort((places, halves[:, 1], halves[:, 0]))
             same = np.zeros(len(places), bool)
             same[1:] = (halves[order[1:]] == halves[order[:-1]]).all(axis=1)
@@ -200,21 +225,21 @@ def _decided(table: pa.Table) -> pa.Table:
     named = [r for r in rows if r["part"] == 0]
     places = {r["bucket"]: r["data"] for r in rows if r["part"] == 1}
     if named:
-        names, keys, owner = [], [], []
-        for k, r in enumerate(named):
+        names, keys = [], []
+        for r in named:
             lines = np.frombuffer(zstandard.decompress(r["docs"]), np.dtype([("key", _KEY), ("n", "<u4")]))
             x = np.frombuffer(r["data"], np.uint8).reshape(-1, DIGEST)
             names.append(x)
             keys.append(np.repeat(lines["key"], lines["n"]))
-            owner.append(np.full(len(x), k))
-        name = np.zeros((sum(map(len, names)), 16), np.uint8)
+        cuts = np.cumsum([0, *map(len, names)])  # a bucket's windows are in a row
+        name = np.zeros((cuts[-1], 16), np.uint8)
         name[:, :DIGEST] = np.concatenate(names)
-        halves, keys, owner = name.view("<u8"), np.concatenate(keys), np.concatenate(owner)
+        halves, keys = name.view("<u8"), np.concatenate(keys)
         order = np.lexsort((keys["place"], keys["bucket"], keys["id"], keys["null"], halves[:, 1], halves[:, 0]))
         again = np.zeros(len(order), bool)
         again[order[1:]] = (halves[order[1:]] == halves[order[:-1]]).all(axis=1)
         for k, r in enumerate(named):
-            mine = unpacked(places[r["bucket"]])[again[owner == k]]
+            mine = unpacked(places[r["bucket"]])[again[cuts[k]:cuts[k + 1]]]
             if len(mine):
                 out.append((r["shard"], r["bucket"], -1, b"", packed(mine)))
     return _table(out, _MARKS)
@@ -236,8 +261,11 @@ def _removed(window: int, schema: pa.Schema):
         parts = [unpacked(x) for x in marks["data"].to_pylist()]
         places = np.sort(np.concatenate(parts)).astype(np.int64) if parts else np.empty(0, np.int64)
         cuts = np.searchsorted(places, bucket.firsts)
-        texts, n_words, n_removed, shas = [], [], [], []
-        for d, text in enumerate(bucket.texts):
+        text_type = schema.field("text").type
+        null, chunks, texts = bucket.table["text"].is_null().take(bucket.order).to_pylist(), [], []
+        n_words, n_removed, shas = [], [], []
+        for d in range(len(bucket.ids)):
+            text = bucket.text(d)
             words = text.split()
             starts = places[cuts[d]:cuts[d + 1]] - bucket.firsts[d]
             gone = np.zeros(len(words) + 1, np.int64)
@@ -246,19 +274,24 @@ def _removed(window: int, schema: pa.Schema):
                 np.add.at(gone, starts + window, -1)
             kept = np.cumsum(gone)[:-1] == 0
             left = words if kept.all() else [w for w, k in zip(words, kept.tolist()) if k]
-            texts.append(text.decode("utf-8", "surrogatepass") if kept.all() else _without(text, words, kept))
+            texts.append(None if null[d] else text if kept.all() else _without(text, words, kept))
             n_words.append(len(words))
             n_removed.append(len(words) - len(left))
             shas.append(hashlib.sha256(b" ".join(left)).hexdigest())
-        out = bucket.table
-        nulls = [None if v is None else t for v, t in zip(out["text"].to_pylist(), texts)]
-        own = {"text": nulls, "n_words": n_words, "n_removed": n_removed, "kept_sha256": shas}
-        return pa.table({f.name: pa.array(own[f.name], f.type) if f.name in own else out[f.name].cast(f.type) for f in schema})
+            if len(texts) == _TEXTS:
+                chunks.append(pa.array(texts, text_type))
+                texts = []
+        chunks.append(pa.array(texts, text_type))
+        own = {"n_words": n_words, "n_removed": n_removed, "kept_sha256": shas}
+        columns = {n: pa.array(x, schema.field(n).type) for n, x in own.items()} | {"text": pa.chunked_array(chunks, text_type)}
+        rest = [f for f in schema if f.name not in columns]
+        columns |= {f.name: bucket.table[f.name].take(bucket.order).cast(f.type) for f in rest}
+        return pa.table({f.name: columns[f.name] for f in schema})
 
     return one
 
 
-def _without(text: bytes, words: list[bytes], kept: np.ndarray) -> str:
+def _without(text: bytes, words: list[bytes], kept: np.ndarray) -> bytes:
     """The kept stretches of a text as they stand in it, joined by a blank."""
     spans, at = [], 0
     edges = np.flatnonzero(np.diff(np.concatenate([[False], kept, [False]]).astype(np.int8)))
@@ -272,7 +305,7 @@ def _without(text: bytes, words: list[bytes], kept: np.ndarray) -> str:
         if stop == i + 1:
             spans.append(text[begin:at])
             begin, stop = None, None
-    return b" ".join(spans).decode("utf-8", "surrogatepass")
+    return b" ".join(spans)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, rows: int = ROWS) -> DataFrame:

@@ -1,11 +1,15 @@
 """The text operators beside plain Python on small tables: nulls, empty and long texts, ties, repeated rows, clashing columns."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import unicodedata
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -364,6 +368,45 @@ def test_substring_dedup(docs, rows, none):
     assert substring_dedup.substring_dedup(none).count() == 0
 
 
+
+_PEAKS = """
+import numpy as np, pyarrow as pa, pyarrow.compute as pc
+from rollcall.llm import substring_dedup as s
+
+words = np.random.default_rng(3).integers(0, 1 << 40, 900_000).astype(str)
+texts = pa.array([" ".join(words[i:i + 450]) for i in range(0, len(words), 450)])
+texts = pa.concat_arrays([texts.slice(0, 1800), texts.slice(0, 200)])
+del words
+size = texts.nbytes
+schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+table = pa.table({"doc_id": pa.array(range(2000), pa.int64()), "text": texts, "bucket": pa.array([7] * 2000, pa.int32())})
+
+def peak(step, *more):
+    field = lambda n: int(next(x for x in open("/proc/self/status") if x.startswith(n)).split()[1]) * 1024
+    open("/proc/self/clear_refs", "w").write("5")
+    before = field("VmRSS")
+    out = step(*more)
+    print((field("VmHWM") - before) / size)
+    return out
+
+sketch = peak(s._sketch(20, 2, 24, 8), table)
+marks = peak(s._exact(20, 2, 24, 8), (pa.scalar(7),), table, sketch.slice(0, 1))
+out = schema.append(pa.field("n_words", pa.int64())).append(pa.field("n_removed", pa.int64())).append(pa.field("kept_sha256", pa.string()))
+left = peak(s._removed(20, out), (pa.scalar(7),), table, marks.filter(pc.equal(marks["part"], -1)))
+print(pc.sum(left["n_removed"]).as_py())
+"""
+
+
+def test_substring_dedup_memory_of_a_bucket():
+    """What each pass takes beside its bucket of 11 MB, as a multiple of it."""
+    root = str(Path(corpus_pipeline.__file__).parent)
+    done = subprocess.run([sys.executable, "-c", _PEAKS], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True)
+    assert not done.returncode, done.stderr
+    sketch, exact, removed, words = map(float, done.stdout.split())
+    assert words == 200 * 450
+    assert sketch < 4 and exact < 4 and removed < 1.5, (sketch, exact, removed)
+
+
 def test_mixing(docs, rows, none):
     got = mixing.mix(docs).collect()
     assert Counter(r.doc_id for r in got) == Counter(d for d, _, _ in rows)
